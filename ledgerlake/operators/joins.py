@@ -1,0 +1,17 @@
+"""Join helpers with an explicit, checked broadcast decision."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str, dim_rows: int, max_rows: int) -> DataFrame:
+    """Join a fact to a dimension, broadcasting the dimension only when its
+    row count ``dim_rows`` (an exact bound computed by the caller) is at most
+    ``max_rows``. Above the bound the join stays a shuffle join, where AQE
+    splits skewed partitions.
+    """
+    if dim_rows <= max_rows:
+        return fact.join(F.broadcast(dim), on, how)
+    return fact.join(dim, on, how)
