@@ -100,3 +100,89 @@ SQL["mart_monthly_summary"] = sel("SELECT * FROM mss")
 SQL["mart_category_trends"] = sel("SELECT * FROM ct")
 SQL["mart_person_analytics"] = sel("SELECT * FROM pa")
 SQL["mart_payment_summary"] = sel("SELECT * FROM ps")
+
+# -- mart reports -------------------------------------------------------------
+_lp = "(SELECT MAX(year * 100 + month) FROM mss)"
+
+
+def _top_name(table, name, measure):
+    return (f"(SELECT {name} FROM {table} WHERE year * 100 + month = {_lp} "
+            f"ORDER BY {measure} DESC, {name} LIMIT 1)")
+
+
+SQL["mart_dashboard"] = sel(f"""SELECT COUNT(DISTINCT person_name) AS total_persons,
+  COUNT(DISTINCT category_name) AS total_categories, {money('SUM(total_spending)')} AS total_spending,
+  CAST(SUM(transaction_count) AS BIGINT) AS total_transactions, {avg_c('avg_transaction_amount')} AS avg_transaction_size,
+  {_top_name('ct', 'category_name', 'total_spending')} AS top_category,
+  {_top_name('pa', 'person_name', 'total_spending')} AS top_spender,
+  {_top_name('ps', 'payment_method_name', 'total_amount')} AS top_payment_method,
+  year, month, month_start_date, MAX(snapshot_version_source) AS snapshot_version
+FROM mss WHERE year * 100 + month = {_lp} GROUP BY year, month, month_start_date""")
+
+
+def _dir(x):
+    return f"CASE WHEN {x} IS NULL THEN 'NO_DATA' WHEN {x} > 5 THEN 'INCREASING' WHEN {x} < -5 THEN 'DECREASING' ELSE 'STABLE' END"
+
+
+SQL["trend_direction"] = sel(f"""SELECT year, month, category_name, mom_percent_change,
+  {_dir('mom_percent_change')} AS mom_direction, yoy_percent_change, {_dir('yoy_percent_change')} AS yoy_direction
+FROM ct""")
+SQL["ms_source_info"] = sel("""SELECT snapshot_version, COUNT(*) AS rows, MIN(spending_date) AS min_date,
+  MAX(spending_date) AS max_date FROM latest GROUP BY snapshot_version""")
+SQL["ms_reconcile"] = sel(f"""SELECT c.curated_total, m.mart_total, abs(c.curated_total - m.mart_total) < 0.01 AS match
+FROM (SELECT {money('SUM(amount_cleaned)')} AS curated_total FROM latest) c,
+     (SELECT {money('SUM(total_spending)')} AS mart_total FROM mss) m""")
+SQL["ms_stats"] = sel(f"""SELECT COUNT(*) AS total_records, COUNT(DISTINCT person_name) AS unique_persons,
+  COUNT(DISTINCT category_name) AS unique_categories, COUNT(DISTINCT location_name) AS unique_locations,
+  COUNT(DISTINCT CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0')) AS unique_months,
+  CAST(SUM(transaction_count) AS BIGINT) AS total_transactions, {avg_c('total_spending')} AS avg_monthly_spending,
+  MIN(total_spending) AS min_spending, MAX(total_spending) AS max_spending FROM mss""")
+SQL["ms_top_samples"] = sel("""SELECT year, month, person_name, category_name, location_name, total_spending,
+  transaction_count, mom_percent_change, yoy_percent_change FROM mss
+ORDER BY total_spending DESC, year, month, person_name, category_name, location_name LIMIT 5""")
+SQL["ct_top"] = sel(f"""SELECT category_name, {money('SUM(total_spending)')} AS total,
+  {avg_c('percent_of_total_spending')} AS avg_share,
+  string_agg(DISTINCT mom_trend_direction, ', ' ORDER BY mom_trend_direction) AS trends
+FROM ct GROUP BY category_name ORDER BY total DESC, category_name LIMIT 5""")
+SQL["ct_growing"] = sel("""SELECT year, month, category_name, mom_percent_change, total_spending FROM ct
+WHERE mom_percent_change IS NOT NULL ORDER BY mom_percent_change DESC, year, month, category_name LIMIT 5""")
+SQL["ct_declining"] = sel("""SELECT year, month, category_name, mom_percent_change, total_spending FROM ct
+WHERE mom_percent_change IS NOT NULL ORDER BY mom_percent_change ASC, year, month, category_name LIMIT 5""")
+SQL["pa_ed_summary"] = sel(f"""SELECT {avg_c('essential_percent')} AS avg_essential_pct,
+  {avg_c('discretionary_percent')} AS avg_discretionary_pct, {avg_c('essential_to_discretionary_ratio')} AS avg_ed_ratio,
+  COUNT(*) FILTER (WHERE discretionary_percent > 40) AS high_discretionary_rows, COUNT(*) AS total_rows FROM pa""")
+SQL["pa_top_spenders"] = sel("""SELECT year, month, person_name, total_spending, essential_percent,
+  discretionary_percent, top_category FROM pa ORDER BY total_spending DESC, year, month, person_name LIMIT 5""")
+SQL["pa_alerts"] = sel("""SELECT year, month, person_name, discretionary_percent, discretionary_spending, total_spending
+FROM pa WHERE discretionary_percent > 35 ORDER BY discretionary_percent DESC, year, month, person_name LIMIT 5""")
+SQL["ps_market_share"] = sel(f"""SELECT payment_method_name, payment_type,
+  CAST(SUM(transaction_count) AS BIGINT) AS total_txns, {money('SUM(total_amount)')} AS total_amt,
+  {avg_c('percent_of_transactions')} AS avg_txn_share, {avg_c('percent_of_spending')} AS avg_spending_share
+FROM ps GROUP BY payment_method_name, payment_type""")
+SQL["ps_trends"] = sel("""SELECT year, month, payment_method_name, mom_transaction_change_percent,
+  mom_amount_change_percent, total_amount FROM ps WHERE mom_amount_change_percent IS NOT NULL
+ORDER BY mom_amount_change_percent DESC, year, month, payment_method_name LIMIT 5""")
+SQL["ps_preferences"] = sel("""SELECT year, month, payment_method_name, top_category_1, top_category_1_amount,
+  top_category_2, top_category_3, total_amount FROM ps ORDER BY total_amount DESC, year, month, payment_method_name LIMIT 5""")
+_ym = f"year = {P['year']} AND month = {P['month']}"
+SQL["dst_ed_month"] = sel(f"""SELECT person_name, total_spending, essential_spending, discretionary_spending,
+  essential_percent, discretionary_percent, essential_to_discretionary_ratio FROM pa WHERE {_ym}""")
+SQL["dst_category_mom"] = sel(f"""SELECT category_name, total_spending, mom_percent_change, mom_trend_direction
+FROM ct WHERE {_ym} ORDER BY mom_percent_change DESC NULLS LAST, category_name LIMIT 5""")
+SQL["dst_person_yoy"] = sel(f"""SELECT person_name, year, month, total_spending, yoy_percent_change
+FROM pa WHERE month = {P['month']}""")
+SQL["dst_rolling_year"] = sel(f"""SELECT category_name, month_start_date, total_spending, rolling_3month_avg,
+  rolling_6month_avg FROM ct WHERE year = {P['year']}""")
+SQL["dst_top_spenders_month"] = sel(f"""SELECT person_name, total_spending, essential_percent, discretionary_percent,
+  top_category FROM pa WHERE {_ym} ORDER BY total_spending DESC, person_name LIMIT 10""")
+SQL["dst_fastest_growing"] = sel(f"""SELECT category_name, total_spending, mom_percent_change, yoy_percent_change
+FROM ct WHERE {_ym} AND mom_percent_change IS NOT NULL ORDER BY mom_percent_change DESC, category_name LIMIT 10""")
+SQL["dst_high_discretionary"] = sel("""SELECT person_name, year, month, total_spending, discretionary_percent,
+  essential_to_discretionary_ratio FROM pa WHERE discretionary_percent > 40""")
+SQL["dst_share_year"] = sel(f"""SELECT payment_method_name, payment_type, CAST(SUM(transaction_count) AS BIGINT) AS total_transactions,
+  {money('SUM(total_amount)')} AS total_amount, {avg_c('percent_of_spending')} AS avg_market_share
+FROM ps WHERE year = {P['year']} GROUP BY payment_method_name, payment_type""")
+SQL["dst_raw_monthly_category"] = sel(f"""SELECT CAST(date_trunc('month', spending_date) AS DATE) AS month, category_name,
+  {money('SUM(amount_cleaned)')} AS total FROM latest GROUP BY 1, 2""")
+SQL["dst_mart_monthly_category"] = sel(f"""SELECT month_start_date AS month, category_name, total_spending AS total
+FROM ct WHERE year = {P['year']}""")
