@@ -96,10 +96,11 @@ class Spend:
     def latest(self) -> DataFrame:
         """Rows of the newest version. With a stored table the version is
         resolved first, so the scan prunes to one partition."""
+        cur = self.curated
         if self.store is None:
-            return S.latest(self.curated)
+            return S.latest(cur)
         v = self.store.max_partition_value("curated_spending_snapshots", "snapshot_version")
-        return self.curated.filter(F.col("snapshot_version") == F.lit(v))
+        return cur.filter(F.col("snapshot_version") == F.lit(v)).withColumn("is_latest", F.lit(1))
 
     # -- marts -------------------------------------------------------------
     @cached_property

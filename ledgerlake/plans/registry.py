@@ -81,3 +81,62 @@ JOBS["dst_high_discretionary"] = lambda s: R.dst_high_discretionary(s.pa)
 JOBS["dst_share_year"] = lambda s: R.dst_share_year(s.ps, s.cfg)
 JOBS["dst_raw_monthly_category"] = lambda s: R.dst_raw_monthly_category(s.latest)
 JOBS["dst_mart_monthly_category"] = lambda s: R.dst_mart_monthly_category(s.ct, s.cfg)
+
+# -- insight views --------------------------------------------------------------
+from ..operators import insights as I  # noqa: E402
+
+JOBS["health_scorecard"] = lambda s: I.health_scorecard(s.pa)
+JOBS["spending_recommendations"] = lambda s: I.spending_recommendations(s.pa, s.mss, s.cfg)
+JOBS["budget_alerts"] = lambda s: I.budget_alerts(s.pa, s.mss)
+JOBS["category_insights"] = lambda s: I.category_insights(s.ct)
+JOBS["lifestyle_plan"] = lambda s: I.lifestyle_plan(s.pa, s.mss)
+
+
+def _h(s):
+    return I.health_scorecard(s.pa)
+
+
+def _rec(s):
+    return I.spending_recommendations(s.pa, s.mss, s.cfg)
+
+
+def _al(s):
+    return I.budget_alerts(s.pa, s.mss)
+
+
+def _ci(s):
+    return I.category_insights(s.ct)
+
+
+def _lp(s):
+    return I.lifestyle_plan(s.pa, s.mss)
+
+
+JOBS["x_health_bottom3"] = lambda s: I.x_health_bottom3(_h(s))
+JOBS["x_top_recommendation"] = lambda s: I.x_top_recommendation(_rec(s))
+JOBS["x_high_alerts"] = lambda s: I.x_high_alerts(_al(s))
+JOBS["x_top_opportunities"] = lambda s: I.x_top_opportunities(_ci(s))
+JOBS["x_top_plans"] = lambda s: I.x_top_plans(_lp(s))
+JOBS["x_health_month"] = lambda s: I.x_health_month(_h(s), s.cfg)
+JOBS["x_person_top3"] = lambda s: I.x_person_top(_rec(s), s.cfg.person, 3, [
+    "priority", "recommendation_title", "recommendation_detail", "potential_monthly_savings",
+    "implementation_difficulty"])
+JOBS["x_alerts_high"] = lambda s: I.x_alerts_high(_al(s))
+JOBS["x_opportunity_50"] = lambda s: I.x_opportunity(_ci(s), 50, 5, [
+    "category_name", "total_spending", "opportunity_score", "insight_summary", "recommended_action"])
+JOBS["x_plans_200"] = lambda s: I.x_plans(_lp(s), 200, [
+    "person_name", "financial_health_status", "monthly_savings_potential", "action_1_priority",
+    "lifestyle_change_1", "week_1_savings_target"])
+JOBS["x_health_dashboard"] = lambda s: I.x_health_dashboard(_h(s), s.cfg)
+JOBS["x_person_top5"] = lambda s: I.x_person_top(_rec(s), s.cfg.person, 5, [
+    "priority", "recommendation_title", "category_name", "current_monthly_spending", "potential_monthly_savings",
+    "implementation_difficulty"])
+JOBS["x_alerts_high_medium"] = lambda s: I.x_alerts_high_medium(_al(s))
+JOBS["x_opportunity_60"] = lambda s: I.x_opportunity(_ci(s), 60, None, [
+    "category_name", "category_group", "total_spending", "opportunity_score", "insight_summary",
+    "recommended_action"])
+JOBS["x_plans_100"] = lambda s: I.x_plans(_lp(s), 100, [
+    "person_name", "financial_health_status", "current_monthly_spending", "monthly_savings_potential",
+    "annual_savings_potential", "action_1_priority", "action_2_priority", "action_3_priority",
+    "lifestyle_change_1", "lifestyle_change_2", "week_1_savings_target"])
+JOBS["x_health_with_top_rec"] = lambda s: I.x_health_with_top_rec(_h(s), _rec(s), s.cfg)

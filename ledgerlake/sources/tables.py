@@ -22,6 +22,19 @@ def shared_root(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A fresh folder for this run's tables under the shared checkpoint root.
+    The root comes from the session; only when it is unset (local tests) a
+    folder under the system temp dir is used."""
+    import tempfile
+    import uuid
+    fallback = None
+    if not (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir")):
+        fallback = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    return f"{shared_root(spark, fallback)}/ledgerlake-{uuid.uuid4().hex[:12]}"
+
+
 class TableStore:
     """Write-once-per-run tables. A rerun overwrites whole tables (or, for a
     partitioned table, only the partitions it writes), so a retried job after

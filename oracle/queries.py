@@ -186,3 +186,59 @@ SQL["dst_raw_monthly_category"] = sel(f"""SELECT CAST(date_trunc('month', spendi
   {money('SUM(amount_cleaned)')} AS total FROM latest GROUP BY 1, 2""")
 SQL["dst_mart_monthly_category"] = sel(f"""SELECT month_start_date AS month, category_name, total_spending AS total
 FROM ct WHERE year = {P['year']}""")
+
+# -- insight views --------------------------------------------------------------
+from .insights import VIEWS  # noqa: E402
+from .marts import MARTS as _M  # noqa: E402
+from .base import with_chain as _wc  # noqa: E402
+
+WV = _wc(*_M, *VIEWS)
+
+
+def vsel(body: str) -> str:
+    return WV + body
+
+
+SQL["health_scorecard"] = vsel("SELECT * FROM health")
+SQL["spending_recommendations"] = vsel("SELECT * FROM recs")
+SQL["budget_alerts"] = vsel("SELECT * FROM alerts")
+SQL["category_insights"] = vsel("SELECT * FROM catins")
+SQL["lifestyle_plan"] = vsel("SELECT * FROM plan")
+SQL["x_health_bottom3"] = vsel("""SELECT person_name, year, month, health_grade, health_score, discretionary_percent,
+  potential_monthly_savings FROM health ORDER BY health_score, year DESC, month DESC, person_name LIMIT 3""")
+SQL["x_top_recommendation"] = vsel("""SELECT person_name, recommendation_title, potential_monthly_savings
+FROM recs WHERE priority = 1 ORDER BY person_name LIMIT 3""")
+SQL["x_high_alerts"] = vsel("""SELECT person_name, alert_title, spike_category FROM alerts WHERE alert_severity = 'HIGH'
+ORDER BY person_name, spike_category NULLS FIRST LIMIT 3""")
+SQL["x_top_opportunities"] = vsel("""SELECT category_name, total_spending, opportunity_score FROM catins
+ORDER BY opportunity_score DESC, total_spending DESC, category_name LIMIT 3""")
+SQL["x_top_plans"] = vsel("""SELECT person_name, monthly_savings_potential, action_1_priority FROM plan
+ORDER BY monthly_savings_potential DESC, person_name LIMIT 3""")
+SQL["x_health_month"] = vsel(f"""SELECT person_name, health_grade, health_score, discretionary_percent,
+  potential_monthly_savings FROM health WHERE year = {P['year']} AND month = {P['month']}""")
+SQL["x_person_top3"] = vsel(f"""SELECT priority, recommendation_title, recommendation_detail, potential_monthly_savings,
+  implementation_difficulty FROM recs WHERE person_name = '{P['person']}' AND priority <= 3""")
+SQL["x_alerts_high"] = vsel("""SELECT person_name, alert_title, alert_message, recommended_action, spike_category
+FROM alerts WHERE alert_severity = 'HIGH'""")
+SQL["x_opportunity_50"] = vsel("""SELECT category_name, total_spending, opportunity_score, insight_summary, recommended_action
+FROM catins WHERE opportunity_score > 50 ORDER BY opportunity_score DESC, total_spending DESC, category_name LIMIT 5""")
+SQL["x_plans_200"] = vsel("""SELECT person_name, financial_health_status, monthly_savings_potential, action_1_priority,
+  lifestyle_change_1, week_1_savings_target FROM plan WHERE monthly_savings_potential > 200""")
+SQL["x_health_dashboard"] = vsel(f"""SELECT person_name, health_grade, health_score, discretionary_percent,
+  potential_monthly_savings, top_category FROM health WHERE year = {P['year']} AND month = {P['month']}
+ORDER BY health_score, person_name LIMIT 10""")
+SQL["x_person_top5"] = vsel(f"""SELECT priority, recommendation_title, category_name, current_monthly_spending,
+  potential_monthly_savings, implementation_difficulty FROM recs WHERE person_name = '{P['person']}' AND priority <= 5""")
+SQL["x_alerts_high_medium"] = vsel("""SELECT person_name, alert_severity, alert_title, recommended_action,
+  discretionary_percent, spike_category, CASE alert_severity WHEN 'HIGH' THEN 1 ELSE 2 END AS severity_rank
+FROM alerts WHERE alert_severity IN ('HIGH', 'MEDIUM')""")
+SQL["x_opportunity_60"] = vsel("""SELECT category_name, category_group, total_spending, opportunity_score,
+  insight_summary, recommended_action FROM catins WHERE opportunity_score > 60""")
+SQL["x_plans_100"] = vsel("""SELECT person_name, financial_health_status, current_monthly_spending,
+  monthly_savings_potential, annual_savings_potential, action_1_priority, action_2_priority, action_3_priority,
+  lifestyle_change_1, lifestyle_change_2, week_1_savings_target FROM plan WHERE monthly_savings_potential > 100""")
+SQL["x_health_with_top_rec"] = vsel(f"""SELECT h.person_name, h.health_grade, h.health_score, h.discretionary_percent,
+  r.recommendation_title, r.potential_monthly_savings
+FROM health h LEFT JOIN LATERAL (SELECT recommendation_title, potential_monthly_savings FROM recs r
+  WHERE r.person_name = h.person_name ORDER BY priority LIMIT 1) r ON true
+WHERE h.year = {P['year']} AND h.month = {P['month']} AND h.health_score < 70""")
