@@ -140,3 +140,33 @@ JOBS["x_plans_100"] = lambda s: I.x_plans(_lp(s), 100, [
     "annual_savings_potential", "action_1_priority", "action_2_priority", "action_3_priority",
     "lifestyle_change_1", "lifestyle_change_2", "week_1_savings_target"])
 JOBS["x_health_with_top_rec"] = lambda s: I.x_health_with_top_rec(_h(s), _rec(s), s.cfg)
+
+# -- ingest, profile, source checks ---------------------------------------------
+from ..operators import checks as K  # noqa: E402
+from ..operators import ingest as N  # noqa: E402
+
+JOBS["ingest_raw"] = lambda s: s.src
+JOBS["ingest_reconcile"] = lambda s: N.ingest_reconcile(s.raw, s.src, s.cfg)
+JOBS["load_event_log"] = lambda s: K.load_event_log(s.src, s.cfg)
+JOBS["load_sample"] = lambda s: N.load_sample(s.src, s.cfg)
+JOBS["profile_file"] = lambda s: N.profile_file(s.src)
+JOBS["profile_columns"] = lambda s: N.profile_columns(s.src)
+JOBS["profile_integrity"] = lambda s: N.profile_integrity(s.src)
+JOBS["profile_value_counts"] = lambda s: N.profile_value_counts(s.src)
+
+
+def _one_check(name):
+    return lambda s: K.check_log(s.src, s.cfg).filter(f"check_name = '{name}'")
+
+
+for _key, _name in [("chk_null_required", "NULL_CHECK_REQUIRED_FIELDS"), ("chk_empty_string", "EMPTY_STRING_CHECK"),
+                    ("chk_metadata", "METADATA_COMPLETENESS_CHECK"), ("chk_amount_format", "AMOUNT_FORMAT_CHECK"),
+                    ("chk_optional_fields", "OPTIONAL_FIELDS_COMPLETENESS")]:
+    JOBS[_key] = (lambda n: lambda s: K.row_level_checks(s.src, s.cfg).filter(f"check_name = '{n}'"))(_name)
+JOBS["chk_duplicates"] = lambda s: K.duplicates_check(s.src, s.cfg)
+JOBS["chk_freshness"] = lambda s: K.freshness_check(s.src, s.cfg)
+JOBS["check_log_union"] = lambda s: K.check_log(s.src, s.cfg)
+JOBS["latest_validation_summary"] = lambda s: K.latest_validation_summary(K.validation_log(s.src, s.cfg))
+JOBS["validation_by_type"] = lambda s: K.validation_by_type(K.validation_log(s.src, s.cfg), s.cfg)
+JOBS["validation_failed_detail"] = lambda s: K.validation_failed_detail(K.validation_log(s.src, s.cfg), s.cfg)
+JOBS["validation_gate"] = lambda s: K.validation_gate(K.validation_log(s.src, s.cfg))

@@ -242,3 +242,114 @@ SQL["x_health_with_top_rec"] = vsel(f"""SELECT h.person_name, h.health_grade, h.
 FROM health h LEFT JOIN LATERAL (SELECT recommendation_title, potential_monthly_savings FROM recs r
   WHERE r.person_name = h.person_name ORDER BY priority LIMIT 1) r ON true
 WHERE h.year = {P['year']} AND h.month = {P['month']} AND h.health_score < 70""")
+
+# -- ingest, profile, source checks ---------------------------------------------
+from .base import AS_OF as _AS_OF, qlist as _ql  # noqa: E402
+
+SQL["ingest_raw"] = sel("SELECT * FROM src")
+SQL["ingest_reconcile"] = sel("""SELECT 'LOAD_20251020_000000' AS load_batch_id, (SELECT COUNT(*) FROM raw) AS file_rows,
+  COUNT(*) AS loaded_rows, CASE WHEN COUNT(*) = (SELECT COUNT(*) FROM raw) THEN 'MATCH' ELSE 'MISMATCH' END AS status
+FROM src WHERE load_batch_id = 'LOAD_20251020_000000'""")
+_LOADLOG = f"""SELECT 'LOAD_20251020_000000' AS validation_run_id, {_AS_OF} AS validation_timestamp, 'SRC' AS stage,
+  'src_daily_spending' AS table_name, 'DATA_LOAD_SUCCESS' AS check_name, 'ERROR' AS check_type, 'PASSED' AS check_status,
+  COUNT(*) AS records_checked, CAST(NULL AS BIGINT) AS records_failed, CAST(NULL AS DECIMAL(18,2)) AS failure_percentage,
+  substring('Successfully loaded ' || CAST(COUNT(*) AS VARCHAR) || ' rows in ' || CAST(CAST(ceil(COUNT(*) / 1000.0) AS BIGINT) AS VARCHAR) || ' chunks', 1, 500) AS error_message,
+  CAST(NULL AS VARCHAR) AS sample_failed_ids
+FROM src WHERE load_batch_id = 'LOAD_20251020_000000'"""
+SQL["load_event_log"] = sel(_LOADLOG)
+SQL["load_sample"] = sel("""SELECT src_id, person_name, spending_date, category, amount FROM src
+WHERE load_batch_id = 'LOAD_20251020_000000' ORDER BY src_id LIMIT 5""")
+_cols = [("src_id", "bigint", True)] + [(c, "string", False) for c in
+                                        ["person_name", "spending_date", "category", "amount", "location", "description", "payment_method"]]
+SQL["profile_columns"] = sel(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count,
+  {pct_i(f'COUNT(*) FILTER (WHERE {c} IS NULL)', 'COUNT(*)')} AS null_pct, COUNT({c}) AS non_null_count,
+  CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value,
+  {f'CAST(SUM({c}) AS DECIMAL(38,0))' if num else 'CAST(NULL AS DECIMAL(38,0))'} AS sum_value,
+  {qdiv(f'SUM({c})', f'COUNT({c})', 2) if num else 'CAST(NULL AS DECIMAL(18,2))'} AS mean_value FROM src"""
+    for c, t, num in _cols))
+SQL["profile_integrity"] = sel("""SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE amount_p < 0) AS negative_amounts,
+  (SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM src
+     GROUP BY person_name, spending_date, category, amount, location, description, payment_method)) AS duplicate_rows,
+  COUNT(*) FILTER (WHERE date_p IS NULL) AS invalid_dates FROM stg0""")
+SQL["profile_value_counts"] = sel(" UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{c}' AS field, {c} AS value, COUNT(*) AS row_count,
+  CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c} NULLS FIRST) AS INTEGER) AS rank FROM src GROUP BY {c}) {'WHERE rank <= 5' if lim else ''}"""
+    for c, lim in [("person_name", False), ("category", True), ("payment_method", True)]))
+
+_RUN = f"'VAL_20251022_000000' AS validation_run_id, {_AS_OF} AS validation_timestamp, 'SRC' AS stage, 'src_daily_spending' AS table_name"
+
+
+def _chk(name, ctype, cond, den, msg, sample_expr="CAST(src_id AS VARCHAR)"):
+    where = f"WHERE {den}" if den else ""
+    f = f"COUNT(*) FILTER (WHERE {cond})"
+    return f"""SELECT {_RUN}, '{name}' AS check_name, '{ctype}' AS check_type,
+  CASE WHEN {f} = 0 THEN 'PASSED' ELSE 'FAILED' END AS check_status, COUNT(*) AS records_checked,
+  {f} AS records_failed, {qdiv(f'100 * {f}', 'COUNT(*)', 2)} AS failure_percentage, '{msg}' AS error_message,
+  (SELECT string_agg(t, ', ' ORDER BY src_id) FROM (SELECT src_id, {sample_expr} AS t FROM src WHERE {cond}
+     ORDER BY src_id LIMIT 10)) AS sample_failed_ids
+FROM src {where}"""
+
+
+_bl = lambda x: f"trim({x}) = ''"
+_CHECKS = {
+    "chk_null_required": _chk("NULL_CHECK_REQUIRED_FIELDS", "ERROR",
+                              "person_name IS NULL OR spending_date IS NULL OR category IS NULL OR amount IS NULL", None,
+                              "Critical fields (person_name, spending_date, category, amount) cannot be NULL"),
+    "chk_empty_string": _chk("EMPTY_STRING_CHECK", "ERROR",
+                             f"{_bl('person_name')} OR {_bl('spending_date')} OR {_bl('category')} OR {_bl('amount')}",
+                             "person_name IS NOT NULL", "Required fields cannot be empty strings or whitespace"),
+    "chk_metadata": _chk("METADATA_COMPLETENESS_CHECK", "ERROR", "source_file IS NULL OR load_batch_id IS NULL", None,
+                         "ETL metadata (source_file, load_batch_id) must not be NULL"),
+    "chk_amount_format": _chk("AMOUNT_FORMAT_CHECK", "WARNING", "NOT regexp_matches(amount, '^[0-9.,$ SGD]+$')",
+                              "amount IS NOT NULL",
+                              "Amount field contains unusual characters or format (expected: numbers, dots, commas, $, SGD)",
+                              "CAST(src_id AS VARCHAR) || ':' || amount"),
+    "chk_optional_fields": _chk("OPTIONAL_FIELDS_COMPLETENESS", "WARNING",
+                                "location IS NULL OR description IS NULL OR payment_method IS NULL", None,
+                                "Optional fields (location, description, payment_method) have missing values"),
+}
+_CHECKS["chk_duplicates"] = f"""SELECT {_RUN}, 'DUPLICATE_RECORDS_CHECK' AS check_name, 'ERROR' AS check_type,
+  CASE WHEN COUNT(*) = 0 THEN 'PASSED' ELSE 'FAILED' END AS check_status, (SELECT COUNT(*) FROM src) AS records_checked,
+  CAST(COALESCE(SUM(dup_count), 0) AS BIGINT) AS records_failed,
+  {qdiv('100 * COALESCE(SUM(dup_count), 0)', '(SELECT COUNT(*) FROM src)', 2)} AS failure_percentage,
+  'Duplicate records found based on (person_name, spending_date, category, amount, location)' AS error_message,
+  (SELECT string_agg(substring(ids, 1, 50), '; ' ORDER BY first_id)
+     FROM (SELECT * FROM dups ORDER BY first_id LIMIT 3)) AS sample_failed_ids
+FROM dups"""
+_CHECKS["chk_freshness"] = f"""SELECT {_RUN}, 'DATA_FRESHNESS_CHECK' AS check_name, 'WARNING' AS check_type,
+  CASE WHEN secs < 48 * 3600 THEN 'PASSED' ELSE 'FAILED' END AS check_status, CAST(1 AS BIGINT) AS records_checked,
+  CAST(CASE WHEN secs >= 48 * 3600 THEN 1 ELSE 0 END AS BIGINT) AS records_failed,
+  CAST(CASE WHEN secs >= 48 * 3600 THEN 100 ELSE 0 END AS DECIMAL(18,2)) AS failure_percentage,
+  'Data is older than 48 hours. Last load: ' || strftime(m, '%Y-%m-%d %H:%M:%S') || ' (' || CAST({qdiv('secs', '3600', 1)} AS VARCHAR) || ' hours ago)' AS error_message,
+  CAST(NULL AS VARCHAR) AS sample_failed_ids
+FROM (SELECT MAX(loaded_at) AS m, date_diff('second', MAX(loaded_at), {_AS_OF}) AS secs FROM src)"""
+_DUPS = """dups AS (SELECT person_name, spending_date, category, amount, location, COUNT(*) AS dup_count,
+  MIN(src_id) AS first_id, string_agg(CAST(src_id AS VARCHAR), ', ' ORDER BY src_id) AS ids
+  FROM src GROUP BY person_name, spending_date, category, amount, location HAVING COUNT(*) > 1)"""
+WC = _wc(_DUPS)
+for _k, _q in _CHECKS.items():
+    SQL[_k] = WC + _q
+_LOG = "chk_log AS (" + " UNION ALL ".join(f"({q})" for q in _CHECKS.values()) + ")"
+_VLOG = f"vlog AS (SELECT * FROM chk_log UNION ALL ({_LOADLOG}))"
+WL = _wc(_DUPS, _LOG, _VLOG)
+SQL["check_log_union"] = WL + "SELECT * FROM chk_log"
+SQL["latest_validation_summary"] = WL + f"""SELECT stage, table_name, COUNT(*) AS total_checks,
+  COUNT(*) FILTER (WHERE check_status = 'PASSED') AS checks_passed, COUNT(*) FILTER (WHERE check_status = 'FAILED') AS checks_failed,
+  COUNT(*) FILTER (WHERE check_type = 'ERROR' AND check_status = 'FAILED') AS errors,
+  COUNT(*) FILTER (WHERE check_type = 'WARNING' AND check_status = 'FAILED') AS warnings,
+  {pct_i("COUNT(*) FILTER (WHERE check_status = 'PASSED')", 'COUNT(*)')} AS pass_rate_pct
+FROM vlog WHERE validation_run_id = (SELECT MAX(validation_run_id) FROM vlog) GROUP BY stage, table_name"""
+SQL["validation_by_type"] = WL + f"""SELECT check_type, COUNT(*) AS total_checks,
+  COUNT(*) FILTER (WHERE check_status = 'PASSED') AS passed, COUNT(*) FILTER (WHERE check_status = 'FAILED') AS failed,
+  {pct_i("COUNT(*) FILTER (WHERE check_status = 'PASSED')", 'COUNT(*)')} AS pass_rate_pct
+FROM vlog WHERE validation_run_id = 'VAL_20251022_000000' GROUP BY check_type"""
+SQL["validation_failed_detail"] = WL + """SELECT check_name, check_type, records_checked, records_failed,
+  failure_percentage, error_message, sample_failed_ids, CASE WHEN check_type = 'ERROR' THEN 1 ELSE 2 END AS severity_order
+FROM vlog WHERE validation_run_id = 'VAL_20251022_000000' AND check_status = 'FAILED'"""
+SQL["validation_gate"] = WL + """SELECT errors, warnings,
+  CASE WHEN errors > 0 THEN 'STOP' WHEN warnings > 0 THEN 'CAUTION' ELSE 'CLEAR' END AS decision, errors = 0 AS proceed
+FROM (SELECT CAST(COALESCE(SUM(e), 0) AS BIGINT) AS errors, CAST(COALESCE(SUM(w), 0) AS BIGINT) AS warnings FROM (
+  SELECT COUNT(*) FILTER (WHERE check_type = 'ERROR' AND check_status = 'FAILED') AS e,
+         COUNT(*) FILTER (WHERE check_type = 'WARNING' AND check_status = 'FAILED') AS w
+  FROM vlog WHERE validation_run_id = (SELECT MAX(validation_run_id) FROM vlog) GROUP BY stage, table_name))"""
