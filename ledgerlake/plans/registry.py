@@ -170,3 +170,53 @@ JOBS["latest_validation_summary"] = lambda s: K.latest_validation_summary(K.vali
 JOBS["validation_by_type"] = lambda s: K.validation_by_type(K.validation_log(s.src, s.cfg), s.cfg)
 JOBS["validation_failed_detail"] = lambda s: K.validation_failed_detail(K.validation_log(s.src, s.cfg), s.cfg)
 JOBS["validation_gate"] = lambda s: K.validation_gate(K.validation_log(s.src, s.cfg))
+
+# -- curated snapshots --------------------------------------------------------------
+from ..operators import curated as U  # noqa: E402
+from ..operators import snapshots as S  # noqa: E402
+
+JOBS["next_version"] = lambda s: S.next_version(s.curated)
+JOBS["snapshot_precheck"] = lambda s: S.snapshot_precheck(s.complete)
+JOBS["create_snapshot"] = lambda s: s.curated
+JOBS["snapshot_verify"] = lambda s: S.snapshot_verify(s.curated, s.complete, 2)
+JOBS["snapshot_stats"] = lambda s: S.snapshot_stats(s.curated)
+JOBS["snapshot_growth"] = lambda s: S.snapshot_growth(s.curated)
+JOBS["snapshot_prune"] = lambda s: S.snapshot_prune(s.curated, s.cfg)
+JOBS["hq01_latest"] = lambda s: U.hq01_latest(s.latest)
+JOBS["hq02_version"] = lambda s: U.hq02_version(s.curated, s.cfg.version)
+JOBS["hq03_versions"] = lambda s: U.hq03_versions(s.curated)
+JOBS["hq04_top_categories"] = lambda s: U.hq04_top_categories(s.latest)
+JOBS["hq05_person"] = lambda s: U.hq05_person(s.latest)
+JOBS["hq06_monthly"] = lambda s: U.hq06_monthly(s.latest)
+JOBS["hq07_weekday"] = lambda s: U.hq07_weekday(s.latest)
+JOBS["hq08_top_locations"] = lambda s: U.hq08_top_locations(s.latest)
+JOBS["hq09_compare_adjacent"] = lambda s: U.hq09_compare_adjacent(s.curated)
+JOBS["hq10_version_growth"] = lambda s: U.hq10_version_growth(s.curated)
+JOBS["hq11_new_per_version"] = lambda s: U.hq11_new_per_version(s.curated)
+JOBS["hq12_person_category"] = lambda s: U.hq12_person_category(s.latest)
+JOBS["hq13_payment_pref"] = lambda s: U.hq13_payment_pref(s.latest)
+JOBS["hq14_high_value"] = lambda s: U.hq14_high_value(s.latest)
+JOBS["hq15_quarterly"] = lambda s: U.hq15_quarterly(s.latest)
+JOBS["hq16_quality_grades"] = lambda s: U.hq16_quality_grades(s.latest)
+JOBS["hq17_quality_category"] = lambda s: U.hq17_quality_category(s.latest)
+JOBS["hq18_person_versions"] = lambda s: U.hq18_person_versions(s.curated, s.cfg.person)
+JOBS["hq19_category_versions"] = lambda s: U.hq19_category_versions(s.curated, s.cfg.category)
+JOBS["hq20_as_of_date"] = lambda s: U.hq20_as_of_date(s.curated, s.cfg.snapshot_date)
+JOBS["hq21_export"] = lambda s: U.hq21_export(s.latest)
+JOBS["hq22_diff_versions"] = lambda s: U.hq22_diff_versions(s.curated, *s.cfg.version_pair)
+JOBS["cur_time_travel_sum"] = lambda s: U.cur_time_travel_sum(s.curated, s.cfg.version)
+JOBS["cur_version_totals"] = lambda s: U.cur_version_totals(s.curated)
+JOBS["cv_latest_integrity"] = lambda s: U.cv_latest_integrity(s.curated)
+JOBS["cv_completeness"] = lambda s: U.cv_completeness(s.curated)
+JOBS["cv_stg_consistency"] = lambda s: U.cv_stg_consistency(s.fact, s.latest)
+JOBS["cv_version_history"] = lambda s: U.cv_version_history(s.curated)
+JOBS["cv_growth_pct"] = lambda s: U.cv_growth_pct(s.curated)
+JOBS["cv_date_ranges"] = lambda s: U.cv_date_ranges(s.curated, s.cfg)
+JOBS["cv_quality_stats"] = lambda s: U.cv_quality_stats(s.latest)
+JOBS["cv_quality_bands"] = lambda s: U.cv_quality_bands(s.latest)
+JOBS["cv_low_quality"] = lambda s: U.cv_low_quality(s.latest)
+JOBS["cv_quality_by_version"] = lambda s: U.cv_quality_by_version(s.curated)
+JOBS["cv_version_count_advice"] = lambda s: U.cv_version_count_advice(s.curated)
+JOBS["cv_duplicate_ids"] = lambda s: U.cv_duplicate_ids(s.curated)
+JOBS["cv_cross_version_ids"] = lambda s: U.cv_cross_version_ids(s.curated)
+JOBS["cv_verdict"] = lambda s: U.cv_verdict(s.curated, s.latest, s.fact, s.cfg)

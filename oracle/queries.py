@@ -353,3 +353,188 @@ FROM (SELECT CAST(COALESCE(SUM(e), 0) AS BIGINT) AS errors, CAST(COALESCE(SUM(w)
   SELECT COUNT(*) FILTER (WHERE check_type = 'ERROR' AND check_status = 'FAILED') AS e,
          COUNT(*) FILTER (WHERE check_type = 'WARNING' AND check_status = 'FAILED') AS w
   FROM vlog WHERE validation_run_id = (SELECT MAX(validation_run_id) FROM vlog) GROUP BY stage, table_name))"""
+
+# -- curated snapshots ------------------------------------------------------------------
+_T = f"{money('SUM(amount_cleaned)')}"
+SQL["next_version"] = sel("""SELECT COALESCE(MAX(snapshot_version), 0) + 1 AS next_version,
+  COUNT(DISTINCT snapshot_version) AS version_count, MAX(snapshot_version) AS current_latest FROM curated""")
+SQL["snapshot_precheck"] = sel("""SELECT COUNT(*) AS stg_rows, COUNT(*) > 0 AS stg_not_empty, MIN(spending_date) AS min_date,
+  MAX(spending_date) AS max_date, COUNT(DISTINCT person_name) AS distinct_persons,
+  COUNT(DISTINCT category_name) AS distinct_categories FROM complete""")
+SQL["create_snapshot"] = sel("SELECT * FROM curated")
+SQL["snapshot_verify"] = sel("""SELECT 2 AS snapshot_version, (SELECT COUNT(*) FROM complete) AS staging_rows,
+  COUNT(*) FILTER (WHERE snapshot_version = 2) AS found_rows,
+  COUNT(DISTINCT CASE WHEN is_latest = 1 THEN snapshot_version END) AS latest_versions,
+  COUNT(DISTINCT CASE WHEN is_latest = 1 THEN snapshot_version END) = 1 AS one_latest FROM curated""")
+SQL["snapshot_stats"] = sel("""SELECT COUNT(DISTINCT snapshot_version) AS total_versions, COUNT(*) AS total_rows,
+  COUNT(*) FILTER (WHERE is_latest = 1) AS latest_rows, COUNT(*) FILTER (WHERE is_latest = 0) AS historical_rows FROM curated""")
+SQL["snapshot_growth"] = sel(f"""SELECT snapshot_version, snapshot_date, record_count, prev_count,
+  record_count - COALESCE(prev_count, 0) AS growth,
+  CASE WHEN prev_count IS NULL THEN CAST(0 AS DECIMAL(18,2)) ELSE {qdiv('100 * (record_count - prev_count)', 'prev_count', 2)} END AS growth_pct
+FROM (SELECT snapshot_version, snapshot_date, COUNT(*) AS record_count,
+        LAG(COUNT(*)) OVER (ORDER BY snapshot_version) AS prev_count FROM curated GROUP BY snapshot_version, snapshot_date)
+ORDER BY snapshot_version DESC LIMIT 5""")
+SQL["snapshot_prune"] = sel("""SELECT snapshot_version, snapshot_date, COUNT(*) AS rows_to_drop FROM curated
+WHERE snapshot_date < DATE '2025-10-22' - INTERVAL 30 DAY AND is_latest = 0 GROUP BY snapshot_version, snapshot_date""")
+SQL["hq01_latest"] = sel("""SELECT person_name, category_name, spending_date, amount_cleaned, description FROM latest
+ORDER BY spending_date DESC, stg_spending_id DESC LIMIT 100""")
+SQL["hq02_version"] = sel("""SELECT person_name, category_name, spending_date, amount_cleaned FROM curated
+WHERE snapshot_version = 1 ORDER BY spending_date DESC, stg_spending_id DESC LIMIT 100""")
+SQL["hq03_versions"] = sel(f"""SELECT snapshot_version, snapshot_date, is_latest, COUNT(*) AS record_count,
+  MIN(spending_date) AS earliest_transaction, MAX(spending_date) AS latest_transaction, {_T} AS total_amount,
+  {avg_i('data_quality_score')} AS avg_quality_score FROM curated GROUP BY snapshot_version, snapshot_date, is_latest""")
+SQL["hq04_top_categories"] = sel(f"""SELECT category_name, category_group, COUNT(*) AS transaction_count,
+  {_T} AS total_spent, {avg_c('amount_cleaned')} AS avg_transaction, {money('MIN(amount_cleaned)')} AS min_spent,
+  {money('MAX(amount_cleaned)')} AS max_spent FROM latest GROUP BY category_name, category_group
+ORDER BY total_spent DESC, category_name LIMIT 10""")
+SQL["hq05_person"] = sel(f"""SELECT person_name, COUNT(*) AS transaction_count, {_T} AS total_spent,
+  {avg_c('amount_cleaned')} AS avg_per_transaction, COUNT(DISTINCT category_name) AS unique_categories,
+  COUNT(DISTINCT payment_method_name) AS payment_methods_used FROM latest GROUP BY person_name""")
+SQL["hq06_monthly"] = sel(f"""SELECT spending_year, spending_month, COUNT(*) AS transaction_count, {_T} AS total_spent,
+  {avg_c('amount_cleaned')} AS avg_transaction, COUNT(DISTINCT person_name) AS active_persons
+FROM latest GROUP BY spending_year, spending_month""")
+SQL["hq07_weekday"] = sel(f"""SELECT spending_day_of_week,
+  CASE spending_day_of_week WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday'
+    WHEN 5 THEN 'Friday' WHEN 6 THEN 'Saturday' WHEN 7 THEN 'Sunday' END AS day_name,
+  COUNT(*) AS transaction_count, {_T} AS total_spent, {avg_c('amount_cleaned')} AS avg_per_transaction
+FROM latest GROUP BY spending_day_of_week""")
+SQL["hq08_top_locations"] = sel(f"""SELECT location_name, location_type, COUNT(*) AS visit_count, {_T} AS total_spent,
+  {avg_c('amount_cleaned')} AS avg_per_visit FROM latest WHERE location_name IS NOT NULL
+GROUP BY location_name, location_type ORDER BY total_spent DESC, location_name LIMIT 20""")
+_VS = f"vs AS (SELECT snapshot_version, snapshot_date, COUNT(*) AS record_count, {_T} AS total_spending FROM curated GROUP BY 1, 2)"
+SQL["hq09_compare_adjacent"] = _wc(_VS) + f"""SELECT v1.snapshot_version AS older_version, v1.snapshot_date AS older_date,
+  v1.record_count AS older_records, v1.total_spending AS older_spending, v2.snapshot_version AS newer_version,
+  v2.snapshot_date AS newer_date, v2.record_count AS newer_records, v2.total_spending AS newer_spending,
+  v2.record_count - v1.record_count AS record_growth, {money('v2.total_spending - v1.total_spending')} AS spending_growth,
+  {qdiv('100 * (v2.record_count - v1.record_count)', 'v1.record_count', 2)} AS growth_pct
+FROM vs v1, vs v2 WHERE v2.snapshot_version = v1.snapshot_version + 1"""
+SQL["hq10_version_growth"] = _wc(_VS) + f"""SELECT snapshot_version, snapshot_date, record_count, total_spending,
+  CASE WHEN pc IS NULL THEN record_count ELSE record_count - pc END AS record_growth,
+  {money('CASE WHEN ps IS NULL THEN total_spending ELSE total_spending - ps END')} AS spending_growth
+FROM (SELECT *, LAG(record_count) OVER (ORDER BY snapshot_version) AS pc,
+        LAG(total_spending) OVER (ORDER BY snapshot_version) AS ps FROM vs)"""
+SQL["hq11_new_per_version"] = sel(f"""SELECT v.snapshot_version, COUNT(*) AS new_transaction_count,
+  {money('SUM(v.amount_cleaned)')} AS new_spending_amount, MIN(v.spending_date) AS earliest_new_transaction,
+  MAX(v.spending_date) AS latest_new_transaction
+FROM curated v LEFT JOIN curated prev ON v.stg_spending_id = prev.stg_spending_id
+  AND prev.snapshot_version = v.snapshot_version - 1
+WHERE prev.stg_spending_id IS NULL GROUP BY v.snapshot_version""")
+SQL["hq12_person_category"] = sel(f"""SELECT person_name, category_name, COUNT(*) AS transaction_count, {_T} AS total_spent,
+  {avg_c('amount_cleaned')} AS avg_per_transaction FROM latest GROUP BY person_name, category_name""")
+SQL["hq13_payment_pref"] = sel(f"""SELECT person_name, payment_method_name, payment_type, COUNT(*) AS usage_count,
+  {_T} AS total_spent, {avg_c('amount_cleaned')} AS avg_transaction FROM latest
+GROUP BY person_name, payment_method_name, payment_type""")
+SQL["hq14_high_value"] = sel("""SELECT person_name, spending_date, category_name, location_name, amount_cleaned,
+  description, payment_method_name FROM latest ORDER BY amount_cleaned DESC, stg_spending_id LIMIT 50""")
+SQL["hq15_quarterly"] = sel(f"""SELECT spending_year, spending_quarter, COUNT(*) AS transaction_count, {_T} AS total_spent,
+  {avg_c('amount_cleaned')} AS avg_transaction, COUNT(DISTINCT person_name) AS active_persons,
+  COUNT(DISTINCT category_name) AS categories_used FROM latest GROUP BY spending_year, spending_quarter""")
+
+
+def _bands_sql(labels):
+    case = (f"CASE WHEN data_quality_score >= 90 THEN '{labels[0]}' WHEN data_quality_score >= 80 THEN '{labels[1]}' "
+            f"WHEN data_quality_score >= 70 THEN '{labels[2]}' WHEN data_quality_score >= 60 THEN '{labels[3]}' "
+            f"WHEN data_quality_score >= 50 THEN '{labels[4]}' ELSE '{labels[5]}' END")
+    return sel(f"""SELECT quality_grade, record_count, {qdiv('100 * record_count', '(SELECT COUNT(*) FROM latest)', 2)} AS percentage
+FROM (SELECT {case} AS quality_grade, COUNT(*) AS record_count FROM latest GROUP BY 1)""")
+
+
+SQL["hq16_quality_grades"] = _bands_sql(["A+ (90-100)", "A (80-89)", "B (70-79)", "C (60-69)", "D (50-59)", "F (<50)"])
+SQL["cv_quality_bands"] = _bands_sql(["A+ (90-100)", "A  (80-89)", "B  (70-79)", "C  (60-69)", "D  (50-59)", "F  (<50)"])
+SQL["hq17_quality_category"] = sel(f"""SELECT category_name, COUNT(*) AS record_count,
+  {avg_i('data_quality_score')} AS avg_quality_score, MIN(data_quality_score) AS min_quality,
+  MAX(data_quality_score) AS max_quality FROM latest GROUP BY category_name""")
+SQL["hq18_person_versions"] = sel(f"""SELECT snapshot_version, snapshot_date, person_name, COUNT(*) AS transaction_count,
+  {_T} AS total_spent, {avg_c('amount_cleaned')} AS avg_per_transaction FROM curated WHERE person_name = '{P['person']}'
+GROUP BY snapshot_version, snapshot_date, person_name""")
+SQL["hq19_category_versions"] = sel(f"""SELECT snapshot_version, snapshot_date, category_name, COUNT(*) AS transaction_count,
+  {_T} AS total_spent FROM curated WHERE category_name = '{P['category']}' GROUP BY snapshot_version, snapshot_date, category_name""")
+SQL["hq20_as_of_date"] = sel(f"""SELECT snapshot_version, snapshot_date, COUNT(*) AS total_transactions, {_T} AS total_spending,
+  COUNT(DISTINCT person_name) AS unique_persons, COUNT(DISTINCT category_name) AS unique_categories,
+  MIN(spending_date) AS earliest_transaction, MAX(spending_date) AS latest_transaction
+FROM curated WHERE snapshot_date = DATE '2025-10-21' GROUP BY snapshot_version, snapshot_date""")
+SQL["hq21_export"] = sel("""SELECT snapshot_version, snapshot_date, person_name, category_name, category_group,
+  location_name, location_type, payment_method_name, payment_type, spending_date, spending_year, spending_month,
+  spending_quarter, spending_day_of_week, amount_cleaned, currency_code, description, data_quality_score FROM latest""")
+SQL["hq22_diff_versions"] = sel("""SELECT COALESCE(v1.stg_spending_id, v2.stg_spending_id) AS spending_id,
+  v1.person_name AS v1_person, v2.person_name AS v2_person, v1.category_name AS v1_category, v2.category_name AS v2_category,
+  v1.spending_date AS v1_date, v2.spending_date AS v2_date, v1.amount_cleaned AS v1_amount, v2.amount_cleaned AS v2_amount,
+  CASE WHEN v1.stg_spending_id IS NULL THEN 'New in V2' WHEN v2.stg_spending_id IS NULL THEN 'Removed in V2'
+       ELSE 'Exists in Both' END AS status
+FROM (SELECT * FROM curated WHERE snapshot_version = 1) v1
+FULL OUTER JOIN (SELECT * FROM curated WHERE snapshot_version = 2) v2 ON v1.stg_spending_id = v2.stg_spending_id""")
+SQL["cur_time_travel_sum"] = sel(f"""SELECT person_name, category_name, {_T} AS total_spent, COUNT(*) AS transaction_count
+FROM curated WHERE snapshot_version = 1 GROUP BY person_name, category_name""")
+SQL["cur_version_totals"] = sel(f"""SELECT snapshot_version, COUNT(*) AS record_count, {_T} AS total_spending
+FROM curated GROUP BY snapshot_version""")
+SQL["cv_latest_integrity"] = sel("""SELECT COUNT(DISTINCT CASE WHEN is_latest = 1 THEN snapshot_version END) AS latest_versions,
+  MAX(CASE WHEN is_latest = 1 THEN snapshot_version END) AS latest_version,
+  MAX(CASE WHEN is_latest = 1 THEN snapshot_date END) AS latest_snapshot_date,
+  COUNT(*) FILTER (WHERE is_latest = 1) AS latest_rows, COUNT(*) FILTER (WHERE is_latest NOT IN (0, 1)) AS invalid_flags
+FROM curated""")
+_REQ = ["snapshot_version", "snapshot_date", "stg_spending_id", "person_id", "category_id", "spending_date", "amount_cleaned"]
+_DEN = ["person_name", "category_name", "location_name", "payment_method_name"]
+SQL["cv_completeness"] = sel(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS kind, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, COUNT(*) AS total_records FROM curated"
+    for k, cols in (("required", _REQ), ("denormalised", _DEN)) for c in cols))
+SQL["cv_stg_consistency"] = sel("""SELECT (SELECT COUNT(*) FROM fact) AS stg_count, COUNT(*) AS curated_latest_count,
+  (SELECT COUNT(*) FROM fact) = COUNT(*) AS counts_match,
+  (SELECT COUNT(*) FROM fact s WHERE NOT EXISTS (SELECT 1 FROM latest c WHERE c.stg_spending_id = s.spending_id)) AS missing_in_curated
+FROM latest""")
+SQL["cv_version_history"] = sel("""SELECT snapshot_version, snapshot_date, is_latest, record_count, earliest_transaction,
+  latest_transaction, (SELECT COUNT(DISTINCT snapshot_version) FROM curated) AS total_versions,
+  (SELECT MIN(snapshot_version) FROM curated) AS first_version, (SELECT MAX(snapshot_version) FROM curated) AS latest_version,
+  (SELECT COUNT(*) FROM curated) AS total_records,
+  (SELECT COUNT(*) FROM curated) // (SELECT COUNT(DISTINCT snapshot_version) FROM curated) AS avg_records_per_version
+FROM (SELECT snapshot_version, snapshot_date, is_latest, COUNT(*) AS record_count, MIN(spending_date) AS earliest_transaction,
+        MAX(spending_date) AS latest_transaction FROM curated GROUP BY 1, 2, 3 ORDER BY snapshot_version DESC LIMIT 10)""")
+SQL["cv_growth_pct"] = sel(f"""SELECT snapshot_version, record_count,
+  CASE WHEN pc IS NULL THEN record_count ELSE record_count - pc END AS growth,
+  CASE WHEN pc IS NULL THEN CAST(0 AS DECIMAL(18,2)) ELSE {qdiv('100 * (record_count - pc)', 'pc', 2)} END AS growth_pct
+FROM (SELECT snapshot_version, COUNT(*) AS record_count, LAG(COUNT(*)) OVER (ORDER BY snapshot_version) AS pc
+      FROM curated GROUP BY snapshot_version) ORDER BY snapshot_version DESC LIMIT 5""")
+SQL["cv_date_ranges"] = sel("""SELECT MIN(spending_date) AS earliest_transaction, MAX(spending_date) AS latest_transaction,
+  MIN(snapshot_date) AS first_snapshot, MAX(snapshot_date) AS latest_snapshot,
+  CAST(MAX(snapshot_date) - MIN(snapshot_date) AS INTEGER) AS snapshot_span_days,
+  CAST(MAX(spending_date) - MIN(spending_date) AS INTEGER) AS transaction_span_days,
+  COUNT(*) FILTER (WHERE spending_date > DATE '2025-10-22') AS future_rows,
+  COUNT(*) FILTER (WHERE spending_date < DATE '2020-01-01') AS rows_before_2020 FROM curated""")
+SQL["cv_quality_stats"] = sel(f"""SELECT *, CASE WHEN avg_score >= 80 THEN 'PASS' WHEN avg_score >= 70 THEN 'WARN' ELSE 'FAIL' END AS status
+FROM (SELECT COUNT(*) AS total_records, {avg_i('data_quality_score')} AS avg_score, MIN(data_quality_score) AS min_score,
+  MAX(data_quality_score) AS max_score, CAST(ROUND(stddev_samp(data_quality_score), 2) AS DECIMAL(18,2)) AS std_dev FROM latest)""")
+SQL["cv_low_quality"] = sel(f"""SELECT low_quality_rows, total_rows, {qdiv('100 * low_quality_rows', 'total_rows', 2)} AS low_quality_pct
+FROM (SELECT COUNT(*) FILTER (WHERE data_quality_score < 70) AS low_quality_rows, COUNT(*) AS total_rows FROM latest)""")
+SQL["cv_quality_by_version"] = sel(f"""SELECT snapshot_version, COUNT(*) AS records, {avg_i('data_quality_score')} AS avg_score,
+  MIN(data_quality_score) AS min_score, MAX(data_quality_score) AS max_score FROM curated GROUP BY snapshot_version
+ORDER BY snapshot_version DESC LIMIT 5""")
+SQL["cv_version_count_advice"] = sel("""SELECT version_count, CASE WHEN version_count > 30 THEN 'ARCHIVE'
+  WHEN version_count > 10 THEN 'MONITOR' ELSE 'OK' END AS advice
+FROM (SELECT COUNT(DISTINCT snapshot_version) AS version_count FROM curated)""")
+_DUPV = "dv AS (SELECT snapshot_version, stg_spending_id, COUNT(*) AS duplicate_count FROM curated GROUP BY 1, 2 HAVING COUNT(*) > 1)"
+SQL["cv_duplicate_ids"] = _wc(_DUPV) + """SELECT *, (SELECT CAST(COALESCE(SUM(duplicate_count - 1), 0) AS BIGINT) FROM dv) AS extra_copies_total
+FROM (SELECT * FROM dv ORDER BY snapshot_version DESC, duplicate_count DESC, stg_spending_id LIMIT 20)"""
+SQL["cv_cross_version_ids"] = sel("""SELECT stg_spending_id, COUNT(DISTINCT snapshot_version) AS version_count FROM curated
+GROUP BY stg_spending_id HAVING COUNT(DISTINCT snapshot_version) > 1""")
+_ISS = []
+_ISS.append(("lv = 0", "'No latest version'", True))
+_ISS.append(("lv > 1", "'Multiple versions (' || CAST(lv AS VARCHAR) || ') have is_latest = 1'", True))
+_ISS.append(("inv > 0", "CAST(inv AS VARCHAR) || ' records with invalid is_latest values'", True))
+for _c in _REQ:
+    _ISS.append((f"n_{_c} > 0", f"CAST(n_{_c} AS VARCHAR) || ' NULL values in {_c}'", True))
+_ISS.append(("stg_n <> cur_n", "'STG/CURATED count mismatch: ' || CAST(abs(stg_n - cur_n) AS VARCHAR) || ' records'", True))
+_ISS.append(("miss > 0", "CAST(miss AS VARCHAR) || ' STG records not in CURATED'", True))
+_ISS.append(("fut > 0", "CAST(fut AS VARCHAR) || ' records with future dates'", False))
+_ISS.append(("low > 0", "CAST(low AS VARCHAR) || ' records with low quality scores'", False))
+_ISS.append(("dups > 0", "CAST(dups AS VARCHAR) || ' duplicate stg_spending_ids found'", True))
+_FACTS = ("facts AS (SELECT (SELECT COUNT(DISTINCT snapshot_version) FROM curated WHERE is_latest = 1) AS lv, "
+          "(SELECT COUNT(*) FROM curated WHERE is_latest NOT IN (0, 1)) AS inv, "
+          + ", ".join(f"(SELECT COUNT(*) FROM curated WHERE {c} IS NULL) AS n_{c}" for c in _REQ)
+          + ", (SELECT COUNT(*) FROM fact) AS stg_n, (SELECT COUNT(*) FROM latest) AS cur_n, "
+          "(SELECT COUNT(*) FROM fact s WHERE NOT EXISTS (SELECT 1 FROM latest c WHERE c.stg_spending_id = s.spending_id)) AS miss, "
+          "(SELECT COUNT(*) FROM curated WHERE spending_date > DATE '2025-10-22') AS fut, "
+          "(SELECT COUNT(*) FROM latest WHERE data_quality_score < 70) AS low, "
+          "(SELECT COUNT(*) FROM (SELECT 1 FROM curated GROUP BY snapshot_version, stg_spending_id HAVING COUNT(*) > 1)) AS dups)")
+_ISSUES = "iss AS (" + " UNION ALL ".join(
+    f"SELECT CASE WHEN {c} THEN {t} END AS issue, ({c}) AND {str(f).upper()} AS fails FROM facts" for c, t, f in _ISS) + ")"
+SQL["cv_verdict"] = _wc(_FACTS, _ISSUES) + """SELECT NOT bool_or(fails) AS validation_passed, COUNT(issue) AS issue_count,
+  string_agg(issue, '; ' ORDER BY issue) AS issues FROM iss"""
