@@ -220,3 +220,29 @@ JOBS["cv_version_count_advice"] = lambda s: U.cv_version_count_advice(s.curated)
 JOBS["cv_duplicate_ids"] = lambda s: U.cv_duplicate_ids(s.curated)
 JOBS["cv_cross_version_ids"] = lambda s: U.cv_cross_version_ids(s.curated)
 JOBS["cv_verdict"] = lambda s: U.cv_verdict(s.curated, s.latest, s.fact, s.cfg)
+
+# -- staging quality report and mart validation ---------------------------------------
+from ..operators import quality as Q  # noqa: E402
+
+JOBS["dq_table_counts"] = lambda s: Q.dq_table_counts(s.dims, s.fact, s.src)
+JOBS["dq_completeness"] = lambda s: Q.dq_completeness(s.fact, s.src)
+JOBS["dq_null_counts"] = lambda s: Q.dq_null_counts(s.fact)
+JOBS["dq_score_distribution"] = lambda s: Q.dq_score_distribution(s.fact)
+JOBS["dq_amount_validity"] = lambda s: Q.dq_amount_validity(s.fact)
+JOBS["dq_date_validity"] = lambda s: Q.dq_date_validity(s.fact, s.cfg)
+JOBS["dq_fk_orphans"] = lambda s: Q.dq_fk_orphans(s.fact, s.dims, s.dim_rows, s.cfg)
+JOBS["dq_unused_dims"] = lambda s: Q.dq_unused_dims(s.fact, s.dims)
+JOBS["dq_person_spending"] = lambda s: Q.dq_person_spending(s.complete)
+JOBS["dq_category_spending"] = lambda s: Q.dq_category_spending(s.complete)
+JOBS["dq_payment_usage"] = lambda s: Q.dq_payment_usage(s.complete)
+JOBS["dq_monthly_trend"] = lambda s: Q.dq_monthly_trend(s.fact, s.cfg)
+JOBS["dq_location_type"] = lambda s: Q.dq_location_type(s.complete)
+JOBS["dq_summary"] = lambda s: Q.dq_summary(s.dims, s.fact)
+JOBS["dq_grade"] = lambda s: Q.dq_grade(s.fact, s.src)
+JOBS["dv_total_reconcile"] = lambda s: Q.dv_total_reconcile(s.latest, s.mss, s.ct, s.pa, s.ps)
+JOBS["dv_count_reconcile"] = lambda s: Q.dv_count_reconcile(s.latest, s.mss, s.ct, s.pa, s.ps)
+JOBS["dv_record_counts"] = lambda s: Q.dv_record_counts(s.mss, s.ct, s.pa, s.ps)
+JOBS["dv_group_breakdown"] = lambda s: Q.dv_group_breakdown(s.pa)
+JOBS["dv_null_keys"] = lambda s: Q.dv_null_keys(s.mss, s.ct, s.pa, s.ps)
+JOBS["dv_person_consistency"] = lambda s: Q.dv_person_consistency(s.latest, s.mss, s.pa)
+JOBS["dv_verdict"] = lambda s: Q.dv_verdict(s.latest, s.mss, s.ct, s.pa, s.ps)

@@ -538,3 +538,94 @@ _ISSUES = "iss AS (" + " UNION ALL ".join(
     f"SELECT CASE WHEN {c} THEN {t} END AS issue, ({c}) AND {str(f).upper()} AS fails FROM facts" for c, t, f in _ISS) + ")"
 SQL["cv_verdict"] = _wc(_FACTS, _ISSUES) + """SELECT NOT bool_or(fails) AS validation_passed, COUNT(issue) AS issue_count,
   string_agg(issue, '; ' ORDER BY issue) AS issues FROM iss"""
+
+# -- staging quality report and mart validation -----------------------------------------
+_DL = [("person", "Persons", "person_id"), ("location", "Locations", "location_id"),
+       ("category", "Categories", "category_id"), ("payment_method", "Payment Methods", "payment_method_id")]
+SQL["dq_table_counts"] = sel(" UNION ALL ".join(
+    [f"SELECT '{lab}' AS dimension, COUNT(*) AS count, 'stg_dim_{k}' AS table_name FROM dim_{k}" for k, lab, _ in _DL]
+    + ["SELECT 'Spending Facts', COUNT(*), 'stg_fact_spending' FROM fact",
+       "SELECT 'Source Records', COUNT(*), 'src_daily_spending' FROM src"]))
+_CP = qdiv("100 * (SELECT COUNT(*) FROM fact)", "(SELECT COUNT(*) FROM src)", 2)
+SQL["dq_completeness"] = sel(f"""SELECT *, CASE WHEN completeness_pct = 100 THEN 'PASS' WHEN completeness_pct >= 95 THEN 'WARN'
+  ELSE 'FAIL' END AS status FROM (SELECT (SELECT COUNT(*) FROM fact) AS fact_rows, (SELECT COUNT(*) FROM src) AS source_rows,
+  {_CP} AS completeness_pct)""")
+SQL["dq_null_counts"] = sel("SELECT COUNT(*) AS total_records, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in
+    ["person_id", "location_id", "category_id", "payment_method_id", "spending_date", "amount_cleaned"]) + " FROM fact")
+SQL["dq_score_distribution"] = sel(f"""SELECT *, CASE WHEN avg_score >= 95 THEN 'PASS' WHEN avg_score >= 85 THEN 'WARN' ELSE 'FAIL' END AS status
+FROM (SELECT COUNT(*) AS total_records, {avg_i('data_quality_score')} AS avg_score, MIN(data_quality_score) AS min_score,
+  MAX(data_quality_score) AS max_score, COUNT(*) FILTER (WHERE data_quality_score = 100) AS perfect_score_count,
+  COUNT(*) FILTER (WHERE data_quality_score >= 90) AS high_quality_count,
+  COUNT(*) FILTER (WHERE data_quality_score >= 70) AS good_quality_count,
+  COUNT(*) FILTER (WHERE data_quality_score < 70) AS poor_quality_count FROM fact)""")
+SQL["dq_amount_validity"] = sel(f"""SELECT *, CASE WHEN negative_or_zero = 0 AND min_amount > 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE amount_cleaned <= 0) AS negative_or_zero,
+  COUNT(*) FILTER (WHERE amount_cleaned > 10000) AS extremely_high, {money('MIN(amount_cleaned)')} AS min_amount,
+  {money('MAX(amount_cleaned)')} AS max_amount, {avg_c('amount_cleaned')} AS avg_amount,
+  {qdiv(f"CAST(2 * quantile_cont({cents('amount_cleaned')}, 0.5) AS HUGEINT)", '200', 2)} AS median_amount FROM fact)""")
+SQL["dq_date_validity"] = sel("""SELECT MIN(spending_date) AS min_date, MAX(spending_date) AS max_date,
+  COUNT(DISTINCT spending_date) AS unique_dates, COUNT(*) FILTER (WHERE spending_date > DATE '2025-10-22') AS future_dates FROM fact""")
+_FKL = {"person": "Person FK", "location": "Location FK", "category": "Category FK", "payment_method": "Payment Method FK"}
+SQL["dq_fk_orphans"] = sel(" UNION ALL ".join(
+    f"SELECT '{_FKL[k]}' AS check_name, COUNT(*) AS orphan_count FROM fact f WHERE NOT EXISTS "
+    f"(SELECT 1 FROM dim_{k} d WHERE d.{key} = f.{key})" for k, _l, key in _DL))
+SQL["dq_unused_dims"] = sel(" UNION ALL ".join(
+    f"SELECT '{lab}' AS dimension, COUNT(*) AS unused_count FROM dim_{k} d WHERE NOT EXISTS "
+    f"(SELECT 1 FROM fact f WHERE f.{key} = d.{key})" for k, lab, key in _DL))
+SQL["dq_person_spending"] = sel(f"""SELECT person_name, COUNT(*) AS transaction_count, {_T} AS total_spending,
+  {avg_c('amount_cleaned')} AS avg_transaction, MIN(spending_date) AS first_transaction, MAX(spending_date) AS last_transaction
+FROM complete GROUP BY person_name""")
+_TOTC = cents("(SELECT SUM(amount_cleaned) FROM complete)")
+SQL["dq_category_spending"] = sel(f"""SELECT category_name, category_group, COUNT(*) AS transactions, {_T} AS total_amount,
+  {avg_c('amount_cleaned')} AS avg_amount, {qdiv(f"100 * SUM({cents('amount_cleaned')})", _TOTC, 2)} AS percentage
+FROM complete GROUP BY category_name, category_group""")
+SQL["dq_location_type"] = sel(f"""SELECT location_type, COUNT(*) AS transactions, {_T} AS total_amount,
+  {avg_c('amount_cleaned')} AS avg_amount, {qdiv(f"100 * SUM({cents('amount_cleaned')})", _TOTC, 2)} AS percentage
+FROM complete GROUP BY location_type""")
+SQL["dq_payment_usage"] = sel(f"""SELECT payment_method_name, payment_type, COUNT(*) AS transactions, {_T} AS total_amount,
+  {qdiv('100 * COUNT(*)', '(SELECT COUNT(*) FROM complete)', 2)} AS usage_percentage
+FROM complete GROUP BY payment_method_name, payment_type ORDER BY transactions DESC, payment_method_name LIMIT 10""")
+SQL["dq_monthly_trend"] = sel(f"""SELECT strftime(spending_date, '%Y-%m') AS month, COUNT(*) AS transactions, {_T} AS total_amount,
+  {avg_c('amount_cleaned')} AS avg_amount FROM fact WHERE spending_date >= DATE '2001-09-01' - INTERVAL 12 MONTH
+GROUP BY 1 ORDER BY month DESC LIMIT 12""")
+SQL["dq_summary"] = sel(f"""SELECT (SELECT COUNT(*) FROM dim_person) AS total_persons, (SELECT COUNT(*) FROM dim_location) AS total_locations,
+  (SELECT COUNT(*) FROM dim_category) AS total_categories, (SELECT COUNT(*) FROM dim_payment_method) AS total_payment_methods,
+  COUNT(*) AS total_transactions, {_T} AS total_amount, {avg_i('data_quality_score')} AS avg_quality_score FROM fact""")
+SQL["dq_grade"] = sel(f"""SELECT *, CASE WHEN completeness_pct = 100 AND avg_quality_score >= 95 THEN 'A+ (Excellent)'
+  WHEN completeness_pct >= 95 AND avg_quality_score >= 85 THEN 'A (Very Good)'
+  WHEN completeness_pct >= 90 AND avg_quality_score >= 75 THEN 'B (Good)' ELSE 'C or below (Needs Improvement)' END AS grade
+FROM (SELECT {_CP} AS completeness_pct, {avg_i('data_quality_score')} AS avg_quality_score FROM fact)""")
+_MARTS = [("dst_monthly_spending_summary", "mss", "total_spending"), ("dst_category_trends", "ct", "total_spending"),
+          ("dst_person_analytics", "pa", "total_spending"), ("dst_payment_method_summary", "ps", "total_amount")]
+_CURT = "(SELECT CAST(SUM(amount_cleaned) AS DECIMAL(18,2)) FROM latest)"
+SQL["dv_total_reconcile"] = sel(" UNION ALL ".join(
+    f"""SELECT '{n}' AS mart_name, {money(f'SUM({c})')} AS mart_total, {_CURT} AS curated_total,
+  {money(f'SUM({c}) - {_CURT}')} AS difference, abs(SUM({c}) - {_CURT}) < 0.01 AS match FROM {t}""" for n, t, c in _MARTS))
+SQL["dv_count_reconcile"] = sel(" UNION ALL ".join(
+    f"""SELECT '{n}' AS mart_name, CAST(SUM(transaction_count) AS BIGINT) AS mart_transactions,
+  (SELECT COUNT(*) FROM latest) AS curated_count, SUM(transaction_count) = (SELECT COUNT(*) FROM latest) AS match FROM {t}"""
+    for n, t, _c in _MARTS))
+SQL["dv_record_counts"] = sel(" UNION ALL ".join(f"SELECT '{n}' AS mart_name, COUNT(*) AS record_count FROM {t}" for n, t, _c in _MARTS))
+_G = " + ".join(f"SUM({c})" for c in ["essential_spending", "discretionary_spending", "transport_spending",
+                                        "healthcare_spending", "education_spending", "other_spending"])
+SQL["dv_group_breakdown"] = sel(f"""SELECT {money(_G)} AS groups_total, {money('SUM(total_spending)')} AS total_spending,
+  {money(f'{_G} - SUM(total_spending)')} AS difference, abs({_G} - SUM(total_spending)) < 0.01 AS match FROM pa""")
+_NK = [("dst_monthly_spending_summary", "mss", "person_name"), ("dst_monthly_spending_summary", "mss", "category_name"),
+       ("dst_category_trends", "ct", "category_name"), ("dst_person_analytics", "pa", "person_name"),
+       ("dst_payment_method_summary", "ps", "payment_method_name")]
+SQL["dv_null_keys"] = sel(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}" for n, t, c in _NK))
+_PC = "(SELECT COUNT(DISTINCT person_name) FROM latest)"
+SQL["dv_person_consistency"] = sel(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT(DISTINCT person_name) AS distinct_persons, COUNT(DISTINCT person_name) = {_PC} AS match FROM {t}"
+    for n, t in [("curated_spending_snapshots", "latest"), ("dst_monthly_spending_summary", "mss"), ("dst_person_analytics", "pa")]))
+_DVI = " UNION ALL ".join(
+    [f"SELECT CASE WHEN NOT (abs(SUM({c}) - {_CURT}) < 0.01) THEN '{n} total does not match curated' END AS issue FROM {t}" for n, t, c in _MARTS]
+    + [f"SELECT CASE WHEN SUM(transaction_count) <> (SELECT COUNT(*) FROM latest) THEN '{n} transaction count does not match curated' END FROM {t}" for n, t, _c in _MARTS]
+    + [f"SELECT CASE WHEN NOT (abs({_G} - SUM(total_spending)) < 0.01) THEN 'category groups do not add up to total spending' END FROM pa"]
+    + [f"SELECT CASE WHEN COUNT(*) FILTER (WHERE {c} IS NULL) > 0 THEN '{n}.{c} has NULL keys' END FROM {t}" for n, t, c in _NK]
+    + [f"SELECT CASE WHEN COUNT(DISTINCT person_name) <> {_PC} THEN '{n} person count differs' END FROM {t}"
+       for n, t in [("curated_spending_snapshots", "latest"), ("dst_monthly_spending_summary", "mss"), ("dst_person_analytics", "pa")]])
+SQL["dv_verdict"] = sel(f"""SELECT COUNT(issue) = 0 AS validation_passed, COUNT(issue) AS issue_count,
+  string_agg(issue, '; ' ORDER BY issue) AS issues FROM ({_DVI})""")
