@@ -75,13 +75,14 @@ def profile_integrity(src: DataFrame) -> DataFrame:
 
 
 def profile_value_counts(src: DataFrame, top: int = 5) -> DataFrame:
-    """Rows per person; top categories and payment methods (ties by name)."""
-    out = None
-    for col, limit in (("person_name", None), ("category", top), ("payment_method", top)):
+    """Rows per person (unranked: persons are unbounded); top categories and
+    payment methods, ranked only after the bounded top-k (ties by name)."""
+    persons = src.groupBy(F.col("person_name").alias("value")).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("person_name").alias("field"), "value", "row_count", F.lit(None).cast("int").alias("rank"))
+    out = persons
+    for col in ("category", "payment_method"):
         g = src.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
+        g = g.orderBy(F.desc("row_count"), F.asc_nulls_first("value")).limit(top)
         g = g.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("row_count"), F.asc_nulls_first("value"))))
-        if limit:
-            g = g.filter(F.col("rank") <= limit)
-        g = g.select(F.lit(col).alias("field"), "value", "row_count", "rank")
-        out = g if out is None else out.unionByName(g)
+        out = out.unionByName(g.select(F.lit(col).alias("field"), "value", "row_count", "rank"))
     return out

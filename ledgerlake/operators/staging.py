@@ -98,25 +98,34 @@ def stg_rejects(stg: DataFrame) -> DataFrame:
             .select("src_id", "person_name", "spending_date_raw", "amount_raw", "location_name", "reject_reason"))
 
 
-def dimension(stg: DataFrame, dim: str) -> DataFrame:
-    """One row per distinct name among parsed rows: key = first src_id,
-    attribute = that of the pair whose first occurrence is latest (SCD-1)."""
+def dimension_pairs(stg: DataFrame) -> DataFrame:
+    """First src_id of every (dimension, name, attribute) among parsed rows.
+
+    One scan of staging for all four dimensions: each row contributes up to
+    four (dim, name, attr) entries through ``explode``, and one partial +
+    final aggregation reduces them (the result has one row per distinct
+    pair, so it is small even when the fact is huge).
+    """
+    entries = F.array(*[
+        F.struct(F.lit(d).alias("dim"), F.col(name).alias("name"),
+                 (F.col(attr) if attr else F.lit(None).cast("string")).alias("attr"))
+        for d, (name, attr, _key) in DIM_SPECS.items()])
+    rows = parsed_rows(stg).select("src_id", F.explode(entries).alias("e"))
+    return (rows.filter(F.col("e.name").isNotNull())
+            .groupBy(F.col("e.dim").alias("dim"), F.col("e.name").alias("name"), F.col("e.attr").alias("attr"))
+            .agg(F.min("src_id").alias("first_src_id")))
+
+
+def dimension(pairs: DataFrame, dim: str) -> DataFrame:
+    """One row per distinct name: key = first src_id of the name, attribute =
+    that of the pair whose first occurrence is latest (SCD-1 upsert order)."""
     name, attr, key = DIM_SPECS[dim]
-    rows = parsed_rows(stg).filter(F.col(name).isNotNull())
+    p = pairs.filter(F.col("dim") == dim)
     if attr is None:
-        return rows.groupBy(name).agg(F.min("src_id").alias(key)).select(key, name)
-    pairs = rows.groupBy(name, attr).agg(F.min("src_id").alias("first_src_id"))
-    return (pairs.groupBy(name)
-            .agg(F.min("first_src_id").alias(key), F.max_by(attr, "first_src_id").alias(attr))
-            .select(key, name, attr))
-
-
-def dimension_sizes(stg: DataFrame) -> dict:
-    """Exact row counts of the four dimensions in one pass over staging
-    (each dimension has one row per distinct non-null name of parsed rows)."""
-    rows = parsed_rows(stg)
-    got = rows.agg(*[F.countDistinct(spec[0]).alias(d) for d, spec in DIM_SPECS.items()]).first()
-    return {d: got[d] for d in DIM_SPECS}
+        return p.groupBy("name").agg(F.min("first_src_id").alias(key)).select(key, F.col("name").alias(name))
+    return (p.groupBy("name")
+            .agg(F.min("first_src_id").alias(key), F.max_by("attr", "first_src_id").alias(attr))
+            .select(key, F.col("name").alias(name), attr))
 
 
 def fact_spending(stg: DataFrame, dims: dict, cfg: Config, dim_rows: dict) -> DataFrame:

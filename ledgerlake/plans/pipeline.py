@@ -56,17 +56,19 @@ class Spend:
     def stg(self) -> DataFrame:
         return G.stg_transform(self.src, self.cfg)
 
+    @cached_property
+    def dim_pairs(self) -> DataFrame:
+        return self._stage("stg_dim_pairs", lambda: G.dimension_pairs(self.stg))
+
     @cached_property
     def dims(self) -> dict:
-        return {d: self._stage(f"stg_dim_{d}", lambda d=d: G.dimension(self.stg, d)) for d in G.DIM_SPECS}
+        return {d: self._stage(f"stg_dim_{d}", lambda d=d: G.dimension(self.dim_pairs, d)) for d in G.DIM_SPECS}
 
     @cached_property
     def dim_rows(self) -> dict:
         """Exact dimension sizes: footer counts of stored tables, else one
         distinct-count pass over staging."""
-        if self.store is not None:
-            return {d: df.count() for d, df in self.dims.items()}
-        return G.dimension_sizes(self.stg)
+        return {d: df.count() for d, df in self.dims.items()}
 
     @cached_property
     def fact(self) -> DataFrame:

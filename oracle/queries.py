@@ -272,10 +272,11 @@ SQL["profile_integrity"] = sel("""SELECT COUNT(*) AS total_rows, COUNT(*) FILTER
   (SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM src
      GROUP BY person_name, spending_date, category, amount, location, description, payment_method)) AS duplicate_rows,
   COUNT(*) FILTER (WHERE date_p IS NULL) AS invalid_dates FROM stg0""")
-SQL["profile_value_counts"] = sel(" UNION ALL ".join(
+SQL["profile_value_counts"] = sel("""SELECT 'person_name' AS field, person_name AS value, COUNT(*) AS row_count,
+  CAST(NULL AS INTEGER) AS rank FROM src GROUP BY person_name UNION ALL """ + " UNION ALL ".join(
     f"""SELECT * FROM (SELECT '{c}' AS field, {c} AS value, COUNT(*) AS row_count,
-  CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c} NULLS FIRST) AS INTEGER) AS rank FROM src GROUP BY {c}) {'WHERE rank <= 5' if lim else ''}"""
-    for c, lim in [("person_name", False), ("category", True), ("payment_method", True)]))
+  CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c} NULLS FIRST) AS INTEGER) AS rank FROM src GROUP BY {c}) WHERE rank <= 5"""
+    for c in ["category", "payment_method"]))
 
 _RUN = f"'VAL_20251022_000000' AS validation_run_id, {_AS_OF} AS validation_timestamp, 'SRC' AS stage, 'src_daily_spending' AS table_name"
 
