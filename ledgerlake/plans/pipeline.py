@@ -24,6 +24,17 @@ from ..sources import fixture
 from ..sources.tables import TableStore
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than the cluster has
+    cores (e.g. one small file) before CPU-heavy parsing. Inputs that are
+    already wide enough - every large input - are left untouched, so at
+    scale this adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class Spend:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config | None = None,
                  store: TableStore | None = None):
@@ -49,12 +60,15 @@ class Spend:
 
     @cached_property
     def src(self) -> DataFrame:
-        return self._stage("src_daily_spending", lambda: G.src_table(self.raw, self.cfg),
+        return self._stage("src_daily_spending", lambda: widen(G.src_table(self.raw, self.cfg)),
                            partition_by=["load_batch_id"])
 
     @cached_property
     def stg(self) -> DataFrame:
-        return G.stg_transform(self.src, self.cfg)
+        """Cleaned and classified rows (loadable and rejected). Stored once, so
+        the text parsing runs once per row and downstream filters on the parse
+        flags become Parquet pushdowns."""
+        return self._stage("stg_transformed", lambda: G.stg_transform(self.src, self.cfg))
 
     @cached_property
     def dim_pairs(self) -> DataFrame:
