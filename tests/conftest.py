@@ -13,6 +13,7 @@ def spark():
     from ledgerlake.session import JOB_CONF
     b = (SparkSession.builder.master("local[*]").appName("ledgerlake-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g")
          .config("spark.ui.showConsoleProgress", "false"))
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
