@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession, fallback: str | None = None) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+            or spark.sparkContext.getCheckpointDir())
     if root:
         return root.rstrip("/")
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
+    try:  # a core setting: some deployments refuse to change it at runtime
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    except Exception:  # noqa: BLE001
+        pass
     return fallback.rstrip("/")
 
 
@@ -30,7 +34,8 @@ def run_folder(spark: SparkSession) -> str:
     import uuid
     fallback = None
     if not (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir")):
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+            or spark.sparkContext.getCheckpointDir()):
         fallback = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     return f"{shared_root(spark, fallback)}/ledgerlake-{uuid.uuid4().hex[:12]}"
 

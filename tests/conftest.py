@@ -20,9 +20,8 @@ def spark():
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        from ledgerlake.sources.tables import shared_root
+        shared_root(s, tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-"))
     yield s
 
 
