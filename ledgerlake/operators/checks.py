@@ -81,11 +81,20 @@ def row_level_checks(src: DataFrame, cfg: Config) -> DataFrame:
     samples = (flagged.withColumn("rn", rn).filter(F.col("rn") <= SAMPLE_IDS)
                .withColumn("txt", sample_text)
                .groupBy("check").agg(F.expr("listagg(txt, ', ') WITHIN GROUP (ORDER BY src_id)").alias("ids")))
-    rows = None
-    for name, (ctype, _bad, _den, msg) in checks.items():
-        one = counts.select(*_log_row(cfg, name, ctype, F.col(f"{name}__n"), F.col(f"{name}__f"),
-                                      F.lit(msg), F.lit(None).cast("string")))
-        rows = one if rows is None else rows.unionByName(one)
+    # one aggregate row -> one row per check (inline), so src is scanned once for all counts
+    per_check = F.array(*[F.struct(F.lit(name).alias("check"), F.lit(ctype).alias("ctype"), F.lit(msg).alias("msg"),
+                                   F.col(f"{name}__n").alias("n"), F.col(f"{name}__f").alias("f"))
+                          for name, (ctype, _bad, _den, msg) in checks.items()])
+    unpivoted = counts.select(F.inline(per_check))
+    rows = unpivoted.select(
+        F.lit(cfg.validation_run_id).alias("validation_run_id"),
+        F.lit(cfg.as_of).cast("timestamp_ntz").alias("validation_timestamp"),
+        F.lit("SRC").alias("stage"), F.lit("src_daily_spending").alias("table_name"),
+        F.col("check").alias("check_name"), F.col("ctype").alias("check_type"),
+        F.when(F.col("f") == 0, "PASSED").otherwise("FAILED").alias("check_status"),
+        F.col("n").cast("bigint").alias("records_checked"), F.col("f").cast("bigint").alias("records_failed"),
+        pct(F.col("f"), F.col("n")).alias("failure_percentage"),
+        F.col("msg").alias("error_message"), F.lit(None).cast("string").alias("sample_failed_ids"))
     s = samples.withColumnRenamed("check", "check_name")
     return (rows.join(F.broadcast(s), "check_name", "left")  # at most 5 rows
             .withColumn("sample_failed_ids", F.col("ids")).select(*LOG_COLUMNS))
