@@ -81,7 +81,7 @@ class Config:
     # job parameters with their test values
     version: int = 1
     version_pair: tuple = (1, 2)
-    person: str = "NATION_7"
+    person: str = "NATION_5"
     category: str = "Dining"
     snapshot_date: _dt.date = _dt.date(2025, 10, 21)
     year: int = 2000

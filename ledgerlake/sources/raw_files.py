@@ -23,19 +23,25 @@ def file_position(files: DataFrame) -> DataFrame:
                         F.col("_metadata.row_index").alias("_row"))
 
 
-def with_file_offsets(f: DataFrame, base: int | F.Column = 0) -> DataFrame:
+MAX_BROADCAST_FILES = 200_000  # ~10 MB of (name, offset) pairs
+
+
+def with_file_offsets(f: DataFrame, base: int | F.Column = 0, n_files: int | None = None) -> DataFrame:
     """Add ``src_id`` = base + rows of earlier files (by name) + row_index + 1
-    to rows that carry ``source_file`` and ``_row`` (see ``file_position``)."""
+    to rows that carry ``source_file`` and ``_row`` (see ``file_position``).
+    The offset table has one row per file; it is broadcast when the file
+    count (known from the file listing) is under the bound."""
     counts = f.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = counts.select("source_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = f.join(F.broadcast(offsets), "source_file")
+    small = n_files is not None and n_files <= MAX_BROADCAST_FILES
+    out = f.join(F.broadcast(offsets) if small else offsets, "source_file")
     return out.withColumn("src_id", (F.lit(base) + F.col("_off") + F.col("_row") + 1).cast("bigint")) \
         .drop("_off", "_row")
 
 
 def read_raw_files(spark: SparkSession, path: str, load_batch_id: str, loaded_at) -> DataFrame:
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
-    return with_file_offsets(file_position(raw)).select(
+    return with_file_offsets(file_position(raw), 0, len(raw.inputFiles())).select(
         "src_id", *RAW_SCHEMA.fieldNames(), "source_file", F.lit(load_batch_id).alias("load_batch_id"),
         F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..sources.raw_files import RAW_SCHEMA, file_position, with_file_offsets
 
 
-def _batch_writer(target: str, loaded_at):
+def _batch_writer(target: str, loaded_at, max_files: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch_name = f"LOAD_STREAM_{batch_id:06d}"
@@ -27,7 +27,7 @@ def _batch_writer(target: str, loaded_at):
                     .agg(F.coalesce(F.max("src_id"), F.lit(0))).first()[0])
         except Exception:  # noqa: BLE001  (first batch: no table yet)
             base = 0
-        rows = with_file_offsets(batch, base).select(
+        rows = with_file_offsets(batch, base, max_files).select(
             "src_id", *RAW_SCHEMA.fieldNames(), "source_file", F.lit(batch_name).alias("load_batch_id"),
             F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -37,9 +37,11 @@ def _batch_writer(target: str, loaded_at):
 
 def incremental_ingest(spark: SparkSession, source_dir: str, target: str, checkpoint: str, loaded_at,
                        max_files_per_batch: int = 1000) -> None:
-    """Run until every file currently in ``source_dir`` has been loaded once."""
+    """Run until every file currently in ``source_dir`` has been loaded once.
+    ``maxFilesPerTrigger`` bounds each micro-batch, and with it the per-file
+    offset table that is broadcast inside the batch."""
     stream = file_position(spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_batch)
                            .parquet(source_dir))
-    q = (stream.writeStream.foreachBatch(_batch_writer(target, loaded_at))
+    q = (stream.writeStream.foreachBatch(_batch_writer(target, loaded_at, max_files_per_batch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -24,7 +24,7 @@ def pct_i(part: str, whole: str) -> str:
     return qdiv(f"100 * ({part})", whole, 2)
 
 
-P = {"year": 2000, "month": 6, "person": "NATION_7", "category": "Dining"}
+P = {"year": 2000, "month": 6, "person": "NATION_5", "category": "Dining"}
 
 SQL: dict[str, str] = {}
 
