@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 ONLINE_KEYWORDS = ["shopee", "lazada", "zalora", "amazon", "grab", "foodpanda",
                    "udemy", "netflix", "spotify", "online", "taobao", ".com", "web"]
 TRANSPORT_KEYWORDS = ["mrt", "bus", "taxi", "grab", "gojek", "station", "interchange"]
-PHYSICAL_KEYWORDS = ["mall", "restaurant", "cafe", "clinic", "hospital", "court", "market"]
+# (physical-place keywords lead to the same label as the default, 'Physical')
 
 # Payment keywords, checked in this order.
 CARD_KEYWORDS = ["card", "visa", "mastercard", "amex"]
@@ -88,6 +88,4 @@ class Config:
     month: int = 6
     # largest dimension we are willing to broadcast (rows); bigger ones shuffle
     broadcast_max_rows: int = 2_000_000
-    # thresholds
-    discretionary_target_pct: str = "0.35"
     extras: dict = field(default_factory=dict)

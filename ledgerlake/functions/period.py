@@ -31,12 +31,6 @@ def prior(value: str, keys: list, offset: int, order: str = "month_idx") -> Colu
     return F.first(value).over(w)
 
 
-def rolling_avg(value: str, keys: list, months: int, order: str = "month_idx") -> Column:
-    """Average over the months present in the last ``months`` calendar months (no zero fill)."""
-    w = Window.partitionBy(*keys).orderBy(order).rangeBetween(-(months - 1), 0)
-    return F.avg(value).over(w)
-
-
 def round2(c: Column, scale: int = 2) -> Column:
     """HALF_UP rounding of an exact decimal, returned as decimal(18, scale)."""
     return F.round(c, scale).cast(f"decimal(18,{scale})")
@@ -74,15 +68,6 @@ def trend_from_prev(cur: Column, prev: Column) -> Column:
             .otherwise("STABLE"))
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
-
-
-def avg_money(c: Column) -> Column:
-    """AVG of a decimal, stored rounded to cents."""
-    return round2(F.avg(c))
-
-
 def exact_median(c: Column) -> Column:
     """PERCENTILE_CONT(0.5) of a cents-scale decimal, rounded HALF_UP to cents.
 

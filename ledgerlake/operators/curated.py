@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..config import Config
 from ..functions.period import MONEY, dec, pct, round2
 from .marts import avg_exact
@@ -19,7 +20,7 @@ def _n():
     return F.count(F.lit(1))
 
 
-WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+WEEKDAYS = C.WEEKDAY_NAMES
 # FIXED VALUES: quality band labels (helper query and validation report differ in spacing)
 HQ_BANDS = ["A+ (90-100)", "A (80-89)", "B (70-79)", "C (60-69)", "D (50-59)", "F (<50)"]
 CV_BANDS = ["A+ (90-100)", "A  (80-89)", "B  (70-79)", "C  (60-69)", "D  (50-59)", "F  (<50)"]

@@ -15,13 +15,6 @@ Job = Callable[[Spend], DataFrame]
 JOBS: dict[str, Job] = {}
 
 
-def job(name: str):
-    def deco(fn):
-        JOBS[name] = fn
-        return fn
-    return deco
-
-
 def _stg_cols(*cols):
     return lambda s: s.stg.select("src_id", *cols)
 
