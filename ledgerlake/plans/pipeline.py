@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..operators import checks as K
 from ..operators import marts as M
 from ..operators import snapshots as S
 from ..operators import staging as G
@@ -93,6 +94,12 @@ class Spend:
     def complete(self) -> DataFrame:
         return G.spending_complete(self.fact, self.dims, self.cfg, self.dim_rows)
 
+    @cached_property
+    def validation_log(self) -> DataFrame:
+        """Check log of this load and validation run (appended per run id, never truncated)."""
+        return self._stage("log_validation_results", lambda: K.validation_log(self.src, self.cfg),
+                           partition_by=["validation_run_id"])
+
     @cached_property
     def rejects(self) -> DataFrame:
         return G.stg_rejects(self.stg)

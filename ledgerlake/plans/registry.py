@@ -159,10 +159,10 @@ for _key, _name in [("chk_null_required", "NULL_CHECK_REQUIRED_FIELDS"), ("chk_e
 JOBS["chk_duplicates"] = lambda s: K.duplicates_check(s.src, s.cfg)
 JOBS["chk_freshness"] = lambda s: K.freshness_check(s.src, s.cfg)
 JOBS["check_log_union"] = lambda s: K.check_log(s.src, s.cfg)
-JOBS["latest_validation_summary"] = lambda s: K.latest_validation_summary(K.validation_log(s.src, s.cfg))
-JOBS["validation_by_type"] = lambda s: K.validation_by_type(K.validation_log(s.src, s.cfg), s.cfg)
-JOBS["validation_failed_detail"] = lambda s: K.validation_failed_detail(K.validation_log(s.src, s.cfg), s.cfg)
-JOBS["validation_gate"] = lambda s: K.validation_gate(K.validation_log(s.src, s.cfg))
+JOBS["latest_validation_summary"] = lambda s: K.latest_validation_summary(s.validation_log)
+JOBS["validation_by_type"] = lambda s: K.validation_by_type(s.validation_log, s.cfg)
+JOBS["validation_failed_detail"] = lambda s: K.validation_failed_detail(s.validation_log, s.cfg)
+JOBS["validation_gate"] = lambda s: K.validation_gate(s.validation_log)
 
 # -- curated snapshots --------------------------------------------------------------
 from ..operators import curated as U  # noqa: E402
