@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import Config
-from ..functions.period import MONEY, dec, pct, round2
+from ..functions.period import MONEY, dec, pct
 from .marts import avg_exact
 from .reports import money_sum, top_k
 

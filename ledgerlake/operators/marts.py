@@ -13,8 +13,6 @@ match, which would leave every MoM column NULL.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -6,11 +6,11 @@ a tie-break so that the selected set is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.period import MONEY, dec, pct, round2
+from ..functions.period import MONEY, dec, pct
 from .marts import avg_exact
 
 

@@ -244,7 +244,7 @@ FROM health h LEFT JOIN LATERAL (SELECT recommendation_title, potential_monthly_
 WHERE h.year = {P['year']} AND h.month = {P['month']} AND h.health_score < 70""")
 
 # -- ingest, profile, source checks ---------------------------------------------
-from .base import AS_OF as _AS_OF, qlist as _ql  # noqa: E402
+from .base import AS_OF as _AS_OF  # noqa: E402
 
 SQL["ingest_raw"] = sel("SELECT * FROM src")
 SQL["ingest_reconcile"] = sel("""SELECT 'LOAD_20251020_000000' AS load_batch_id, (SELECT COUNT(*) FROM raw) AS file_rows,
