@@ -6,6 +6,7 @@ import sys
 
 sys.path.insert(0, ".")
 from ledgerlake.config import Config  # noqa: E402
+from ledgerlake.operators import checks as K  # noqa: E402
 from ledgerlake.operators import insights as I  # noqa: E402
 from ledgerlake.operators import marts as M  # noqa: E402
 from ledgerlake.operators import staging as G  # noqa: E402
@@ -26,6 +27,7 @@ stages = [
     ("Person analytics mart", M.person_analytics(s.latest, s.cfg)),
     ("Payment summary mart", M.payment_summary(s.latest, s.cfg)),
     ("Budget alerts view", I.budget_alerts(s.pa, s.mss)),
+    ("Row-level source checks (one aggregate scan + bounded sample pass)", K.row_level_checks(s.src, s.cfg)),
 ]
 root = s.store.root
 out = ["# Physical plans", "",
