@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import llr_quality, quality_classifier
+from ledgerlake.llm import llr_quality, pii, quality_classifier, token_counts
 from ledgerlake.llm.scratch import stored
 
 
@@ -30,5 +30,36 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(stats, model)
 
 
-QUERIES = {f.__name__: f for f in (op2_llr_quality, op9_quality_classifier)}
+def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, limit: int = 2048) -> DataFrame:
+    """``vocabulary``: path of the vocabulary file; the public word_bpe_49k.json if none is given."""
+    if vocabulary is None:
+        import public_tokenizers
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    counted = token_counts.token_prefixes(docs, vocabulary, keep_text=False)
+    n = F.element_at("prefix_tokens", -1).cast("long")
+    return counted.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
+
+
+def _listing(spans: str, kinds=None) -> F.Column:
+    """kind:start:end of the spans, comma-joined in their order."""
+    col = F.col(spans)
+    if kinds:
+        col = F.filter(col, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _n_kind(spans: str, kind: str) -> F.Column:
+    return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(pii.candidates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "candidates")
+    spans = pii.accept(found, pii.fit(found))
+    return spans.select("doc_id", *[_n_kind("spans", k).alias(f"n_{k}") for k in pii.BASE],
+                        F.sha2(_listing("spans", pii.BASE), 256).alias("base_sha256"), _listing("spans").alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op2_llr_quality, op7_token_counts, op9_quality_classifier, op10_pii)}
 ORACLE: dict[str, str] = {}
