@@ -21,6 +21,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SPACE = "\t-\r \x85\xa0  -     　"
-_SHORT = re.compile("[^a-z]")
-_CACHE_WORDS = 250_000
+_CACHE_WORDS = 400_000
 _SLICE = 400_000  # code points of prefix counts sent back at a time
 
 
@@ -54,11 +54,15 @@ class PrefixCounter:
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("(" + "|".join(special) + ")") if special else None
         self.marks = {t["content"] for t in spec["added_tokens"]}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.inner = frozenset(t for t in self.vocab if not t.endswith(self.end))
+        self.closing = frozenset(t.removesuffix(self.end) for t in self.vocab if t.endswith(self.end))
+        # node of a token: (follows inside a word, follows as word end, token); the two
+        # dictionaries say of a next piece whether it is a token that stays apart
+        self.nodes: dict[str, tuple[dict, dict, str]] = {}
+        self.known = 0
+        self.stems: dict[str, tuple[list, list, list]] = {}
         self.words: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[bytes, int]] = {}
-        self.byte_char = _byte_alphabet()
-        self.split_ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Plain merging by rank, leftmost first."""
@@ -73,18 +77,27 @@ class PrefixCounter:
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def stays_apart(self, left: str, right: str) -> bool:
-        key = (left, right)
-        got = self.apart.get(key)
-        if got is None:
-            bare = right.removesuffix(self.end)
-            symbols = [*left, *bare]
-            if len(bare) < len(right):
+    def stays_apart(self, node: tuple, piece: str, ends: bool) -> bool:
+        """Whether ``piece`` is a token that may follow the node's token: the two
+        strings together encode to exactly these two tokens."""
+        left = node[2]
+        if piece not in (self.closing if ends else self.inner):
+            got = False
+        elif not left:
+            got = True
+        else:
+            symbols = [*left, *piece]
+            if ends:
                 symbols[-1] += self.end
-            got = self.merge(symbols) == [left, right]
-            if len(self.apart) > 2_000_000:
-                self.apart.clear()
-            self.apart[key] = got
+            got = self.merge(symbols) == [left, piece + self.end if ends else piece]
+        node[ends][piece] = got
+        self.known += 1
+        return got
+
+    def node(self, token: str) -> tuple[dict, dict, str]:
+        got = self.nodes.get(token)
+        if got is None:
+            got = self.nodes[token] = ({}, {}, token)
         return got
 
     def word_prefixes(self, word: str) -> list[int]:
@@ -93,26 +106,45 @@ class PrefixCounter:
         got = self.words.get(word)
         if got is not None:
             return got
-        vocab, apart, longest, end = self.vocab, self.stays_apart, self.longest, self.end
-        last, count, out = [""], [0], []
-        for j in range(1, len(word) + 1):
-            closing = 0
-            for i in range(j - 1, max(-1, j - longest - 1), -1):
-                piece = word[i:j] + end
-                if piece in vocab and (i == 0 or apart(last[i], piece)):
-                    closing = count[i] + 1
-                    break
-            out.append(closing)
-            for i in range(j - 1, max(-1, j - longest - 1), -1):
-                piece = word[i:j]
-                if piece in vocab and (i == 0 or apart(last[i], piece)):
-                    last.append(piece)
-                    count.append(count[i] + 1)
-                    break
-        if len(word) <= 40:
+        if self.known > 3_000_000:
+            self.known = 0
+            self.nodes.clear()
+            self.stems.clear()
+        n = len(word)
+        for cut in (9, 6, 4, 2):  # states of a known beginning are the same for every word
+            known = self.stems.get(word[:cut]) if n > cut else None
+            if known:
+                nodes, count, out = known[0][:cut + 1], known[1][:cut + 1], known[2][:cut]
+                break
+        else:
+            cut, nodes, count, out = 0, [self.node("")], [0], []
+        apart, longest = self.stays_apart, self.longest
+        for j in range(cut + 1, n + 1):
+            i, low = j - 1, max(0, j - longest)
+            step = total = 0
+            while i >= low and not (step and total):
+                piece, node = word[i:j], nodes[i]
+                if not step:
+                    ok = node[0].get(piece)
+                    if apart(node, piece, False) if ok is None else ok:
+                        nodes.append(self.node(piece))
+                        step = count[i] + 1
+                if not total:
+                    ok = node[1].get(piece)
+                    if apart(node, piece, True) if ok is None else ok:
+                        total = count[i] + 1
+                i -= 1
+            count.append(step)
+            out.append(total)
+        if n <= 40:
             if len(self.words) >= _CACHE_WORDS:
                 self.words.clear()
+                self.stems.clear()
             self.words[word] = out
+            for at in (2, 4, 6, 9):
+                if at > n:
+                    break
+                self.stems.setdefault(word[:at], (nodes, count, out))
         return out
 
     def pretokens(self, text: str) -> list[str]:
@@ -125,49 +157,30 @@ class PrefixCounter:
 
     def plain_chunk(self, text: str) -> list[int]:
         """Counts of the prefixes 1..n of a chunk that holds no special string."""
-        if text.isascii():
-            low = text.lower()
-            words = self.split_ascii.findall(low)
-            maps = None
-        elif self._steady(text):
-            low = self.library.normalizer.normalize_str(text)
-            words = self.pretokens(text)
-            maps = [len(c.encode()) for c in low]
-        else:
+        if text.isalpha() and text.isascii():
+            return self.word_prefixes(text.lower())
+        if not _STEADY.fullmatch(text):
             return [self.whole(text[:j]) for j in range(1, len(text) + 1)]
         out: list[int] = []
-        done, at = 0, 0
-        for w in words:
-            if maps is None and w[0] == "'" and len(w) > 1 and w[1].islower():  # a cut contraction splits otherwise
+        done = 0
+        for w in _SPLIT.findall(text.lower()):
+            if w[0] == "'" and len(w) > 1 and w[1].islower():  # a contraction that is cut splits otherwise
                 out += [done + self.whole(w[:j]) for j in range(1, len(w))] + [done + self.word_prefixes(w)[-1]]
-                done = out[-1]
-                continue
-            if maps is None:
-                counts = self.word_prefixes(w) if w.isprintable() else self.word_prefixes(self._bytes(w))
-                out += [done + c for c in counts]
+            elif w.isascii() and w.isprintable():
+                counts = self.word_prefixes(w)
+                out += [done + c for c in counts] if done else counts
             else:
-                counts, used = self.word_prefixes(w), 0
-                if w[0] == "'" and len(w) > 1 and w[1].islower():
-                    n = len(w)
-                    out += [done + self.whole(w[:j]) for j in range(1, n)] + [done + counts[-1]]
-                    at += n
-                    done = out[-1]
-                    continue
-                while used < len(w):
-                    used += maps[at]
-                    at += 1
-                    out.append(done + counts[used - 1])
+                counts = self.word_prefixes(self._bytes(w))
+                ends, at = [], -1
+                for c in w:
+                    at += 1 if c < "\x80" else 2
+                    ends.append(at)
+                out += [done + counts[i] for i in ends]
             done = out[-1]
         return out
 
     def _bytes(self, w: str) -> str:
-        return "".join(self.byte_char[b] for b in w.encode())
-
-    def _steady(self, text: str) -> bool:
-        """Whether every prefix is normalised as the same prefix of the whole."""
-        if any(ord(c) > 0x24F for c in text) or not unicodedata.is_normalized("NFC", text):
-            return False
-        return all(len(c.lower()) == 1 for c in text)
+        return w.encode().decode("latin-1").translate(_STAND_INS)
 
     def chunk(self, text: str) -> tuple[bytes, int]:
         """(prefix counts 1..n as little-endian 32-bit numbers, count of the whole)."""
@@ -185,7 +198,7 @@ class PrefixCounter:
                     before = part
         else:
             out = self.plain_chunk(text)
-        got = (np.array(out, dtype="<i4").tobytes(), out[-1])
+        got = (array("i", out).tobytes(), out[-1])
         if len(text) <= 40:
             if len(self.chunks) >= _CACHE_WORDS:
                 self.chunks.clear()
@@ -209,7 +222,7 @@ class PrefixCounter:
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         blank = _BLANK[np.minimum(code, 0x3001)]
         inside = np.flatnonzero(~blank) + 1
-        out[inside] = np.frombuffer(b"".join([g[0] for g in got]), dtype="<i4") + np.repeat(before, lens)
+        out[inside] = np.frombuffer(b"".join([g[0] for g in got]), dtype=np.int32) + np.repeat(before, lens)
         gaps = np.flatnonzero(blank) + 1
         if len(gaps):  # white space adds nothing: the count of the chunks that ended before it
             ends = np.cumsum(lens)
@@ -225,17 +238,19 @@ _BLANK = np.zeros(0x3002, dtype=bool)
 _BLANK[[i for i in range(0x3002) if re.match(f"[{_SPACE}]", chr(i))]] = True
 
 
-def _byte_alphabet() -> list[str]:
+def _byte_alphabet() -> dict[int, str]:
     """Printable stand-ins of the 256 bytes in byte-level vocabularies."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    out, extra = [], 0
-    for b in range(256):
-        if b in shown:
-            out.append(chr(b))
-        else:
-            out.append(chr(256 + extra))
-            extra += 1
-    return out
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_STAND_INS = _byte_alphabet()
+#: Characters below U+0250 normalise and lower-case one by one (but for one that grows); their classes are plain.
+_STEADY = re.compile("[\x00-\u012f\u0131-\u024f]+")
+_LETTER = "".join(re.escape(chr(i)) for i in range(0x250) if unicodedata.category(chr(i))[0] == "L")
+_NUMBER = "".join(re.escape(chr(i)) for i in range(0x250) if unicodedata.category(chr(i))[0] == "N")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
 
 
 def _counter(path: str) -> PrefixCounter:
