@@ -106,7 +106,7 @@ def repeated_words(w: Words, size: int = 5) -> np.ndarray:
         twice[1:] |= same
         twice[:-1] |= same
         marked[at[order[twice]]] = True
-    return covered(marked, size, w.first)
+    return covered(marked, size)
 
 
 def per_text(w: Words, flags: np.ndarray) -> np.ndarray:

@@ -30,4 +30,4 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def blocks_log2(spark: SparkSession) -> int:
     """log2 of the number of hash blocks: four for each shuffle partition at least."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    return max(4, (n - 1).bit_length())
+    return min(22, max(4, (n - 1).bit_length()))

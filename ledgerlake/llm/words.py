@@ -147,10 +147,10 @@ def windows(h: np.ndarray, first: np.ndarray, size: int, seed: int = 5) -> tuple
     return out, good
 
 
-def covered(marked: np.ndarray, size: int, first: np.ndarray) -> np.ndarray:
-    """Words covered by marked windows of ``size`` words (windows never cross texts)."""
+def covered(marked: np.ndarray, size: int) -> np.ndarray:
+    """Words covered by marked windows of ``size`` words (a window never crosses texts)."""
     step = np.zeros(len(marked) + size + 1, dtype=np.int32)
     at = np.flatnonzero(marked)
-    np.add.at(step, at, 1)
-    np.add.at(step, at + size, -1)
+    step[at] += 1
+    step[at + size] -= 1
     return np.cumsum(step[: len(marked)]) > 0
