@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import llr_quality, pii, quality_classifier, substring_dedup, token_counts
+from ledgerlake.llm import llr_quality, ngram_join, pii, quality_classifier, substring_dedup, token_counts
 from ledgerlake.llm.scratch import stored
 
 
@@ -36,6 +36,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                        F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, limit: int = 2048) -> DataFrame:
     """``vocabulary``: path of the vocabulary file; the public word_bpe_49k.json if none is given."""
     if vocabulary is None:
@@ -67,5 +71,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_listing("spans", pii.BASE), 256).alias("base_sha256"), _listing("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_llr_quality, op3_substring_dedup, op7_token_counts, op9_quality_classifier, op10_pii)}
+QUERIES = {f.__name__: f for f in (op2_llr_quality, op3_substring_dedup, op4_ngram_join, op7_token_counts, op9_quality_classifier, op10_pii)}
 ORACLE: dict[str, str] = {}
