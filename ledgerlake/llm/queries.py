@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import llr_quality, ngram_join, pii, quality_classifier, substring_dedup, token_counts
+from ledgerlake.llm import (decontaminate, llr_quality, mixing, ngram_join, pii, quality_classifier, secret_scan, substring_dedup,
+                            token_counts, url_trust)
 from ledgerlake.llm.scratch import stored
 
 
@@ -17,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mixed_amounts(_table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
 def op2_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = llr_quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -40,6 +46,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_trust.judge_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None, limit: int = 2048) -> DataFrame:
     """``vocabulary``: path of the vocabulary file; the public word_bpe_49k.json if none is given."""
     if vocabulary is None:
@@ -64,6 +81,13 @@ def _n_kind(spans: str, kind: str) -> F.Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_scan.BASE]
+    return found.select("doc_id", *[_n_kind("spans", k).alias(f"n_{k}") for k in base],
+                        F.sha2(_listing("spans", base), 256).alias("base_sha256"), _listing("spans").alias("spans"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stored(pii.candidates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "candidates")
     spans = pii.accept(found, pii.fit(found))
@@ -71,5 +95,124 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_listing("spans", pii.BASE), 256).alias("base_sha256"), _listing("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_llr_quality, op3_substring_dedup, op4_ngram_join, op7_token_counts, op9_quality_classifier, op10_pii)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_llr_quality, op3_substring_dedup, op4_ngram_join, op5_url_trust, op6_decontaminate,
+    op7_token_counts, op8_secret_scan, op9_quality_classifier, op10_pii)}
+_BLANK = r"[^\x20\x09-\x0D]+"
+
+def _span_sql() -> str:
+    """The secret rules in DuckDB: matches are marked, and places add up between the marks."""
+    either = "".join  # explicit letters of either case: the other engine folds beyond ASCII
+    word = lambda w: either(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+    keys = "|".join([*map(word, ("password", "passwd", "secret", "token")), word("api") + "_?" + word("key")])
+    parts = []
+    for i, r in enumerate(secret_scan.RULES):
+        pattern = r.pattern.replace("(?i:password|passwd|secret|token|api_?key)", f"(?:{keys})").replace("'", "''")
+        size = f"length(regexp_extract(part, '{pattern}', {r.group}))"
+        parts.append(f"""
+            SELECT doc_id, {i} AS o, '{r.kind}' AS kind, pos, pos + length(part) AS fin FROM (
+                SELECT doc_id, part, k, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+                FROM (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS k FROM (
+                      SELECT doc_id, string_split(regexp_replace(replace(coalesce(text, ''), chr(1), chr(2)),
+                             '({pattern})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents)))
+            WHERE k % 2 = 0 AND {size} >= {r.least}""")
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)
+    listed = "string_agg(kind || ':' || pos || ':' || fin, ',' ORDER BY pos, o)"
+    zero = ", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in secret_scan.BASE)
+    return f"""WITH spans AS ({" UNION ALL ".join(parts)}),
+        found AS (SELECT doc_id, {counts}, {listed} FILTER (kind IN ({base})) AS base, {listed} AS listed
+                  FROM spans GROUP BY doc_id)
+        SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(listed, '') AS spans
+        FROM documents LEFT JOIN found USING (doc_id)"""
+
+
+def _trust_sql() -> str:
+    """The propagation with its rounds written out."""
+    cases = sorted(url_trust.RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    pick = lambda of: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{of(h, p, v)}'" for h, p, v in cases) + " END"
+    link = url_trust.LINK.replace("'", "''")
+    steps, last = [], "s0"
+    damp, rest = url_trust.DAMPING, 1 - url_trust.DAMPING
+    for k in range(1, url_trust.ROUNDS + 1):
+        steps.append(f"""s{k} AS (SELECT h.host, round({rest!r} * h.t0 + {damp!r} * coalesce(x.t, 0), 12) AS t,
+                round({rest!r} * h.d0 + {damp!r} * coalesce(x.d, 0), 12) AS d
+            FROM s0 h LEFT JOIN (SELECT host, sum(t) AS t, sum(d) AS d FROM (
+                SELECT dst AS host, s.t * w_out AS t, 0.0 AS d FROM weighted JOIN {last} s ON src = s.host
+                UNION ALL SELECT src, 0.0, s.d * w_in FROM weighted JOIN {last} s ON dst = s.host) GROUP BY host) x
+            ON x.host = h.host)""")
+        last = f"s{k}"
+    return f"""WITH named AS (SELECT page_id, html,
+            translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{url_trust.UPPER}', '{url_trust.LOWER}') AS host,
+            regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        ruled AS (SELECT *, {pick(lambda h, p, v: h + p)} AS rule, {pick(lambda h, p, v: v)} AS fixed FROM named),
+        edges AS (SELECT src, dst, count(*) AS n FROM (
+            SELECT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)),
+                   '{url_trust.UPPER}', '{url_trust.LOWER}') AS dst FROM named)
+            WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+        weighted AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w_out,
+                     n / sum(n) OVER (PARTITION BY dst) AS w_in FROM edges),
+        seeds AS (SELECT host, count(*) FILTER (fixed = 'allow') AS good, count(*) FILTER (fixed = 'block') AS bad
+                  FROM ruled WHERE host <> '' GROUP BY host),
+        hosts AS (SELECT host FROM seeds UNION SELECT src FROM edges UNION SELECT dst FROM edges),
+        s0 AS (SELECT host, t0, d0, t0 AS t, d0 AS d FROM (
+               SELECT host, coalesce(good / nullif((SELECT sum(good) FROM seeds), 0), 0) AS t0,
+                      coalesce(bad / nullif((SELECT sum(bad) FROM seeds), 0), 0) AS d0
+               FROM hosts LEFT JOIN seeds USING (host))),
+        {", ".join(steps)}
+        SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN coalesce(d, 0) > 0
+               AND coalesce(d, 0) >= {url_trust.RATIO} * coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
+        FROM ruled LEFT JOIN {last} USING (host)"""
+
+
+# Plain forms of the operators' results, for DuckDB.
+ORACLE: dict[str, str] = {
+    "op3_substring_dedup": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_BLANK}') AS w FROM documents),
+        windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+                    FROM d, unnest(range(1, len(w) - 18)) AS r(i) WHERE len(w) >= 20),
+        again AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+        gone AS (SELECT DISTINCT doc_id, i + k AS p FROM again, unnest(range(0, 20)) AS r(k)),
+        places AS (SELECT doc_id, i AS p, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS r(i)),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS txt, count(*) AS n
+                 FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(txt, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op4_ngram_join": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '{_BLANK}') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+              FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b USING (g)
+                  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                  WHERE 100 * o >= 75 * (x.n + y.n - o)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+                  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reach.b) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id""",
+    "op6_decontaminate": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS n
+               FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+        dw AS (SELECT doc_id, i, s.n, array_to_string(w[i:i + s.n - 1], ' ') AS win
+               FROM d, (SELECT DISTINCT n FROM bw) s, unnest(range(1, len(w) - s.n + 2)) AS r(i)),
+        hit AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (win, n)),
+        cover AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS r(k) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op5_url_trust": _trust_sql(),
+    "op8_secret_scan": _span_sql(),
+}
