@@ -8,12 +8,11 @@ writes each stage as Parquet in the shared checkpoint folder and reads it again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import quality_classifier
+from ledgerlake.llm import decontaminate, mixing, ngram_join, pii, quality_classifier
 from ledgerlake.llm.scratch import stored
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality classifier accepts."""
@@ -21,7 +20,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, labels).filter("predicted = 1").select(*docs.columns)
 
 
-STAGES = [("quality classifier", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest doc_id of every group of near copies."""
+    return ngram_join.drop_near_duplicates(docs).select(*docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that contain a window of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind; n_chars follows the text where it changed."""
+    found = pii.find_personal_data(docs)
+    if "n_chars" in docs.columns:
+        changed = found.withColumn("_changed", F.size("spans") > 0)
+        found = pii.mask(changed).withColumn("n_chars", F.when(F.col("_changed"), F.length("text").cast("long"))
+                                             .otherwise(F.col("n_chars")))
+    else:
+        found = pii.mask(found)
+    return found.select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: a row for each slot and part of a document in it."""
+    return mixing.mix(docs)
+
+
+STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", benchmark), ("PII", personal_data),
+          ("mixing sources to target weights", mix)]
 ORACLE_SQL = None  # the classifier and the seeded mix have no SQL form; tests hold the stages against brute force
 
 

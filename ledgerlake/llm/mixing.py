@@ -190,11 +190,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     names = docs.columns
     sized = sized_documents(docs)
     targets = source_targets(sized.select("key", "source", "size"), weights, share, cap)
-    parts = pieces(stream_positions(sized), block).filter("block IS NOT NULL")
-    words = F.filter(F.split("text", BLANKS), lambda w: w != "")
-    cut = F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")), " ")
+    placed = stream_positions(sized)
+    if "text" in names:  # the words become a column before the explode, so a text is split once
+        placed = placed.withColumn("_words", F.filter(F.split("text", BLANKS), lambda w: w != "")).drop("text")
+    parts = pieces(placed, block).filter("block IS NOT NULL")
     if "text" in names:
-        parts = parts.withColumn("text", cut)
+        parts = parts.withColumn("text", F.array_join(
+            F.slice("_words", (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")), " ")).drop("_words")
     met = parts.join(slots(targets, block), ["key", "block"])
     taken = F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.col("offset")))
     out = met.withColumn("taken", taken).filter("taken > 0")
