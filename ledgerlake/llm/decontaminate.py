@@ -90,7 +90,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """``docs`` without the documents that contain a window of the benchmark."""
-    tagged = docs.withColumn("_tag", F.xxhash64("text"))
+    tagged = docs.drop("_id", "_bad").withColumn("_tag", F.xxhash64("text"))
     hits = window_hits(tagged.select("doc_id", F.col("_tag").alias("tag"), "text"), benchmark, size)
     bad = small(stored(hits.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_bad")).distinct(), "contaminated"))
     return tagged.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_bad")),

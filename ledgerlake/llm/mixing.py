@@ -187,23 +187,22 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> DataFrame:
     """The mix: one row per slot and part of a document in it, with all columns of docs
     (text holds the taken words only), and shard, slot, pass, from_word, taken."""
-    names = docs.columns
-    sized = sized_documents(docs)
+    added = ("shard", "slot", "pass", "from_word", "taken")
+    names = [c for c in docs.columns if c not in added]
+    others = F.struct(*[F.col(c) for c in names if c != "text"])  # packed: their names cannot clash with ours
+    sized = sized_documents(docs.select(others.alias("_others"), "doc_id", "source", "text"))
     targets = source_targets(sized.select("key", "source", "size"), weights, share, cap)
     placed = stream_positions(sized)
-    if "text" in names:  # the words become a column before the explode, so a text is split once
-        placed = placed.withColumn("_words", F.filter(F.split("text", BLANKS), lambda w: w != "")).drop("text")
-    parts = pieces(placed, block).filter("block IS NOT NULL")
-    if "text" in names:
-        parts = parts.withColumn("text", F.array_join(
-            F.slice("_words", (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")), " ")).drop("_words")
+    # the words become a column before the explode, so a text is split once
+    placed = placed.withColumn("_words", F.filter(F.split("text", BLANKS), lambda w: w != "")).drop("text")
+    parts = pieces(placed, block).filter("block IS NOT NULL").withColumn("text", F.array_join(
+        F.slice("_words", (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")), " ")).drop("_words")
     met = parts.join(slots(targets, block), ["key", "block"])
     taken = F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.col("offset")))
     out = met.withColumn("taken", taken).filter("taken > 0")
-    if "text" in names:  # only the last slot of a source is cut
-        out = out.withColumn("text", F.when(F.col("taken") == F.col("n"), F.col("text")).otherwise(F.array_join(
-            F.slice(F.split("text", " "), 1, F.col("taken").cast("int")), " ")))
-    return out.select(*names, "shard", "slot", "pass", "from_word", "taken")
+    cut = F.array_join(F.slice(F.split("text", " "), 1, F.col("taken").cast("int")), " ")
+    whole = F.when(F.col("taken") == F.col("n"), F.col("text")).otherwise(cut)  # only the last slot of a source is cut
+    return out.select(*[whole.alias(c) if c == "text" else F.col("_others")[c].alias(c) for c in names], *added)
 
 
 def mixed_amounts(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP,

@@ -158,7 +158,7 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with spans (start, end, kind), by start, then kind as listed."""
-    tagged = docs.withColumn("_tag", F.xxhash64("text"))
+    tagged = docs.drop("_id", "_found_tag", "_rules").withColumn("_tag", F.xxhash64("text"))
     found = small(stored(candidates(tagged.select("doc_id", F.col("_tag").alias("tag"), "text"), rules), "candidates"))
     found = found.withColumnsRenamed({"doc_id": "_id", "tag": "_found_tag", "rules": "_rules"})
     both = tagged.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_found_tag")), "left")

@@ -194,7 +194,7 @@ def _strip(text: pa.Array, starts: pa.Array) -> pa.Array:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (the kept words, joined by one space)."""
     marks = repeated_windows(docs).withColumnsRenamed({"id": "_id", "t": "_t", "starts": "_starts"})
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST))), "_t": F.hash("text")})
+    keyed = docs.drop("_starts", "_out").withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST))), "_t": F.hash("text")})
     out = keyed.join(marks, ["_id", "_t"], "left").withColumn("_out", _strip("text", "_starts"))
     return (out.withColumns({c: F.col(f"_out.{c}") for c in ("n_words", "n_removed", "kept_text")})
             .drop("_id", "_t", "_starts", "_out"))
