@@ -49,16 +49,6 @@ AMOUNT_FORMAT_REGEX = r"^[0-9.,$ SGD]+$"
 SCORE_DEDUCTIONS = {"amount": 30, "date": 30, "description": 10,
                     "person": 20, "location": 5, "category": 5}
 
-# Savings rates, recommendation thresholds and texts of the insight views.
-SAVINGS_RATES = {"Shopping": "0.30", "Dining": "0.40", "Entertainment": "0.35",
-                 "Transport": "0.25", "Food": "0.25"}
-DEFAULT_SAVINGS_RATE = "0.15"
-TARGET_RATES = {"Shopping": "0.70", "Dining": "0.60", "Entertainment": "0.65",
-                "Transport": "0.75", "Food": "0.75"}
-DEFAULT_TARGET_RATE = "0.85"
-RECOMMENDATION_THRESHOLDS = {"Shopping": 500, "Dining": 300, "Entertainment": 200,
-                             "Transport": 250, "Food": 400}
-
 WEEKDAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
