@@ -17,6 +17,7 @@ counted by itself, so repeated or null ids need no rule; other columns pass on.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import sys
@@ -62,7 +63,7 @@ class PrefixCounter:
         self.known = 0
         self.stems: dict[str, tuple[list, list, list]] = {}
         self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[bytes, int]] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Plain merging by rank, leftmost first."""
@@ -182,8 +183,8 @@ class PrefixCounter:
     def _bytes(self, w: str) -> str:
         return w.encode().decode("latin-1").translate(_STAND_INS)
 
-    def chunk(self, text: str) -> tuple[bytes, int]:
-        """(prefix counts 1..n as little-endian 32-bit numbers, count of the whole)."""
+    def chunk(self, text: str) -> bytes:
+        """Prefix counts 1..n of a chunk as 32-bit numbers; the last is the whole's."""
         if self.special and "<|" in text and self.special.search(text):
             out: list[int] = []
             done, before = 0, ""  # count and text since the last special string
@@ -198,9 +199,9 @@ class PrefixCounter:
                     before = part
         else:
             out = self.plain_chunk(text)
-        got = (array("i", out).tobytes(), out[-1])
+        got = array("i", out).tobytes()
         if len(text) <= 40:
-            if len(self.chunks) >= _CACHE_WORDS:
+            if len(self.chunks) >= 2 * _CACHE_WORDS:
                 self.chunks.clear()
             self.chunks[text] = got
         return got
@@ -216,16 +217,17 @@ class PrefixCounter:
             return out
         get, build = self.chunks.get, self.chunk
         got = [get(p) or build(p) for p in parts]
-        totals = np.fromiter((g[1] for g in got), np.int64, len(got))
+        flat = np.frombuffer(b"".join(got), dtype=np.int32)
         lens = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(lens)
+        totals = flat[ends - 1].astype(np.int64)
         before = np.cumsum(totals) - totals
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         blank = _BLANK[np.minimum(code, 0x3001)]
         inside = np.flatnonzero(~blank) + 1
-        out[inside] = np.frombuffer(b"".join([g[0] for g in got]), dtype=np.int32) + np.repeat(before, lens)
+        out[inside] = flat + np.repeat(before, lens)
         gaps = np.flatnonzero(blank) + 1
         if len(gaps):  # white space adds nothing: the count of the chunks that ended before it
-            ends = np.cumsum(lens)
             filled = np.searchsorted(inside, gaps)
             chunk = np.searchsorted(ends, filled, side="right")
             out[gaps] = np.concatenate([[0], np.cumsum(totals)])[chunk]
@@ -269,6 +271,7 @@ def token_prefixes(docs: DataFrame, vocabulary: str, keep_text: bool = True) ->
 
     def count(batches):
         counter = _counter(vocabulary)
+        gc.disable()  # the caches hold no cycles, and scanning them again and again is slow
         for batch in batches:
             kept = batch.select(names)
             rows, size, lo = [], 0, 0
