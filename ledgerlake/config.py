@@ -38,7 +38,12 @@ CATEGORY_GROUPS = [
 # Date formats tried in order (Spark pattern letters), then the fallback list.
 DATE_FORMATS = ["d-MMM-yyyy", "d/M/yyyy", "yyyy-M-d", "d/M/yy",
                 "d-M-yyyy", "d-M-yy", "yyyy/M/d", "d-MMM-yy"]
-DATE_FALLBACK_FORMATS = ["d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd"]
+# What the free-form fallback parser accepts beyond the list (day first where unclear).
+DATE_FALLBACK_FORMATS = ["d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd", "d-MMMM-yyyy",
+                         "MMM d yyyy", "MMMM d yyyy", "d.M.yyyy", "d MMM yy", "d MMMM yy", "d.M.yy", "d-MMMM-yy"]
+TIMESTAMP_FORMATS = ["yyyy-M-d HH:mm:ss", "yyyy-M-d'T'HH:mm:ss", "yyyy-M-d HH:mm", "yyyy-M-d'T'HH:mm"]
+# White space as Python's str.strip() sees it.
+BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Two-digit years: Python's pivot keeps 69..99 in the 1900s.
 TWO_DIGIT_YEAR_PIVOT = 2069
 
@@ -76,6 +81,4 @@ class Config:
     snapshot_date: _dt.date = _dt.date(2025, 10, 21)
     year: int = 2000
     month: int = 6
-    # largest dimension we are willing to broadcast (rows); bigger ones shuffle
-    broadcast_max_rows: int = 2_000_000
     extras: dict = field(default_factory=dict)

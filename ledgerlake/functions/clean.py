@@ -18,7 +18,7 @@ MONEY = "decimal(12,2)"
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: trim any leading/trailing whitespace."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^{C.BLANKS}+|{C.BLANKS}+$", "")
 
 
 def blank(c: Column) -> Column:
@@ -57,11 +57,12 @@ def parse_date(raw: Column) -> Column:
 
     The formats become optional sections of two patterns, one for four-digit
     and one for two-digit years (no string can match both groups, so the
-    list order is kept). Two parse calls per row instead of thirteen.
+    list order is kept). Two parse calls per row instead of one for each format.
     Two-digit years map 00..68 to 20xx and 69..99 to 19xx.
     """
     s = strip_ws(raw)
-    four = [f for f in C.DATE_FORMATS + C.DATE_FALLBACK_FORMATS if "yyyy" in f]
+    # the longer timestamp forms come first: a section that matches a part of the text ends the search
+    four = C.TIMESTAMP_FORMATS + [f for f in C.DATE_FORMATS + C.DATE_FALLBACK_FORMATS if "yyyy" in f]
     two = [f for f in C.DATE_FORMATS + C.DATE_FALLBACK_FORMATS if "yyyy" not in f]
     d4 = F.try_to_date(s, _sections(four))
     d2 = F.try_to_date(s, _sections(two))

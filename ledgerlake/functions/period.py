@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+RANGE = 1000  # cents
 
 
 def dec(v) -> Column:
@@ -68,15 +69,33 @@ def trend_from_prev(cur: Column, prev: Column) -> Column:
             .otherwise("STABLE"))
 
 
-def exact_median(c: Column) -> Column:
-    """PERCENTILE_CONT(0.5) of a cents-scale decimal, rounded HALF_UP to cents.
+def median_by(df: DataFrame, keys: list, value: str, name: str) -> DataFrame:
+    """PERCENTILE_CONT(0.5) of a cents-scale decimal per ``keys``, rounded HALF_UP to
+    cents, as (keys, name); rows without a value are left out.
 
-    The percentile runs on integer cents, where the midpoint of two values is
-    an exact half-cent in double, so the final rounding is exact.
+    Counts per distinct amount come first (a plain aggregation), then counts per range
+    of RANGE cents; the windows run over the ranges of a key and over the amounts of the
+    one or two ranges that hold the middle, never over the rows of a hot key.
     """
-    cents = (c * 100).cast("bigint")
-    twice = (F.percentile(cents, F.lit(0.5)) * 2).cast("bigint")
-    return round2(twice.cast("decimal(20,0)") / 200)
+    cents = F.col(value) * 100
+    amounts = df.filter(F.col(value).isNotNull()).select(*keys, cents.cast("bigint").alias("_c"))
+    amounts = amounts.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", F.expr(f"_c div {RANGE}"))
+    ranges = amounts.groupBy(*keys, "_r").agg(F.sum("_n").alias("_rn"))
+    every, so_far = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_r")
+    ranges = ranges.withColumns({"_all": F.sum("_rn").over(every), "_upto": F.sum("_rn").over(so_far)})
+    low, high = F.expr("(_all + 1) div 2"), F.expr("(_all + 2) div 2")  # the ranks of the two middle rows
+    before = F.col("_upto") - F.col("_rn")
+    middle = ranges.filter((low > before) & (low <= F.col("_upto")) | (high > before) & (high <= F.col("_upto")))
+    on = F.lit(True)
+    for k in [*keys, "_r"]:
+        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"m.{k}"))
+    inside = (amounts.alias("a").join(middle.alias("m"), on)
+              .select("a.*", "m._all", (F.col("m._upto") - F.col("m._rn")).alias("_before")))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_r").orderBy("_c"))
+    inside = inside.withColumn("_last", upto)
+    is_row = lambda rank: (rank > F.col("_last") - F.col("_n")) & (rank <= F.col("_last"))
+    twice = F.max(F.when(is_row(low), F.col("_c"))) + F.max(F.when(is_row(high), F.col("_c")))
+    return inside.groupBy(*keys).agg(round2(twice.cast("decimal(20,0)") / 200).alias(name))
 
 
 def days_in_month(d: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import Config
 from ..functions.period import dec, pct, round2
+from .ingest import ingest_reconcile
 
 LOG_COLUMNS = ["validation_run_id", "validation_timestamp", "stage", "table_name", "check_name", "check_type",
                "check_status", "records_checked", "records_failed", "failure_percentage", "error_message",
@@ -156,27 +157,27 @@ def check_log(src: DataFrame, cfg: Config) -> DataFrame:
             .unionByName(freshness_check(src, cfg)))
 
 
-def load_event_log(src: DataFrame, cfg: Config, chunk_rows: int = 1000) -> DataFrame:
-    """One log row for the load batch: success when every row landed."""
-    n = F.count(F.lit(1))
-    chunks = F.ceil(n / chunk_rows)
-    return src.filter(F.col("load_batch_id") == cfg.load_batch_id).agg(
-        F.lit(cfg.load_batch_id).alias("validation_run_id"),
+def load_event_log(reconciled: DataFrame, cfg: Config) -> DataFrame:
+    """One log row per load batch, from ``ingest_reconcile``: success if every row landed."""
+    whole, n, offered = F.col("status") == "MATCH", F.col("loaded_rows"), F.col("file_rows")
+    text = F.when(whole, F.concat(F.lit("Successfully loaded "), n.cast("string"), F.lit(" rows"))).otherwise(
+        F.concat(F.lit("Loaded "), n.cast("string"), F.lit(" of "), offered.cast("string"), F.lit(" rows")))
+    return reconciled.select(
+        F.col("load_batch_id").alias("validation_run_id"),
         F.lit(cfg.as_of).cast("timestamp_ntz").alias("validation_timestamp"),
         F.lit("SRC").alias("stage"), F.lit("src_daily_spending").alias("table_name"),
-        F.lit("DATA_LOAD_SUCCESS").alias("check_name"), F.lit("ERROR").alias("check_type"),
-        F.lit("PASSED").alias("check_status"), n.alias("records_checked"),
-        F.lit(None).cast("bigint").alias("records_failed"),
-        F.lit(None).cast("decimal(18,2)").alias("failure_percentage"),
-        F.substring(F.concat(F.lit("Successfully loaded "), n.cast("string"), F.lit(" rows in "),
-                             chunks.cast("string"), F.lit(" chunks")), 1, 500).alias("error_message"),
+        F.when(whole, "DATA_LOAD_SUCCESS").otherwise("DATA_LOAD_FAILURE").alias("check_name"), F.lit("ERROR").alias("check_type"),
+        F.when(whole, "PASSED").otherwise("FAILED").alias("check_status"), offered.alias("records_checked"),
+        F.when(~whole, F.abs(offered - n)).alias("records_failed"),
+        F.when(~whole, pct(F.abs(offered - n), offered)).alias("failure_percentage"),
+        F.substring(text, 1, 500).alias("error_message"),
         F.lit(None).cast("string").alias("sample_failed_ids"),
     )
 
 
-def validation_log(src: DataFrame, cfg: Config) -> DataFrame:
-    """The check log as appended by one load and one validation run."""
-    return load_event_log(src, cfg).unionByName(check_log(src, cfg))
+def validation_log(src: DataFrame, offered: DataFrame, cfg: Config) -> DataFrame:
+    """The check log as appended by the loads and one validation run."""
+    return load_event_log(ingest_reconcile(offered, src), cfg).unionByName(check_log(src, cfg))
 
 
 def latest_validation_summary(log: DataFrame) -> DataFrame:

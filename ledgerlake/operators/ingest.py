@@ -12,13 +12,12 @@ from ..functions.period import pct, round2
 RAW_TEXT = ["person_name", "spending_date", "category", "amount", "location", "description", "payment_method"]
 
 
-def ingest_reconcile(raw: DataFrame, src: DataFrame, cfg: Config) -> DataFrame:
-    """Rows offered by the file vs rows landed for the batch."""
-    offered = raw.agg(F.count(F.lit(1))).scalar()
-    landed = src.filter(F.col("load_batch_id") == cfg.load_batch_id).agg(F.count(F.lit(1)).alias("landed"))
-    return landed.select(
-        F.lit(cfg.load_batch_id).alias("load_batch_id"), offered.alias("file_rows"), F.col("landed").alias("loaded_rows"),
-        F.when(F.col("landed") == offered, "MATCH").otherwise("MISMATCH").alias("status"))
+def ingest_reconcile(offered: DataFrame, src: DataFrame) -> DataFrame:
+    """Per load batch: rows offered by its files vs rows landed."""
+    landed = src.groupBy("load_batch_id").agg(F.count(F.lit(1)).alias("loaded_rows"))
+    both = offered.join(landed, "load_batch_id", "left").withColumn("loaded_rows", F.coalesce("loaded_rows", F.lit(0)))
+    return both.select("load_batch_id", "file_rows", "loaded_rows",
+                       F.when(F.col("loaded_rows") == F.col("file_rows"), "MATCH").otherwise("MISMATCH").alias("status"))
 
 
 def load_sample(src: DataFrame, cfg: Config, n: int = 5) -> DataFrame:
@@ -27,16 +26,18 @@ def load_sample(src: DataFrame, cfg: Config, n: int = 5) -> DataFrame:
             .orderBy("src_id").limit(n))
 
 
-def profile_file(src: DataFrame) -> DataFrame:
-    """Rows, columns, bytes on disk and the column list of the stored source table."""
-    files = src.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("b"))
-    size = files.groupBy("p").agg(F.max("b").alias("b")).agg(F.sum("b")).scalar()
-    rows = src.agg(F.count(F.lit(1))).scalar()
-    cols = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(src.schema.fields)]
-    spark = src.sparkSession
-    meta = spark.createDataFrame(cols, "ordinal int, column_name string, data_type string")
-    return meta.select("*", rows.alias("total_rows"), F.lit(len(cols)).alias("total_columns"),
-                       size.alias("file_size_bytes"))
+def profile_file(raw: DataFrame) -> DataFrame:
+    """Rows, columns and the column list of one batch's raw input files."""
+    rows = raw.agg(F.count(F.lit(1))).scalar()
+    cols = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(raw.schema.fields)]
+    meta = raw.sparkSession.createDataFrame(cols, "ordinal int, column_name string, data_type string")
+    return meta.select("*", rows.alias("total_rows"), F.lit(len(cols)).alias("total_columns"))
+
+
+def profile_file_sizes(raw: DataFrame) -> DataFrame:
+    """The raw input files of one batch with their rows and bytes."""
+    return (raw.groupBy(F.col("_metadata.file_path").alias("file_path"))
+            .agg(F.count(F.lit(1)).alias("row_count"), F.max("_metadata.file_size").alias("file_size_bytes")))
 
 
 def profile_columns(src: DataFrame) -> DataFrame:

@@ -20,15 +20,50 @@ from . import snapshots as S
 CURATED = "curated_spending_snapshots"
 
 
+class SnapshotRefused(ValueError):
+    """The gate before a snapshot found rows that must not be published, or none at all."""
+
+
+def gate(complete: DataFrame) -> None:
+    """Publish only if there are rows and no amount is negative or missing."""
+    found = complete.agg(F.count(F.lit(1)).alias("n"),
+                         F.count_if(F.coalesce(F.col("amount_cleaned") < 0, F.lit(True))).alias("bad")).first()
+    if not found.n or found.bad:
+        raise SnapshotRefused(f"{found.n} rows, {found.bad} of them without an amount of 0 or more")
+
+
 def publish_snapshot(store: TableStore, complete: DataFrame, version: int, snapshot_date: _dt.date,
                      cfg: Config) -> None:
-    """Append (or replace) one snapshot version partition; is_latest stays derived."""
+    """Write one snapshot version partition, sorted by date for month filters; is_latest stays derived."""
     rows = S.create_snapshot(complete, version, snapshot_date, cfg)
-    store.append_partition(rows, CURATED, ["snapshot_version"])
+    store.append_partition(rows.repartition("spending_year", "spending_month").sortWithinPartitions("spending_date"),
+                           CURATED, ["snapshot_version"])
+
+
+def publish_next(store: TableStore, complete: DataFrame, snapshot_date: _dt.date, cfg: Config) -> int:
+    """Gate, then publish the next version; a snapshot of the same date that is published
+    again (a retry) keeps its version. Returns the version."""
+    gate(complete)
+    versions = [int(v) for v in store.partition_values(CURATED, "snapshot_version")]
+    dated = []
+    if versions:
+        dated = [r[0] for r in store.read(CURATED).filter(F.col("snapshot_date") == F.lit(snapshot_date))
+                 .select("snapshot_version").distinct().collect()]  # version numbers
+    version = max(dated) if dated else max(versions, default=0) + 1
+    publish_snapshot(store, complete, version, snapshot_date, cfg)
+    return version
 
 
 def read_snapshots(store: TableStore) -> DataFrame:
-    return S.with_latest_flag(store.read(CURATED).withColumn("is_latest", F.lit(0)))
+    """All versions, with is_latest from one folder listing."""
+    newest = store.max_partition_value(CURATED, "snapshot_version")
+    flag = F.when(F.col("snapshot_version") == F.lit(newest), 1).otherwise(0)
+    return store.read(CURATED).withColumn("is_latest", flag).select(*S.CURATED_COLUMNS)
+
+
+def read_latest(curated: DataFrame, store: TableStore) -> DataFrame:
+    newest = store.max_partition_value(CURATED, "snapshot_version")
+    return curated.filter(F.col("snapshot_version") == F.lit(newest)).withColumn("is_latest", F.lit(1))
 
 
 def publish_mart(store: TableStore, name: str, mart: DataFrame) -> None:
@@ -37,6 +72,13 @@ def publish_mart(store: TableStore, name: str, mart: DataFrame) -> None:
     store.append_partition(mart, name, ["snapshot_version_source"])
 
 
+def read_mart(store: TableStore, name: str) -> DataFrame:
+    """The mart rows of the newest snapshot version."""
+    newest = store.max_partition_value(name, "snapshot_version_source")
+    rows = store.read(name)
+    return rows if newest is None else rows.filter(F.col("snapshot_version_source") == F.lit(newest))
+
+
 def prune_snapshots(store: TableStore, cfg: Config) -> list:
     """Drop versions older than keep_days that are not the latest; returns
     the dropped versions (the planning query is snapshot_prune)."""

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.period import (MONEY, dec, days_in_month, exact_median, month_idx, pct, pct_change, prior,
+from ..functions.period import (MONEY, dec, days_in_month, median_by, month_idx, pct, pct_change, prior,
                                 ratio, round2, trend_from_prev)
 
 GROUPS = ["Essential", "Discretionary", "Transport", "Healthcare", "Education"]
@@ -186,15 +186,9 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
         F.sum(amt).cast(MONEY).alias("total_spending"),
         F.count(F.lit(1)).alias("transaction_count"),
         avg_exact("amount_cleaned").alias("avg_transaction_amount"),
-        exact_median(amt).alias("median_transaction_amount"),
         *[group_sum(g).alias(f"{g.lower()}_spending") for g in GROUPS],
         F.sum(F.when((grp == "Other") | grp.isNull(), amt).otherwise(dec("0.00"))).cast(MONEY)
          .alias("other_spending"),
-        # distinct counts over bounded domains (dimension members, days of a month):
-        # set aggregation merges partial sets and needs no Expand of the input
-        bounded_distinct("category_name").alias("unique_categories_count"),
-        bounded_distinct("location_name").alias("unique_locations_count"),
-        bounded_distinct("payment_method_name").alias("unique_payment_methods_count"),
         F.sum(F.when(F.col("spending_day_of_week").between(1, 5), amt).otherwise(dec("0.00"))).cast(MONEY)
          .alias("weekday_spending"),
         F.sum(F.when(F.col("spending_day_of_week").isin(6, 7), amt).otherwise(dec("0.00"))).cast(MONEY)
@@ -211,11 +205,20 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
     per_cat = latest.groupBy(*_ym(latest), "person_name", "category_name").agg(
         F.sum(amt).cast(MONEY).alias("cat_total"))
     top = per_cat.groupBy(*keys).agg(
+        F.count("category_name").alias("unique_categories_count"),
         F.min(F.struct((-F.col("cat_total")).alias("neg"), F.col("category_name").alias("name"))).alias("t"))
-    top = top.select(*keys, F.col("t.name").alias("top_category"),
+    top = top.select(*keys, "unique_categories_count", F.col("t.name").alias("top_category"),
                      (-F.col("t.neg")).cast(MONEY).alias("top_category_spending"))
 
-    df = _period_cols(base.join(top, keys, "left"))
+    # distinct locations and methods: counted on one row per value, not as a set per person
+    seen = [latest.select(*_ym(latest), "person_name", c).distinct().groupBy(*keys).agg(F.count(c).alias(n))
+            for c, n in (("location_name", "unique_locations_count"), ("payment_method_name", "unique_payment_methods_count"))]
+    median = median_by(latest.select(*_ym(latest), "person_name", "amount_cleaned"), keys, "amount_cleaned",
+                       "median_transaction_amount")
+    df = base.join(top, keys, "left")
+    for part in (*seen, median):
+        df = df.join(part, keys, "left")
+    df = _period_cols(df)
     t = F.col("total_spending")
     dim = days_in_month(F.col("month_start_date"))
     null_money = F.lit(None).cast(MONEY)

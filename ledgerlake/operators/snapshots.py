@@ -45,25 +45,6 @@ def create_snapshot(complete: DataFrame, version: int, snapshot_date: _dt.date,
     )
 
 
-def with_latest_flag(curated: DataFrame) -> DataFrame:
-    """is_latest = 1 for the rows of the highest version (derived, never stored)."""
-    maxv = curated.agg(F.max("snapshot_version")).scalar()  # uncorrelated scalar subquery
-    out = curated.withColumn("is_latest", F.when(F.col("snapshot_version") == maxv, 1).otherwise(0))
-    return out.select(*CURATED_COLUMNS)
-
-
-def test_versions(complete: DataFrame, cfg: Config) -> DataFrame:
-    """The two versions of the test pipeline: v1 = rows before the cutoff, v2 = all."""
-    v1 = create_snapshot(complete.filter(F.col("spending_date") < F.lit(cfg.snapshot_cutoff)),
-                         1, cfg.snapshot_dates[0], cfg)
-    v2 = create_snapshot(complete, 2, cfg.snapshot_dates[1], cfg)
-    return with_latest_flag(v1.unionByName(v2))
-
-
-def latest(curated: DataFrame) -> DataFrame:
-    return curated.filter(F.col("is_latest") == 1)
-
-
 # --------------------------------------------------------------------------
 # snapshot job reports
 # --------------------------------------------------------------------------
@@ -84,6 +65,7 @@ def snapshot_precheck(complete: DataFrame) -> DataFrame:
         F.max("spending_date").alias("max_date"),
         F.countDistinct("person_name").alias("distinct_persons"),
         F.countDistinct("category_name").alias("distinct_categories"),
+        F.count_if(F.coalesce(F.col("amount_cleaned") < 0, F.lit(True))).alias("bad_amounts"),
     )
 
 

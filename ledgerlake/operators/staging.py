@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import clean as X
-from .joins import join_dim
 
 DIM_SPECS = {
     # dim name: (name column, attribute column or None, key column)
@@ -24,17 +23,6 @@ DIM_SPECS = {
 }
 
 
-def src_table(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Raw rows landed with lineage columns (A5)."""
-    return raw.select(
-        "src_id", "person_name", "spending_date", "category", "amount", "location", "description",
-        "payment_method",
-        F.lit(cfg.source_file).alias("source_file"),
-        F.lit(cfg.load_batch_id).alias("load_batch_id"),
-        F.lit(cfg.extras.get("loaded_at", "2025-10-20 12:00:00")).cast("timestamp_ntz").alias("loaded_at"),
-    )
-
-
 def stg_transform(src: DataFrame, cfg: Config) -> DataFrame:
     """All cleaning and classification, as chained projections with no shuffle.
 
@@ -98,6 +86,17 @@ def stg_rejects(stg: DataFrame) -> DataFrame:
             .select("src_id", "person_name", "spending_date_raw", "amount_raw", "location_name", "reject_reason"))
 
 
+def reject_counts(stg: DataFrame) -> DataFrame:
+    """How many rows fail each rule; a row that fails several counts for each."""
+    rules = {"invalid_amount": ~F.col("is_amount_parsed_successfully"), "invalid_date": ~F.col("is_date_parsed_successfully"),
+             "missing_person": F.col("person_name").isNull(), "missing_location": F.col("location_name").isNull(),
+             "missing_category": F.col("category_name").isNull(),
+             "missing_payment_method": F.col("payment_method_name").isNull()}
+    counts = stg.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("reject_reason"), F.col(n).alias("row_count")) for n in rules])
+    return counts.select(F.inline(pairs))
+
+
 def dimension_pairs(stg: DataFrame) -> DataFrame:
     """First src_id of every (dimension, name, attribute) among parsed rows.
 
@@ -128,11 +127,11 @@ def dimension(pairs: DataFrame, dim: str) -> DataFrame:
             .select(key, F.col("name").alias(name), attr))
 
 
-def fact_spending(stg: DataFrame, dims: dict, cfg: Config, dim_rows: dict) -> DataFrame:
+def fact_spending(stg: DataFrame, dims: dict, cfg: Config) -> DataFrame:
     """Loadable rows with the four dimension keys (rows missing a key are rejects)."""
     f = loadable_rows(stg)
     for dim, (name, _attr, key) in DIM_SPECS.items():
-        f = join_dim(f, dims[dim].select(key, name), name, "inner", dim_rows[dim], cfg.broadcast_max_rows)
+        f = f.join(dims[dim].select(key, name), name)
     return f.select(
         F.col("src_id").alias("spending_id"),
         "person_id", "location_id", "category_id", "payment_method_id",
@@ -144,12 +143,12 @@ def fact_spending(stg: DataFrame, dims: dict, cfg: Config, dim_rows: dict) -> Da
     )
 
 
-def spending_complete(fact: DataFrame, dims: dict, cfg: Config, dim_rows: dict) -> DataFrame:
+def spending_complete(fact: DataFrame, dims: dict) -> DataFrame:
     """Denormalised fact (19 columns); attributes come from the dimensions."""
     f = fact
     for dim, (name, attr, key) in DIM_SPECS.items():
         cols = [key, name] + ([attr] if attr else [])
-        f = join_dim(f, dims[dim].select(*cols), key, "inner", dim_rows[dim], cfg.broadcast_max_rows)
+        f = f.join(dims[dim].select(*cols), key)
     return f.select(
         "spending_id", "person_name", "spending_date", "spending_year", "spending_month",
         "spending_quarter", "spending_day_of_week", "category_name", "category_group",

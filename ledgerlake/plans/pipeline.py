@@ -1,53 +1,37 @@
-"""The end-to-end plan: test tables -> source -> staging -> snapshots -> marts.
-
-``Spend`` exposes every intermediate table as a lazily built DataFrame. In
-query mode nothing is stored and Catalyst sees the whole chain (so filters
-and column pruning reach the Parquet scans). In materialised mode
-(``store=...``) each stage is written once as Parquet under a shared folder
-and read back, which cuts lineage the way a production run would: the
-reports then scan small marts, and a lost executor only recomputes from the
-last written table.
+"""The end-to-end plan: raw files -> source -> staging -> snapshots -> marts.
+
+``Spend`` writes every stage once as Parquet under a shared folder and reads it back,
+which cuts lineage the way a production run does: reports scan small marts, and a lost
+executor recomputes from the last written table. Snapshots and marts are partitioned by
+version and last from run to run if runs share a store.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import checks as K
+from ..operators import maintenance as MT
 from ..operators import marts as M
-from ..operators import snapshots as S
 from ..operators import staging as G
 from ..sources import fixture
+from ..sources.raw_files import RAW_SCHEMA, SOURCE, load_batch
 from ..sources.tables import TableStore
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has
-    cores (e.g. one small file) before CPU-heavy parsing. Inputs that are
-    already wide enough - every large input - are left untouched, so at
-    scale this adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 class Spend:
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config | None = None,
-                 store: TableStore | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config, store: TableStore):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cfg = cfg or Config()
+        self.cfg = cfg
         self.store = store
 
     # -- helpers -----------------------------------------------------------
     def _stage(self, name: str, build, partition_by=None) -> DataFrame:
-        if self.store is None:
-            return build()
         return self.store.materialize(name, build, partition_by=partition_by)
 
     @cached_property
@@ -59,10 +43,24 @@ class Spend:
     def raw(self) -> DataFrame:
         return fixture.raw_spending(self.tables)
 
+    @cached_property
+    def raw_paths(self) -> list[str]:
+        """The raw files of each load batch, as a deployment receives them."""
+        return fixture.write_raw_files(self.raw, self.store.root)
+
+    @cached_property
+    def offered(self) -> DataFrame:
+        """(load_batch_id, file_rows): rows in the raw files of each batch."""
+        counts = [self.spark.read.schema(RAW_SCHEMA).parquet(path).agg(F.count(F.lit(1)).alias("file_rows"))
+                  .select(F.lit(batch).alias("load_batch_id"), "file_rows")
+                  for path, (batch, _) in zip(self.raw_paths, fixture.BATCHES, strict=True)]
+        return reduce(DataFrame.unionByName, counts)
+
     @cached_property
     def src(self) -> DataFrame:
-        return self._stage("src_daily_spending", lambda: widen(G.src_table(self.raw, self.cfg)),
-                           partition_by=["load_batch_id"])
+        for path, (batch, loaded_at) in zip(self.raw_paths, fixture.BATCHES, strict=True):
+            load_batch(self.store, path, batch, loaded_at, fixture.RAW_NAME)
+        return self.store.read(SOURCE)
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -79,25 +77,24 @@ class Spend:
     def dims(self) -> dict:
         return {d: self._stage(f"stg_dim_{d}", lambda d=d: G.dimension(self.dim_pairs, d)) for d in G.DIM_SPECS}
 
-    @cached_property
-    def dim_rows(self) -> dict:
-        """Exact dimension sizes: footer counts of stored tables, else one
-        distinct-count pass over staging."""
-        return {d: df.count() for d, df in self.dims.items()}
-
     @cached_property
     def fact(self) -> DataFrame:
-        return self._stage("stg_fact_spending",
-                           lambda: G.fact_spending(self.stg, self.dims, self.cfg, self.dim_rows))
+        return self._stage("stg_fact_spending", lambda: G.fact_spending(self.stg, self.dims, self.cfg))
 
     @cached_property
     def complete(self) -> DataFrame:
-        return G.spending_complete(self.fact, self.dims, self.cfg, self.dim_rows)
+        """The fact with names and classes; stored once, every snapshot and report reads it."""
+        return self._stage("stg_spending_complete", lambda: G.spending_complete(self.fact, self.dims))
+
+    @cached_property
+    def check_log(self) -> DataFrame:
+        """The stored rows of the seven source checks."""
+        return self.validation_log.filter(F.col("validation_run_id") == self.cfg.validation_run_id)
 
     @cached_property
     def validation_log(self) -> DataFrame:
         """Check log of this load and validation run (appended per run id, never truncated)."""
-        return self._stage("log_validation_results", lambda: K.validation_log(self.src, self.cfg),
+        return self._stage("log_validation_results", lambda: K.validation_log(self.src, self.offered, self.cfg),
                            partition_by=["validation_run_id"])
 
     @cached_property
@@ -107,37 +104,34 @@ class Spend:
     # -- curated -----------------------------------------------------------
     @cached_property
     def curated(self) -> DataFrame:
-        if self.store is None:
-            return S.test_versions(self.complete, self.cfg)
-        stored = self.store.materialize(
-            "curated_spending_snapshots",
-            lambda: S.test_versions(self.complete, self.cfg).drop("is_latest"),
-            partition_by=["snapshot_version"])
-        return S.with_latest_flag(stored.withColumn("is_latest", F.lit(0)))
+        """All snapshot versions; the test run publishes two, one per snapshot date."""
+        for date, cutoff in zip(self.cfg.snapshot_dates, (self.cfg.snapshot_cutoff, None), strict=True):
+            rows = self.complete if cutoff is None else self.complete.filter(F.col("spending_date") < F.lit(cutoff))
+            MT.publish_next(self.store, rows, date, self.cfg)
+        return MT.read_snapshots(self.store)
 
     @cached_property
     def latest(self) -> DataFrame:
-        """Rows of the newest version. With a stored table the version is
-        resolved first, so the scan prunes to one partition."""
-        cur = self.curated
-        if self.store is None:
-            return S.latest(cur)
-        v = self.store.max_partition_value("curated_spending_snapshots", "snapshot_version")
-        return cur.filter(F.col("snapshot_version") == F.lit(v)).withColumn("is_latest", F.lit(1))
+        """Rows of the newest version: it is looked up first, so the scan prunes to it."""
+        return MT.read_latest(self.curated, self.store)
+
+    # -- marts, one partition per snapshot version they are built from ---------
+    def _mart(self, name: str, build) -> DataFrame:
+        MT.publish_mart(self.store, name, build(self.latest, self.cfg))
+        return MT.read_mart(self.store, name)
 
-    # -- marts -------------------------------------------------------------
     @cached_property
     def mss(self) -> DataFrame:
-        return self._stage("dst_monthly_spending_summary", lambda: M.monthly_summary(self.latest, self.cfg))
+        return self._mart("dst_monthly_spending_summary", M.monthly_summary)
 
     @cached_property
     def ct(self) -> DataFrame:
-        return self._stage("dst_category_trends", lambda: M.category_trends(self.latest, self.cfg))
+        return self._mart("dst_category_trends", M.category_trends)
 
     @cached_property
     def pa(self) -> DataFrame:
-        return self._stage("dst_person_analytics", lambda: M.person_analytics(self.latest, self.cfg))
+        return self._mart("dst_person_analytics", M.person_analytics)
 
     @cached_property
     def ps(self) -> DataFrame:
-        return self._stage("dst_payment_method_summary", lambda: M.payment_summary(self.latest, self.cfg))
+        return self._mart("dst_payment_method_summary", M.payment_summary)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import marts as M
 from ..operators import reports as R
@@ -30,6 +31,7 @@ JOBS["classify_category"] = _stg_cols("category_name", "category_group")
 JOBS["quality_score"] = _stg_cols("data_quality_score")
 JOBS["stg_transform"] = lambda s: s.stg
 JOBS["stg_rejects"] = lambda s: s.rejects
+JOBS["stg_reject_counts"] = lambda s: G.reject_counts(s.stg)
 JOBS["stg_transform_stats"] = lambda s: R.stg_transform_stats(s.stg)
 for _d in G.DIM_SPECS:
     JOBS[f"dim_{_d}"] = (lambda d: lambda s: s.dims[d])(_d)
@@ -139,26 +141,23 @@ from ..operators import checks as K  # noqa: E402
 from ..operators import ingest as N  # noqa: E402
 
 JOBS["ingest_raw"] = lambda s: s.src
-JOBS["ingest_reconcile"] = lambda s: N.ingest_reconcile(s.raw, s.src, s.cfg)
-JOBS["load_event_log"] = lambda s: K.load_event_log(s.src, s.cfg)
+JOBS["ingest_reconcile"] = lambda s: N.ingest_reconcile(s.offered, s.src)
+JOBS["load_event_log"] = lambda s: s.validation_log.filter(F.col("validation_run_id") != s.cfg.validation_run_id)
 JOBS["load_sample"] = lambda s: N.load_sample(s.src, s.cfg)
-JOBS["profile_file"] = lambda s: N.profile_file(s.src)
+JOBS["profile_file"] = lambda s: N.profile_file(s.spark.read.parquet(s.raw_paths[-1]))
+JOBS["profile_file_sizes"] = lambda s: N.profile_file_sizes(s.spark.read.parquet(s.raw_paths[-1]))
 JOBS["profile_columns"] = lambda s: N.profile_columns(s.src)
 JOBS["profile_integrity"] = lambda s: N.profile_integrity(s.src)
 JOBS["profile_value_counts"] = lambda s: N.profile_value_counts(s.src)
 
 
-def _one_check(name):
-    return lambda s: K.check_log(s.src, s.cfg).filter(f"check_name = '{name}'")
-
-
+# the checks run once, when the log is written; the keys read their rows from it
 for _key, _name in [("chk_null_required", "NULL_CHECK_REQUIRED_FIELDS"), ("chk_empty_string", "EMPTY_STRING_CHECK"),
                     ("chk_metadata", "METADATA_COMPLETENESS_CHECK"), ("chk_amount_format", "AMOUNT_FORMAT_CHECK"),
-                    ("chk_optional_fields", "OPTIONAL_FIELDS_COMPLETENESS")]:
-    JOBS[_key] = (lambda n: lambda s: K.row_level_checks(s.src, s.cfg).filter(f"check_name = '{n}'"))(_name)
-JOBS["chk_duplicates"] = lambda s: K.duplicates_check(s.src, s.cfg)
-JOBS["chk_freshness"] = lambda s: K.freshness_check(s.src, s.cfg)
-JOBS["check_log_union"] = lambda s: K.check_log(s.src, s.cfg)
+                    ("chk_optional_fields", "OPTIONAL_FIELDS_COMPLETENESS"), ("chk_duplicates", "DUPLICATE_RECORDS_CHECK"),
+                    ("chk_freshness", "DATA_FRESHNESS_CHECK")]:
+    JOBS[_key] = (lambda n: lambda s: s.check_log.filter(F.col("check_name") == n))(_name)
+JOBS["check_log_union"] = lambda s: s.check_log
 JOBS["latest_validation_summary"] = lambda s: K.latest_validation_summary(s.validation_log)
 JOBS["validation_by_type"] = lambda s: K.validation_by_type(s.validation_log, s.cfg)
 JOBS["validation_failed_detail"] = lambda s: K.validation_failed_detail(s.validation_log, s.cfg)
@@ -223,7 +222,7 @@ JOBS["dq_null_counts"] = lambda s: Q.dq_null_counts(s.fact)
 JOBS["dq_score_distribution"] = lambda s: Q.dq_score_distribution(s.fact)
 JOBS["dq_amount_validity"] = lambda s: Q.dq_amount_validity(s.fact)
 JOBS["dq_date_validity"] = lambda s: Q.dq_date_validity(s.fact, s.cfg)
-JOBS["dq_fk_orphans"] = lambda s: Q.dq_fk_orphans(s.fact, s.dims, s.dim_rows, s.cfg)
+JOBS["dq_fk_orphans"] = lambda s: Q.dq_fk_orphans(s.fact, s.dims)
 JOBS["dq_unused_dims"] = lambda s: Q.dq_unused_dims(s.fact, s.dims)
 JOBS["dq_person_spending"] = lambda s: Q.dq_person_spending(s.complete)
 JOBS["dq_category_spending"] = lambda s: Q.dq_category_spending(s.complete)

@@ -3,14 +3,19 @@
 The test tables hold no spending data, so every job starts from this
 projection: one raw text row per order, built only from integer arithmetic
 and string formatting so that Spark and the DuckDB oracle agree exactly.
-A few rows are dirtied by rule so that rejects and checks have work to do.
+Rows are dirtied by rule so that rejects, checks and insights have work to do, and
+written as raw files in two load batches, which the loader reads like any other input.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .raw_files import RAW_SCHEMA
+
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -21,12 +26,20 @@ LOCATIONS = ["Shopee", "Grab", "Lazada", "MRT Station", "Bus Interchange", "Hawk
              "KFC", "Cinema", "Clinic", "Gym", "NTUC FairPrice", "Netflix"]
 PAYMENT_METHODS = ["Cash", "Credit Card", "Debit Card", "PayNow", "GrabPay",
                    "Mobile Payment", "Bank Transfer", "Apple Pay", "Google Pay", "EZ-Link"]
-DATE_STYLES = ["dd/MM/yyyy", "dd-MMM-yyyy", "yyyy-MM-dd", "dd-MM-yyyy"]
+DATE_STYLES = ["dd/MM/yyyy", "dd-MMM-yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "yyyy-MM-dd '10:30:00'", "yyyy-MM-dd'T10:30:00'",
+               "dd.MM.yyyy", "dd MMM yy", "dd-MMMM-yyyy", "MMM dd yyyy", "dd/MM/yy"]
 
-# Dirt rules: (modulus, column, value)
+# Dirt by rule: (modulus of the order key, value)
 BAD_AMOUNT_MOD, BAD_AMOUNT = 97, "n/a"
 BAD_DATE_MOD, BAD_DATE = 89, "31/02/2024"
-NULL_LOCATION_MOD = 83
+NULL_LOCATION_MOD, NULL_PERSON_MOD, BLANK_CATEGORY_MOD = 83, 101, 103
+REPEATED_MOD = 107  # such a row is there twice
+PADDED_AMOUNT_MOD, PADDED_DATE_MOD, PAD = 59, 61, "\u00a0"
+LAST_MONTH_MOD, LAST_MONTH = 29, "2001-08-01"  # such a row is dated in the last month, so that all persons have one
+# Load batches, in loading order: (id, loaded at); rows of the first have keys divisible by 3.
+BATCHES = [("LOAD_20251018_000000", _dt.datetime(2025, 10, 18, 12)), ("LOAD_20251020_000000", _dt.datetime(2025, 10, 20, 12))]
+FIRST_BATCH_MOD = 3
+RAW_NAME, RAW_FILES = "daily_spending.parquet", 4
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=("orders", "customer", "nation")) -> dict:
@@ -37,20 +50,20 @@ def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def raw_spending(tables: dict, dirty: bool = True) -> DataFrame:
-    """Raw spending rows: src_id + the seven text columns of the source file."""
+def raw_spending(tables: dict) -> DataFrame:
+    """The seven text columns of a raw row, with key, copy and batch (its position in BATCHES)."""
     o = tables["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = tables["customer"].select("c_custkey", "c_nationkey")
     n = tables["nation"].select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
 
     k = F.col("o_orderkey")
-    d = F.col("o_orderdate").cast("date")
-    m4 = F.pmod(k, F.lit(4))
-    date_txt = (F.when(m4 == 0, F.date_format(d, DATE_STYLES[0]))
-                .when(m4 == 1, F.date_format(d, DATE_STYLES[1]))
-                .when(m4 == 2, F.date_format(d, DATE_STYLES[2]))
-                .otherwise(F.date_format(d, DATE_STYLES[3])))
+    every = lambda mod: F.pmod(k, F.lit(mod)) == 0
+    d = F.when(every(LAST_MONTH_MOD), F.date_add(F.lit(LAST_MONTH).cast("date"), F.pmod(k, F.lit(28)).cast("int"))) \
+        .otherwise(F.col("o_orderdate").cast("date"))
+    date_txt = F.date_format(d, DATE_STYLES[0])
+    for i, style in enumerate(DATE_STYLES):
+        date_txt = F.when(F.pmod(k, F.lit(len(DATE_STYLES))) == i, F.date_format(d, style)).otherwise(date_txt)
     cents = F.lit(152) + F.pmod(F.round(F.col("o_totalprice") * 100).cast("bigint"), F.lit(49809))
     num = F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
                    F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
@@ -59,20 +72,32 @@ def raw_spending(tables: dict, dirty: bool = True) -> DataFrame:
                   .when(style == 1, num)
                   .when(style == 2, F.concat(num, F.lit(" SGD")))
                   .otherwise(F.concat(F.lit("SGD "), num)))
+    amount_txt = F.when(every(BAD_AMOUNT_MOD), F.lit(BAD_AMOUNT)).otherwise(amount_txt)
+    amount_txt = F.when(every(PADDED_AMOUNT_MOD), F.concat(amount_txt, F.lit(PAD))).otherwise(amount_txt)
+    date_txt = F.when(every(BAD_DATE_MOD), F.lit(BAD_DATE)).otherwise(date_txt)
+    date_txt = F.when(every(PADDED_DATE_MOD), F.concat(F.lit(PAD), date_txt)).otherwise(date_txt)
     location = _pick(LOCATIONS, F.pmod(F.col("o_custkey"), F.lit(len(LOCATIONS))))
-    if dirty:
-        amount_txt = F.when(F.pmod(k, F.lit(BAD_AMOUNT_MOD)) == 0, F.lit(BAD_AMOUNT)).otherwise(amount_txt)
-        date_txt = F.when(F.pmod(k, F.lit(BAD_DATE_MOD)) == 0, F.lit(BAD_DATE)).otherwise(date_txt)
-        location = F.when(F.pmod(k, F.lit(NULL_LOCATION_MOD)) == 0, F.lit(None).cast("string")).otherwise(location)
-
+    copies = F.when(every(REPEATED_MOD), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return j.select(
-        k.alias("src_id"),
-        F.col("n_name").alias("person_name"),
+        k.alias("key"), F.explode(copies).alias("copy"), F.when(every(FIRST_BATCH_MOD), 0).otherwise(1).alias("batch"),
+        F.when(every(NULL_PERSON_MOD), F.lit(None)).otherwise(F.col("n_name")).alias("person_name"),
         date_txt.alias("spending_date"),
-        _pick(CATEGORIES, F.pmod(k, F.lit(len(CATEGORIES)))).alias("category"),
+        F.when(every(BLANK_CATEGORY_MOD), F.lit("  "))
+         .otherwise(_pick(CATEGORIES, F.pmod(k, F.lit(len(CATEGORIES))))).alias("category"),
         amount_txt.alias("amount"),
-        location.alias("location"),
-        F.when(F.pmod(k, F.lit(20)) == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("o_orderpriority")).alias("description"),
+        F.when(every(NULL_LOCATION_MOD), F.lit(None)).otherwise(location).alias("location"),
+        F.when(every(20), F.lit(None)).otherwise(F.col("o_orderpriority")).alias("description"),
         _pick(PAYMENT_METHODS, F.pmod(F.col("o_custkey"), F.lit(len(PAYMENT_METHODS)))).alias("payment_method"),
     )
+
+
+def write_raw_files(rows: DataFrame, root: str) -> list[str]:
+    """The raw input a deployment would receive: a folder of files per load batch, the
+    same name in each, rows in key order. Returns the folders in loading order."""
+    out = []
+    for i, (batch, _) in enumerate(BATCHES):
+        path = f"{root}/raw/{batch}/{RAW_NAME}"
+        (rows.filter(F.col("batch") == i).repartitionByRange(RAW_FILES, "key").sortWithinPartitions("key", "copy")
+         .select(*RAW_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path))
+        out.append(path)
+    return out

@@ -1,47 +1,67 @@
 """Raw spending files -> source table rows (batch form of the loader).
 
-``src_id`` is stable across reloads: the per-file row position
-(``_metadata.row_index``) plus an offset per file. Offsets come from a
-running sum over the per-file row counts - one row per file, so that small
-table is the only thing ordered globally - joined back by broadcast.
+``src_id`` is unique over all load batches: every batch owns a range of ids, kept as
+one row per batch in a small mark table, and inside the batch a row's id is the batch's
+first id plus the rows of earlier files (by full path) plus its position in its own
+file. Loading a batch again gives the same ids. The mark is written before the rows, so
+a load that fails in between only leaves a reserved range behind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import TableStore
+
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                            ["person_name", "spending_date", "category", "amount", "location", "description",
                             "payment_method"]])
+SOURCE, MARKS = "src_daily_spending", "src_load_marks"
 
 
 def file_position(files: DataFrame) -> DataFrame:
-    """Expose the file name and the row's position inside its file."""
-    return files.select("*", F.col("_metadata.file_name").alias("source_file"),
+    """Expose the file's path and the row's position inside its file."""
+    return files.select("*", F.col("_metadata.file_path").alias("source_file"),
                         F.col("_metadata.row_index").alias("_row"))
 
 
-MAX_BROADCAST_FILES = 200_000  # ~10 MB of (name, offset) pairs
+def with_ids(rows: DataFrame, first_id: int | Column) -> DataFrame:
+    """``src_id`` = first_id + rows of earlier files + position. The window runs over one
+    row per file, the listing that planning the scan holds anyway."""
+    counts = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("source_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    return (rows.join(offsets, "source_file")
+            .withColumn("src_id", (F.lit(first_id) + F.col("_off") + F.col("_row")).cast("bigint")).drop("_off", "_row"))
+
+
+def reserve_ids(store: TableStore, batch_id: str, rows: int) -> int:
+    """First id of the batch's range. A batch that is loaded again keeps its range, unless
+    it has grown past it; any other batch starts after the highest reserved id."""
+    marks = [r.asDict() for r in store.read(MARKS).collect()] if store.exists(MARKS) else []  # one row per batch
+    own = next((m for m in marks if m["load_batch_id"] == batch_id), None)
+    if own and rows <= own["row_count"]:
+        return own["first_id"]
+    first = max((m["first_id"] + m["row_count"] for m in marks), default=1)
+    mark = store.spark.createDataFrame([(first, rows, batch_id)], "first_id long, row_count long, load_batch_id string")
+    store.append_partition(mark, MARKS, ["load_batch_id"])
+    return first
 
 
-def with_file_offsets(f: DataFrame, base: int | F.Column = 0, n_files: int | None = None) -> DataFrame:
-    """Add ``src_id`` = base + rows of earlier files (by name) + row_index + 1
-    to rows that carry ``source_file`` and ``_row`` (see ``file_position``).
-    The offset table has one row per file; it is broadcast when the file
-    count (known from the file listing) is under the bound."""
-    counts = f.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    offsets = counts.select("source_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    small = n_files is not None and n_files <= MAX_BROADCAST_FILES
-    out = f.join(F.broadcast(offsets) if small else offsets, "source_file")
-    return out.withColumn("src_id", (F.lit(base) + F.col("_off") + F.col("_row") + 1).cast("bigint")) \
-        .drop("_off", "_row")
+def landed(rows: DataFrame, batch_id: str, loaded_at, source_file: str | None = None) -> DataFrame:
+    """Rows with ids in the columns of the source table."""
+    name = F.col("source_file") if source_file is None else F.lit(source_file)
+    return rows.select("src_id", *RAW_SCHEMA.fieldNames(), name.alias("source_file"),
+                       F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"), F.lit(batch_id).alias("load_batch_id"))
 
 
-def read_raw_files(spark: SparkSession, path: str, load_batch_id: str, loaded_at) -> DataFrame:
-    raw = spark.read.schema(RAW_SCHEMA).parquet(path)
-    return with_file_offsets(file_position(raw), 0, len(raw.inputFiles())).select(
-        "src_id", *RAW_SCHEMA.fieldNames(), "source_file", F.lit(load_batch_id).alias("load_batch_id"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+def load_batch(store: TableStore, path: str, batch_id: str, loaded_at: _dt.datetime, source_file: str | None = None) -> None:
+    """Load all files under ``path`` as one batch partition of the source table."""
+    spark: SparkSession = store.spark
+    raw = file_position(spark.read.schema(RAW_SCHEMA).parquet(path))
+    first = reserve_ids(store, batch_id, raw.count())
+    store.append_partition(landed(with_ids(raw, first), batch_id, loaded_at, source_file), SOURCE, ["load_batch_id"])

@@ -1,60 +1,55 @@
 """Table storage: partitioned Parquet tables under one shared root folder.
 
-The root is the cluster's ``spark.checkpoint.dir`` (a shared filesystem every
-executor can reach). A caller may pass its own root only when that setting is
-unset, as tests do.
+The root is the cluster's ``spark.checkpoint.dir``, a file system every executor can
+reach. Without that setting there is no safe default, so an error is raised; a local
+program (tests, bench) names its own folder with ``use_root``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def shared_root(spark: SparkSession, fallback: str | None = None) -> str:
-    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+def configured_root(spark: SparkSession) -> str | None:
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
             or spark.sparkContext.getCheckpointDir())
-    if root:
-        return root.rstrip("/")
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    spark.sparkContext.setCheckpointDir(fallback)
-    try:  # a core setting: some deployments refuse to change it at runtime
-        spark.conf.set("spark.checkpoint.dir", fallback)
-    except Exception:  # noqa: BLE001
-        pass
-    return fallback.rstrip("/")
+
+
+def shared_root(spark: SparkSession) -> str:
+    root = configured_root(spark)
+    if not root:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+    return root.rstrip("/")
+
+
+def use_root(spark: SparkSession, folder: str) -> str:
+    """Take ``folder`` as the session's root where none is configured."""
+    if not configured_root(spark):
+        spark.sparkContext.setCheckpointDir(folder)
+    return shared_root(spark)
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A fresh folder for this run's tables under the shared checkpoint root.
-    The root comes from the session; only when it is unset (local tests) a
-    folder under the system temp dir is used."""
-    import tempfile
-    import uuid
-    fallback = None
-    if not (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-            or spark.sparkContext.getCheckpointDir()):
-        fallback = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    return f"{shared_root(spark, fallback)}/ledgerlake-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for one run's tables under the shared root."""
+    return f"{shared_root(spark)}/ledgerlake-{uuid.uuid4().hex[:12]}"
 
 
 class TableStore:
-    """Write-once-per-run tables. A rerun overwrites whole tables (or, for a
-    partitioned table, only the partitions it writes), so a retried job after
-    a lost executor or a failed attempt never leaves partial output behind."""
+    """Tables that runs write. A rerun overwrites whole tables (or, for a partitioned
+    table, only the partitions it writes), so a retried job after a lost executor or a
+    failed attempt never leaves partial output behind."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str, partition_by=None, mode: str = "overwrite") -> None:
-        w = df.write.mode(mode).option("compression", "snappy")
+        w = df.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
@@ -62,13 +57,31 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def _files(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def exists(self, name: str) -> bool:
+        fs, p = self._files(name)
+        return fs.exists(p)
+
     def materialize(self, name: str, build, partition_by=None) -> DataFrame:
         self.write(build(), name, partition_by=partition_by)
         return self.read(name)
 
-    def max_partition_value(self, name: str, column: str):
-        """Newest partition value (a one-row aggregate over the partition column)."""
-        return self.read(name).agg(F.max(column)).first()[0]
+    def partition_values(self, name: str, column: str) -> list[str]:
+        """Values of a table's first partition column, from one folder listing; empty if
+        there is no such table."""
+        fs, p = self._files(name)
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+    def max_partition_value(self, name: str, column: str) -> int | None:
+        """Newest version of a table whose partitions are numbered; None without any."""
+        return max(map(int, self.partition_values(name, column)), default=None)
 
     def append_partition(self, df: DataFrame, name: str, partition_by) -> None:
         """Append one partition (e.g. a load batch or a snapshot version).
@@ -77,13 +90,16 @@ class TableStore:
 
     def drop_partitions(self, name: str, column: str, values) -> list:
         """Delete whole partitions (retention, bad load batch). Returns deleted paths."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         deleted = []
         for v in values:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{column}={v}")
-            fs = p.getFileSystem(conf)
+            fs, p = self._files(f"{name}/{column}={v}")
             if fs.exists(p):
                 fs.delete(p, True)
-                deleted.append(str(p))
+                deleted.append(str(p.toString()))
         return deleted
+
+    def drop(self) -> None:
+        """Delete the whole folder of this store."""
+        fs, p = self._files(".")
+        if fs.exists(p):
+            fs.delete(p, True)

@@ -1,47 +1,37 @@
 """Incremental ingest (A90): load every new raw file exactly once.
 
-A file-source stream with ``trigger(availableNow=True)`` and a checkpoint
-remembers which files were consumed; each micro-batch becomes one load
-batch partition of the source table. ``foreachBatch`` numbers the rows
-after the current maximum ``src_id`` and overwrites only its own
-``load_batch_id`` partition, so a retried batch (after a lost executor or a
-driver restart) rewrites the same partition instead of duplicating rows.
-No watermark or state is needed: the stream is append-only files.
+A file-source stream with ``trigger(availableNow=True)`` and a checkpoint remembers
+which files were consumed; each micro-batch becomes one load batch: it reserves a range
+of ids in the mark table (one row per batch, so a batch never scans the table it adds
+to) and replaces only its own partition. A batch that is retried, after a lost executor
+or a driver restart, keeps its range and rewrites the same partition. Errors of the
+storage are raised, never taken for a missing table. No watermark or state is needed:
+the stream is append-only files.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..sources.raw_files import RAW_SCHEMA, file_position, with_file_offsets
-
-
-def _batch_writer(target: str, loaded_at, max_files: int):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch_name = f"LOAD_STREAM_{batch_id:06d}"
-        try:
-            existing = spark.read.parquet(target)
-            base = (existing.filter(F.col("load_batch_id") != batch_name)
-                    .agg(F.coalesce(F.max("src_id"), F.lit(0))).first()[0])
-        except Exception:  # noqa: BLE001  (first batch: no table yet)
-            base = 0
-        rows = with_file_offsets(batch, base, max_files).select(
-            "src_id", *RAW_SCHEMA.fieldNames(), "source_file", F.lit(batch_name).alias("load_batch_id"),
-            F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_batch_id").parquet(target))
+
+from ..sources.raw_files import RAW_SCHEMA, SOURCE, file_position, landed, reserve_ids, with_ids
+from ..sources.tables import TableStore
+
+
+def _batch_writer(root: str, loaded_at):
+    def write(batch: DataFrame, number: int) -> None:
+        store = TableStore(batch.sparkSession, root)
+        name = f"LOAD_STREAM_{number:06d}"
+        first = reserve_ids(store, name, batch.count())
+        store.append_partition(landed(with_ids(batch, first), name, loaded_at), SOURCE, ["load_batch_id"])
     return write
 
 
-def incremental_ingest(spark: SparkSession, source_dir: str, target: str, checkpoint: str, loaded_at,
+def incremental_ingest(spark: SparkSession, source_dir: str, root: str, checkpoint: str, loaded_at,
                        max_files_per_batch: int = 1000) -> None:
-    """Run until every file currently in ``source_dir`` has been loaded once.
-    ``maxFilesPerTrigger`` bounds each micro-batch, and with it the per-file
-    offset table that is broadcast inside the batch."""
+    """Run until every file currently in ``source_dir`` has been loaded once into the
+    source table under ``root``; ``max_files_per_batch`` is the size of a micro-batch."""
     stream = file_position(spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_batch)
                            .parquet(source_dir))
-    q = (stream.writeStream.foreachBatch(_batch_writer(target, loaded_at, max_files_per_batch))
+    q = (stream.writeStream.foreachBatch(_batch_writer(root, loaded_at))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -1,6 +1,7 @@
 """DuckDB oracle: the spending chain re-derived in plain SQL.
 
-Written independently of the Spark jobs: prior periods are self joins (as
+Shares no code and no value with the Spark jobs; its lists and rules stand here as
+literals, taken from the survey and the adapter's description. Prior periods are self joins (as
 the reference writes them), rolling averages are range self joins, and every
 rounded quotient is computed from integer cents with explicit half-away-from-
 zero rounding, because DuckDB turns decimal division into DOUBLE.
@@ -11,8 +12,29 @@ tables (orders, customer, nation); unused CTEs are never evaluated.
 
 from __future__ import annotations
 
-from ledgerlake import config as C
-from ledgerlake.sources import fixture as FX
+ONLINE = ["shopee", "lazada", "zalora", "amazon", "grab", "foodpanda", "udemy", "netflix", "spotify", "online", "taobao",
+          ".com", "web"]
+TRANSPORT = ["mrt", "bus", "taxi", "grab", "gojek", "station", "interchange"]
+PAYMENT = [("Card", ["card", "visa", "mastercard", "amex"]), ("Digital Wallet", ["pay", "wallet", "apple", "google", "grab"]),
+           ("Transit Card", ["ez-link", "nets", "flashpay"]), ("Bank Transfer", ["bank", "transfer", "giro"])]
+GROUPS = [("Essential", ["groceries", "food", "utilities"]), ("Discretionary", ["shopping", "entertainment", "dining"]),
+          ("Transport", ["transport", "transportation"]), ("Healthcare", ["healthcare", "medical", "health"]),
+          ("Education", ["education", "learning", "books"])]
+# date forms, four-digit and two-digit years, in the order they are tried
+LONG_YEAR = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M", "%d-%b-%Y", "%d/%m/%Y", "%Y-%m-%d",
+             "%d-%m-%Y", "%Y/%m/%d", "%d %b %Y", "%d %B %Y", "%b %d, %Y", "%B %d, %Y", "%Y%m%d", "%d-%B-%Y", "%b %d %Y",
+             "%B %d %Y", "%d.%m.%Y"]
+SHORT_YEAR = ["%d/%m/%y", "%d-%m-%y", "%d-%b-%y", "%d %b %y", "%d %B %y", "%d.%m.%y", "%d-%B-%y"]
+# the adapter's lists
+CATEGORIES = ["Food", "Transport", "Groceries", "Entertainment", "Shopping", "Utilities", "Healthcare", "Education", "Fitness",
+              "Dining"]
+LOCATIONS = ["Shopee", "Grab", "Lazada", "MRT Station", "Bus Interchange", "Hawker Centre", "KFC", "Cinema", "Clinic", "Gym",
+             "NTUC FairPrice", "Netflix"]
+METHODS = ["Cash", "Credit Card", "Debit Card", "PayNow", "GrabPay", "Mobile Payment", "Bank Transfer", "Apple Pay", "Google Pay",
+           "EZ-Link"]
+STYLES = ["%d/%m/%Y", "%d-%b-%Y", "%Y-%m-%d", "%d-%m-%Y", "%Y-%m-%d 10:30:00", "%Y-%m-%dT10:30:00", "%d.%m.%Y", "%d %b %y",
+          "%d-%B-%Y", "%b %d %Y", "%d/%m/%y"]
+BLANKS = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def q(s: str) -> str:
@@ -43,58 +65,46 @@ def money(x: str) -> str:
 
 
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"regexp_replace({x}, '^{BLANKS}+|{BLANKS}+$', '', 'g')"
 
 
 def contains_any(x: str, words) -> str:
     return "(" + " OR ".join(f"contains(lower({x}), {q(w)})" for w in words) + ")"
 
 
-def _strptime_formats(four_digit: bool):
-    fmts = [f for f in C.DATE_FORMATS + C.DATE_FALLBACK_FORMATS if ("yyyy" in f) == four_digit]
-    res = []
-    for f in fmts:
-        g = f
-        for a, b in [("yyyy", "\x01"), ("yy", "\x02"), ("MMMM", "\x03"), ("MMM", "\x04"), ("MM", "\x05"),
-                     ("M", "\x05"), ("d", "\x06")]:
-            g = g.replace(a, b)
-        for a, b in [("\x01", "%Y"), ("\x02", "%y"), ("\x03", "%B"), ("\x04", "%b"), ("\x05", "%m"), ("\x06", "%d")]:
-            g = g.replace(a, b)
-        res.append(g)
-    return res
-
-
 AS_OF = "TIMESTAMP '2025-10-22 00:00:00'"
-LOADED_AT = "TIMESTAMP '2025-10-20 12:00:00'"
 
 _k = "o.o_orderkey"
 _cents = "(152 + CAST(round(o.o_totalprice * 100) AS BIGINT) % 49809)"
 _num = f"(CAST({_cents} // 100 AS VARCHAR) || '.' || lpad(CAST({_cents} % 100 AS VARCHAR), 2, '0'))"
-_d = "CAST(o.o_orderdate AS DATE)"
-
-RAW = f"""raw AS (
-  SELECT {_k} AS src_id,
-    n.n_name AS person_name,
-    CASE WHEN {_k} % {FX.BAD_DATE_MOD} = 0 THEN {q(FX.BAD_DATE)}
-         WHEN {_k} % 4 = 0 THEN strftime({_d}, '%d/%m/%Y')
-         WHEN {_k} % 4 = 1 THEN strftime({_d}, '%d-%b-%Y')
-         WHEN {_k} % 4 = 2 THEN strftime({_d}, '%Y-%m-%d')
-         ELSE strftime({_d}, '%d-%m-%Y') END AS spending_date,
-    list_extract({qlist(FX.CATEGORIES)}, CAST({_k} % {len(FX.CATEGORIES)} + 1 AS INTEGER)) AS category,
-    CASE WHEN {_k} % {FX.BAD_AMOUNT_MOD} = 0 THEN {q(FX.BAD_AMOUNT)}
+_d = f"(CASE WHEN {_k} % 29 = 0 THEN DATE '2001-08-01' + CAST({_k} % 28 AS INTEGER) ELSE CAST(o.o_orderdate AS DATE) END)"
+_pad = "chr(160)"
+_styled = " ".join(f"WHEN {_k} % {len(STYLES)} = {i} THEN strftime({_d}, {q(f)})" for i, f in enumerate(STYLES))
+
+RAW = f"""raw_rows AS (
+  SELECT {_k} AS k, copy, CASE WHEN {_k} % 3 = 0 THEN 0 ELSE 1 END AS batch,
+    CASE WHEN {_k} % 101 = 0 THEN NULL ELSE n.n_name END AS person_name,
+    (CASE WHEN {_k} % 61 = 0 THEN {_pad} ELSE '' END) || CASE WHEN {_k} % 89 = 0 THEN '31/02/2024' {_styled} END AS spending_date,
+    CASE WHEN {_k} % 103 = 0 THEN '  '
+         ELSE list_extract({qlist(CATEGORIES)}, CAST({_k} % {len(CATEGORIES)} + 1 AS INTEGER)) END AS category,
+    (CASE WHEN {_k} % 97 = 0 THEN 'n/a'
          WHEN ({_k} // 4) % 4 = 0 THEN '$' || {_num}
          WHEN ({_k} // 4) % 4 = 1 THEN {_num}
          WHEN ({_k} // 4) % 4 = 2 THEN {_num} || ' SGD'
-         ELSE 'SGD ' || {_num} END AS amount,
-    CASE WHEN {_k} % {FX.NULL_LOCATION_MOD} = 0 THEN NULL
-         ELSE list_extract({qlist(FX.LOCATIONS)}, CAST(o.o_custkey % {len(FX.LOCATIONS)} + 1 AS INTEGER)) END AS location,
+         ELSE 'SGD ' || {_num} END) || (CASE WHEN {_k} % 59 = 0 THEN {_pad} ELSE '' END) AS amount,
+    CASE WHEN {_k} % 83 = 0 THEN NULL
+         ELSE list_extract({qlist(LOCATIONS)}, CAST(o.o_custkey % {len(LOCATIONS)} + 1 AS INTEGER)) END AS location,
     CASE WHEN {_k} % 20 = 0 THEN NULL ELSE o.o_orderpriority END AS description,
-    list_extract({qlist(FX.PAYMENT_METHODS)}, CAST(o.o_custkey % {len(FX.PAYMENT_METHODS)} + 1 AS INTEGER)) AS payment_method
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-)"""
+    list_extract({qlist(METHODS)}, CAST(o.o_custkey % {len(METHODS)} + 1 AS INTEGER)) AS payment_method
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey,
+    unnest(CASE WHEN {_k} % 107 = 0 THEN [0, 1] ELSE [0] END) AS u(copy)
+),
+raw AS (SELECT ROW_NUMBER() OVER (ORDER BY batch, k, copy) AS src_id, * EXCLUDE (k, copy) FROM raw_rows)"""
 
-SRC = f"""src AS (
-  SELECT *, 'orders.parquet' AS source_file, 'LOAD_20251020_000000' AS load_batch_id, {LOADED_AT} AS loaded_at
+SRC = """src AS (
+  SELECT * EXCLUDE (batch), 'daily_spending.parquet' AS source_file,
+    CASE batch WHEN 0 THEN 'LOAD_20251018_000000' ELSE 'LOAD_20251020_000000' END AS load_batch_id,
+    CASE batch WHEN 0 THEN TIMESTAMP '2025-10-18 12:00:00' ELSE TIMESTAMP '2025-10-20 12:00:00' END AS loaded_at
   FROM raw
 )"""
 
@@ -102,8 +112,9 @@ _a1 = strip("amount")
 _a2 = f"(CASE WHEN contains(upper({_a1}), 'SGD') THEN {strip(f'replace(upper({_a1}), ' + q('SGD') + ', ' + q('') + ')')} ELSE {_a1} END)"
 _a3 = strip(f"regexp_replace({_a2}, '[$,]', '', 'g')")
 _d1 = strip("spending_date")
-_d4 = f"try_strptime({_d1}, {qlist(_strptime_formats(True))})"
-_d2 = f"try_strptime({_d1}, {qlist(_strptime_formats(False))})"
+# this engine reads %Y from two digits too, so the long forms need four digits in a row
+_d4 = f"(CASE WHEN regexp_matches({_d1}, '[0-9][0-9][0-9][0-9]') THEN try_strptime({_d1}, {qlist(LONG_YEAR)}) END)"
+_d2 = f"try_strptime({_d1}, {qlist(SHORT_YEAR)})"
 
 
 def _blank(x):
@@ -115,27 +126,25 @@ STG0 = f"""stg0 AS (
     CASE WHEN {_blank('amount')} THEN NULL ELSE TRY_CAST({_a3} AS DECIMAL(12,2)) END AS amount_p,
     CASE WHEN {_blank(_d1)} THEN NULL
          ELSE CAST(COALESCE({_d4},
-              CASE WHEN year({_d2}) >= {C.TWO_DIGIT_YEAR_PIVOT} THEN {_d2} - INTERVAL 100 YEAR ELSE {_d2} END) AS DATE)
+              CASE WHEN year({_d2}) >= 2069 THEN {_d2} - INTERVAL 100 YEAR ELSE {_d2} END) AS DATE)
     END AS date_p
   FROM src
 )"""
 
 
 def _loc_type(x):
-    return (f"CASE WHEN {_blank(x)} THEN 'Unknown' WHEN {contains_any(x, C.ONLINE_KEYWORDS)} THEN 'Online' "
-            f"WHEN {contains_any(x, C.TRANSPORT_KEYWORDS)} THEN 'Transport' ELSE 'Physical' END")
+    return (f"CASE WHEN {_blank(x)} THEN 'Unknown' WHEN {contains_any(x, ONLINE)} THEN 'Online' "
+            f"WHEN {contains_any(x, TRANSPORT)} THEN 'Transport' ELSE 'Physical' END")
 
 
 def _pay_type(x):
-    return (f"CASE WHEN {_blank(x)} THEN 'Other' WHEN {contains_any(x, C.CARD_KEYWORDS)} THEN 'Card' "
-            f"WHEN {contains_any(x, C.WALLET_KEYWORDS)} THEN 'Digital Wallet' "
-            f"WHEN {contains_any(x, C.TRANSIT_KEYWORDS)} THEN 'Transit Card' "
-            f"WHEN {contains_any(x, C.BANK_KEYWORDS)} THEN 'Bank Transfer' ELSE 'Other' END")
+    parts = " ".join(f"WHEN {contains_any(x, words)} THEN {q(label)}" for label, words in PAYMENT)
+    return f"CASE WHEN {_blank(x)} THEN 'Other' {parts} ELSE 'Other' END"
 
 
 def _cat_group(x):
     parts = " ".join(f"WHEN lower({x}) IN ({', '.join(q(n) for n in names)}) THEN {q(g)}"
-                     for g, names in C.CATEGORY_GROUPS)
+                     for g, names in GROUPS)
     return f"CASE WHEN {_blank(x)} THEN 'Other' {parts} ELSE 'Other' END"
 
 

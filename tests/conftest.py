@@ -19,9 +19,8 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        from ledgerlake.sources.tables import shared_root
-        shared_root(s, tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-"))
+    from ledgerlake.sources.tables import use_root
+    use_root(s, tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-"))
     yield s
 
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def _stored(spark):
-    return Spend(spark, SF, Config(), store=TableStore(spark, run_folder(spark)))
+    return Spend(spark, SF, Config(), TableStore(spark, run_folder(spark)))
 
 
 def test_verdicts_and_shares(spark):

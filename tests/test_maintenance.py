@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerlake.config import Config
@@ -17,28 +19,52 @@ SF_SMALL = "/root/testdata/sf0.001"
 def test_publish_is_idempotent_and_prune_keeps_latest(spark):
     cfg = Config()
     store = TableStore(spark, run_folder(spark))
-    s = Spend(spark, SF_SMALL, cfg, store=store)
-    complete = s.complete
+    complete = Spend(spark, SF_SMALL, cfg, store).complete
     n = complete.count()
-    MT.publish_snapshot(store, complete, 1, dt.date(2025, 8, 1), cfg)
-    MT.publish_snapshot(store, complete, 2, dt.date(2025, 10, 21), cfg)
-    MT.publish_snapshot(store, complete, 2, dt.date(2025, 10, 21), cfg)      # retry: same rows, no duplicates
+    assert MT.publish_next(store, complete, dt.date(2025, 8, 1), cfg) == 1
+    assert MT.publish_next(store, complete, dt.date(2025, 10, 21), cfg) == 2
+    assert MT.publish_next(store, complete, dt.date(2025, 10, 21), cfg) == 2   # retry: same version, same rows
     cur = MT.read_snapshots(store)
     assert cur.count() == 2 * n
-    assert cur.filter("is_latest = 1").select("snapshot_version").distinct().collect()[0][0] == 2
+    assert [r[0] for r in cur.filter("is_latest = 1").select("snapshot_version").distinct().collect()] == [2]
     assert MT.prune_snapshots(store, cfg) == [1]                               # older than 30 days, not latest
     assert MT.read_snapshots(store).select("snapshot_version").distinct().count() == 1
     assert MT.prune_snapshots(store, cfg) == []                                # latest is never pruned
+    assert MT.publish_next(store, complete, dt.date(2025, 10, 22), cfg) == 3
+
+
+def test_gate_refuses_bad_snapshots(spark):
+    cfg, store = Config(), TableStore(spark, run_folder(spark))
+    complete = Spend(spark, SF_SMALL, cfg, store).complete
+    for bad in (complete.limit(0), complete.withColumn("amount_cleaned", F.lit(-1).cast("decimal(12,2)")),
+                complete.withColumn("amount_cleaned", F.lit(None).cast("decimal(12,2)"))):
+        with pytest.raises(MT.SnapshotRefused):
+            MT.publish_next(store, bad, dt.date(2025, 10, 21), cfg)
+    assert not store.exists(MT.CURATED)
+
+
+def test_marts_last_by_source_version(spark):
+    """Two runs on one store: versions go on, marts of both versions stay, reads take the newest."""
+    root = run_folder(spark)
+    a = Spend(spark, SF_SMALL, Config(), TableStore(spark, root))
+    rows = a.mss.count()
+    later = Config(snapshot_dates=(dt.date(2025, 10, 22), dt.date(2025, 10, 23)))
+    b = Spend(spark, SF_SMALL, later, TableStore(spark, root))
+    assert b.mss.count() == rows
+    assert [int(v) for v in b.store.partition_values(MT.CURATED, "snapshot_version")] == [1, 2, 3, 4]
+    assert [int(v) for v in b.store.partition_values("dst_monthly_spending_summary", "snapshot_version_source")] == [2, 4]
+    again = Spend(spark, SF_SMALL, later, TableStore(spark, root))  # a retry changes nothing
+    assert again.mss.count() == rows and len(again.store.partition_values(MT.CURATED, "snapshot_version")) == 4
 
 
 def test_delete_batch_and_csv_export(spark):
     store = TableStore(spark, run_folder(spark))
-    s = Spend(spark, SF_SMALL, Config(), store=store)
+    s = Spend(spark, SF_SMALL, Config(), store)
     src = s.src
     assert src.count() > 0
     deleted = MT.delete_load_batch(store, "src_daily_spending", Config().load_batch_id)
     assert len(deleted) == 1 and not os.path.exists(deleted[0].replace("file:", ""))
-    s2 = Spend(spark, SF_SMALL, Config(), store=TableStore(spark, run_folder(spark)))
+    s2 = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
     out = f"{s2.store.root}/export_csv"
     U.export_csv(s2.latest, out)
     back = spark.read.option("header", True).csv(out)
@@ -57,7 +83,7 @@ def test_shuffle_partitions_do_not_change_results(spark):
     rows = {}
     for n in (3, 11):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        s = Spend(spark, SF_SMALL, Config(), store=TableStore(spark, run_folder(spark)))
+        s = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
         rows[n] = [sorted(tuple(str(v) for v in r) for r in df.collect())
                    for df in (s.ct, s.pa, I.health_scorecard(s.pa))]
     spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -1,5 +1,4 @@
-"""profile_file (no SQL oracle: it reports bytes on disk) against brute force:
-pyarrow footers and file sizes of the stored source table."""
+"""Input-file profile against pyarrow footers and file sizes of the raw files."""
 
 import glob
 import os
@@ -7,21 +6,20 @@ import os
 import pyarrow.parquet as pq
 
 from ledgerlake.config import Config
-from ledgerlake.operators import ingest as N
 from ledgerlake.plans.pipeline import Spend
+from ledgerlake.plans.registry import JOBS
+from ledgerlake.sources.raw_files import RAW_SCHEMA
 from ledgerlake.sources.tables import TableStore, run_folder
 
 SF_SMALL = "/root/testdata/sf0.001"
 
 
 def test_profile_file_matches_footers(spark):
-    s = Spend(spark, SF_SMALL, Config(), store=TableStore(spark, run_folder(spark)))
-    got = N.profile_file(s.src).collect()
-    root = s.store.path("src_daily_spending").replace("file:", "")
-    files = glob.glob(f"{root}/**/*.parquet", recursive=True)
-    rows = sum(pq.ParquetFile(f).metadata.num_rows for f in files)
-    size = sum(os.path.getsize(f) for f in files)
-    assert {r.total_rows for r in got} == {rows}
-    assert {r.file_size_bytes for r in got} == {size}
-    assert [r.column_name for r in sorted(got, key=lambda r: r.ordinal)] == s.src.columns
-    assert {r.total_columns for r in got} == {len(s.src.columns)}
+    s = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
+    files = glob.glob(s.raw_paths[-1].replace("file:", "") + "/*.parquet")
+    got = JOBS["profile_file"](s).collect()
+    assert {r.total_rows for r in got} == {sum(pq.ParquetFile(f).metadata.num_rows for f in files)}
+    assert [r.column_name for r in sorted(got, key=lambda r: r.ordinal)] == RAW_SCHEMA.fieldNames()
+    sizes = {os.path.basename(r.file_path): (r.row_count, r.file_size_bytes) for r in JOBS["profile_file_sizes"](s).collect()}
+    assert sizes == {os.path.basename(f): (pq.ParquetFile(f).metadata.num_rows, os.path.getsize(f)) for f in files
+                     if pq.ParquetFile(f).metadata.num_rows}
