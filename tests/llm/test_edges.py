@@ -154,3 +154,9 @@ def test_registered_and_not_imported_elsewhere():
                 if n.endswith(".py"):
                     with open(f"{d}/{n}") as f:
                         assert "llm" not in f.read(), n
+
+
+@pytest.mark.parametrize("name", ["op5_url_trust", "op6_decontaminate", "op8_secret_scan"])
+def test_native_operators_run_no_python(spark, name):
+    plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
