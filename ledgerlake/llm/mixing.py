@@ -161,8 +161,9 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD, seed
 
     drawn = sources.select("key", "source_size", "target").mapInPandas(
         of_groups, "key string, source_size long, target double, group long, first long, n long")
-    return drawn.repartition("key", "group").mapInPandas(
+    filled = drawn.repartition("key", "group").mapInPandas(
         of_shards, "key string, shard long, slot long, pass long, block long, take long")
+    return filled.hint("merge")  # its size is guessed from the few rows it grows from: never broadcast it
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
