@@ -8,7 +8,7 @@ for results to agree with the reference behaviour.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's for identical results)
@@ -61,24 +61,20 @@ WEEKDAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturd
 class Config:
     """Parameters of one run. ``as_of`` replaces every clock read."""
 
-    as_of: _dt.datetime = _dt.datetime(2025, 10, 22, 0, 0, 0)
-    # "last 12 months" style reports use their own clock
-    report_as_of: _dt.date = _dt.date(2001, 9, 1)
-    source_file: str = "orders.parquet"
-    load_batch_id: str = "LOAD_20251020_000000"
-    transform_batch_id: str = "STG_20251020_000000"
-    validation_run_id: str = "VAL_20251022_000000"
+    as_of: _dt.datetime
+    report_as_of: _dt.date  # "last 12 months" style reports use their own clock
+    load_batch_id: str  # the batch that samples and profiles look at
+    transform_batch_id: str
+    validation_run_id: str
+    snapshot_dates: tuple  # one published version per date ...
+    snapshot_cutoffs: tuple  # ... of the rows before this date, or of all rows
+    # parameters of the report queries
+    version: int
+    version_pair: tuple
+    person: str
+    category: str
+    snapshot_date: _dt.date
+    year: int
+    month: int
     freshness_hours: int = 48
     keep_days: int = 30
-    # snapshot versions built by the test pipeline: (version, date, cutoff)
-    snapshot_cutoff: _dt.date = _dt.date(2000, 1, 1)
-    snapshot_dates: tuple = (_dt.date(2025, 10, 20), _dt.date(2025, 10, 21))
-    # job parameters with their test values
-    version: int = 1
-    version_pair: tuple = (1, 2)
-    person: str = "NATION_5"
-    category: str = "Dining"
-    snapshot_date: _dt.date = _dt.date(2025, 10, 21)
-    year: int = 2000
-    month: int = 6
-    extras: dict = field(default_factory=dict)

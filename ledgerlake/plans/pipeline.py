@@ -105,7 +105,7 @@ class Spend:
     @cached_property
     def curated(self) -> DataFrame:
         """All snapshot versions; the test run publishes two, one per snapshot date."""
-        for date, cutoff in zip(self.cfg.snapshot_dates, (self.cfg.snapshot_cutoff, None), strict=True):
+        for date, cutoff in zip(self.cfg.snapshot_dates, self.cfg.snapshot_cutoffs, strict=True):
             rows = self.complete if cutoff is None else self.complete.filter(F.col("spending_date") < F.lit(cutoff))
             MT.publish_next(self.store, rows, date, self.cfg)
         return MT.read_snapshots(self.store)

@@ -238,3 +238,9 @@ JOBS["dv_group_breakdown"] = lambda s: Q.dv_group_breakdown(s.pa)
 JOBS["dv_null_keys"] = lambda s: Q.dv_null_keys(s.mss, s.ct, s.pa, s.ps)
 JOBS["dv_person_consistency"] = lambda s: Q.dv_person_consistency(s.latest, s.mss, s.pa)
 JOBS["dv_verdict"] = lambda s: Q.dv_verdict(s.latest, s.mss, s.ct, s.pa, s.ps)
+
+# -- result order ----------------------------------------------------------------------
+from .ordering import ORDER, ordered  # noqa: E402
+
+for _key in [*ORDER, "budget_alerts"]:
+    JOBS[_key] = (lambda k, job: lambda s: ordered(k, job(s)))(_key, JOBS[_key])

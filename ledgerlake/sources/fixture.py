@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Config
 from .raw_files import RAW_SCHEMA
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -101,3 +102,14 @@ def write_raw_files(rows: DataFrame, root: str) -> list[str]:
          .select(*RAW_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path))
         out.append(path)
     return out
+
+
+def adapter_config(**changes) -> Config:
+    """The run parameters that go with the test tables."""
+    values = dict(
+        as_of=_dt.datetime(2025, 10, 22), report_as_of=_dt.date(2001, 9, 1), load_batch_id=BATCHES[-1][0],
+        transform_batch_id="STG_20251020_000000", validation_run_id="VAL_20251022_000000",
+        snapshot_dates=(_dt.date(2025, 10, 20), _dt.date(2025, 10, 21)), snapshot_cutoffs=(_dt.date(2000, 1, 1), None),
+        version=1, version_pair=(1, 2), person="NATION_5", category="Dining", snapshot_date=_dt.date(2025, 10, 21),
+        year=2000, month=6)
+    return Config(**values | changes)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.operators import curated as U
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import staging as G
@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def _stored(spark):
-    return Spend(spark, SF, Config(), TableStore(spark, run_folder(spark)))
+    return Spend(spark, SF, adapter_config(), TableStore(spark, run_folder(spark)))
 
 
 def test_verdicts_and_shares(spark):

@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.operators import curated as U
 from ledgerlake.operators import maintenance as MT
 from ledgerlake.plans.pipeline import Spend
@@ -17,7 +17,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 def test_publish_is_idempotent_and_prune_keeps_latest(spark):
-    cfg = Config()
+    cfg = adapter_config()
     store = TableStore(spark, run_folder(spark))
     complete = Spend(spark, SF_SMALL, cfg, store).complete
     n = complete.count()
@@ -34,7 +34,7 @@ def test_publish_is_idempotent_and_prune_keeps_latest(spark):
 
 
 def test_gate_refuses_bad_snapshots(spark):
-    cfg, store = Config(), TableStore(spark, run_folder(spark))
+    cfg, store = adapter_config(), TableStore(spark, run_folder(spark))
     complete = Spend(spark, SF_SMALL, cfg, store).complete
     for bad in (complete.limit(0), complete.withColumn("amount_cleaned", F.lit(-1).cast("decimal(12,2)")),
                 complete.withColumn("amount_cleaned", F.lit(None).cast("decimal(12,2)"))):
@@ -46,9 +46,9 @@ def test_gate_refuses_bad_snapshots(spark):
 def test_marts_last_by_source_version(spark):
     """Two runs on one store: versions go on, marts of both versions stay, reads take the newest."""
     root = run_folder(spark)
-    a = Spend(spark, SF_SMALL, Config(), TableStore(spark, root))
+    a = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, root))
     rows = a.mss.count()
-    later = Config(snapshot_dates=(dt.date(2025, 10, 22), dt.date(2025, 10, 23)))
+    later = adapter_config(snapshot_dates=(dt.date(2025, 10, 22), dt.date(2025, 10, 23)))
     b = Spend(spark, SF_SMALL, later, TableStore(spark, root))
     assert b.mss.count() == rows
     assert [int(v) for v in b.store.partition_values(MT.CURATED, "snapshot_version")] == [1, 2, 3, 4]
@@ -59,12 +59,12 @@ def test_marts_last_by_source_version(spark):
 
 def test_delete_batch_and_csv_export(spark):
     store = TableStore(spark, run_folder(spark))
-    s = Spend(spark, SF_SMALL, Config(), store)
+    s = Spend(spark, SF_SMALL, adapter_config(), store)
     src = s.src
     assert src.count() > 0
-    deleted = MT.delete_load_batch(store, "src_daily_spending", Config().load_batch_id)
+    deleted = MT.delete_load_batch(store, "src_daily_spending", adapter_config().load_batch_id)
     assert len(deleted) == 1 and not os.path.exists(deleted[0].replace("file:", ""))
-    s2 = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
+    s2 = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
     out = f"{s2.store.root}/export_csv"
     U.export_csv(s2.latest, out)
     back = spark.read.option("header", True).csv(out)
@@ -83,7 +83,7 @@ def test_shuffle_partitions_do_not_change_results(spark):
     rows = {}
     for n in (3, 11):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        s = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
+        s = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
         rows[n] = [sorted(tuple(str(v) for v in r) for r in df.collect())
                    for df in (s.ct, s.pa, I.health_scorecard(s.pa))]
     spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.operators import insights as I
 from ledgerlake.operators import marts as M
 from ledgerlake.operators import snapshots as S
@@ -25,7 +25,7 @@ def _latest(spark, rows):
 def test_mom_and_rolling(spark):
     rows = [(dt.date(2024, 1, 10), "100.00", "Essential", "A"), (dt.date(2024, 2, 10), "110.00", "Essential", "A"),
             (dt.date(2024, 4, 10), "50.00", "Essential", "A")]
-    ct = {(r.month): r for r in M.category_trends(_latest(spark, rows), Config()).collect()}
+    ct = {(r.month): r for r in M.category_trends(_latest(spark, rows), adapter_config()).collect()}
     assert ct[2].mom_percent_change == Decimal("10.00") and ct[2].mom_trend_direction == "INCREASING"
     assert ct[4].prev_month_spending is None and ct[4].mom_trend_direction == "NO_DATA"
     assert ct[4].rolling_3month_avg == Decimal("80.00")
@@ -34,7 +34,7 @@ def test_mom_and_rolling(spark):
 def test_buckets(spark):
     rows = [(dt.date(2024, 1, d), a, "Essential", "A") for d, a in [(1, "9.99"), (2, "10.00"), (3, "100.00"),
                                                                     (4, "500.00")]]
-    r = M.person_analytics(_latest(spark, rows), Config()).collect()[0]
+    r = M.person_analytics(_latest(spark, rows), adapter_config()).collect()[0]
     assert (r.small_transactions_count, r.medium_transactions_count, r.large_transactions_count,
             r.xlarge_transactions_count) == (1, 1, 1, 1)
     assert r.median_transaction_amount == Decimal("55.00")

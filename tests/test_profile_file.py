@@ -5,7 +5,7 @@ import os
 
 import pyarrow.parquet as pq
 
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.plans.pipeline import Spend
 from ledgerlake.plans.registry import JOBS
 from ledgerlake.sources.raw_files import RAW_SCHEMA
@@ -15,7 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 def test_profile_file_matches_footers(spark):
-    s = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
+    s = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
     files = glob.glob(s.raw_paths[-1].replace("file:", "") + "/*.parquet")
     got = JOBS["profile_file"](s).collect()
     assert {r.total_rows for r in got} == {sum(pq.ParquetFile(f).metadata.num_rows for f in files)}

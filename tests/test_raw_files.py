@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import checks as K
 from ledgerlake.operators import ingest as N
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.sources.raw_files import MARKS, RAW_SCHEMA, SOURCE, load_batch
 from ledgerlake.sources.tables import TableStore, run_folder
 
@@ -42,7 +42,7 @@ def test_ids_over_folders_batches_and_reloads(spark):
 def test_a_short_load_is_logged_as_failed(spark):
     offered = spark.createDataFrame([("A", 10), ("B", 5)], "load_batch_id string, file_rows long")
     src = spark.createDataFrame([("A",)] * 10 + [("B",)] * 3, "load_batch_id string")
-    log = {r.validation_run_id: r for r in K.load_event_log(N.ingest_reconcile(offered, src), Config()).collect()}
+    log = {r.validation_run_id: r for r in K.load_event_log(N.ingest_reconcile(offered, src), adapter_config()).collect()}
     assert log["A"].check_status == "PASSED" and log["A"].records_failed is None
     assert (log["B"].check_name, log["B"].check_status, log["B"].records_failed) == ("DATA_LOAD_FAILURE", "FAILED", 2)
     assert log["B"].error_message == "Loaded 3 of 5 rows"

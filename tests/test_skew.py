@@ -7,7 +7,7 @@ a skewed variant of the adapter rows and checks the mart invariants.
 
 from pyspark.sql import functions as F
 
-from ledgerlake.config import Config
+from ledgerlake.sources.fixture import adapter_config
 from ledgerlake.operators import quality as Q
 from ledgerlake.plans.pipeline import Spend
 from ledgerlake.sources import fixture
@@ -17,7 +17,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 def test_hot_person_reconciles(spark):
-    s = Spend(spark, SF_SMALL, Config(), TableStore(spark, run_folder(spark)))
+    s = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
     raw = fixture.raw_spending(fixture.load_tables(spark, SF_SMALL))
     hot = raw.withColumn("person_name", F.when(F.col("key") % 3 == 1, F.lit("HOT")).otherwise(F.col("person_name")))
     s.__dict__["raw"] = hot                      # the rest of the chain derives from these rows

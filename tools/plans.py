@@ -5,7 +5,7 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-from ledgerlake.config import Config  # noqa: E402
+from ledgerlake.sources.fixture import adapter_config  # noqa: E402
 from ledgerlake.operators import checks as K  # noqa: E402
 from ledgerlake.operators import insights as I  # noqa: E402
 from ledgerlake.operators import marts as M  # noqa: E402
@@ -16,7 +16,7 @@ from ledgerlake.sources.tables import TableStore, run_folder  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 spark = local_session()
-s = Spend(spark, sf, Config(), TableStore(spark, run_folder(spark)))
+s = Spend(spark, sf, adapter_config(), TableStore(spark, run_folder(spark)))
 s.fact, s.curated, s.mss, s.ct, s.pa, s.ps
 stages = [
     ("Staging projection (over the stored source)", G.stg_transform(s.src, s.cfg)),
