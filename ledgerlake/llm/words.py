@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-SLICE_BYTES = 3_000_000  # texts are handled this many bytes at a time; one longer text is handled alone
+SLICE_BYTES = 500_000  # texts are handled this many bytes at a time; one longer text is handled alone
 
 
 def _randoms(seed: int, *shape: int) -> np.ndarray:
