@@ -5,7 +5,8 @@ language, source or id) are standardised and mapped by random Fourier features
 that approximate a Gaussian kernel. Each task sums its part of the normal
 equations over every labelled training row; the summed equations give ridge
 weights. Raw scores of a calibration part (training rows whose crc32 remainder is
-4) are summed over a fixed grid and made monotone by isotonic regression.
+4) are summed over a fixed grid and made monotone by isotonic regression; if one of
+the two parts lacks a class, both steps use all training rows.
 
 Defined results: null and empty texts have all-zero statistics and are scored as
 any other. Labels other than 0 and 1 and null ids are no training rows; a label
@@ -139,8 +140,8 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
     var = np.array([sums[f"q{i}"] / sums.n for i in range(N_STATS)]) - mean ** 2
     scale = np.round(np.sqrt(np.maximum(var, 0)), 9)
     scale[scale < 1e-6] = 1.0
-    n_cal = train.filter("fold = 4").count()
-    use_cal = 0 < n_cal < sums.n
+    part = train.filter("fold = 4").agg(F.count("*").alias("n"), F.sum("y").alias("y")).first()
+    use_cal = 0 < part.n < sums.n and 0 < part.y < part.n and 0 < sums.y - part.y < sums.n - part.n
     fit_rows = train.filter("fold <> 4") if use_cal else train
     width = FEATURES + N_STATS + 1
 
