@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import decontaminate, mixing, ngram_join, pii, quality_classifier
-from ledgerlake.llm.scratch import stored
+from ledgerlake.llm.scratch import packed, stored, unpacked
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_classifier.classify(docs, labels).filter("predicted = 1").select(*docs.columns)
+    kept = quality_classifier.classify(packed(docs, "doc_id", "text"), labels).filter("predicted = 1")
+    return unpacked(kept, docs.columns, "doc_id", "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +33,12 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; n_chars follows the text where it changed."""
-    found = pii.find_personal_data(docs)
+    kept = ("text", "n_chars")
+    found = pii.find_personal_data(packed(docs, *kept)).withColumn("changed", F.size("spans") > 0)
+    out = pii.mask(found)
     if "n_chars" in docs.columns:
-        changed = found.withColumn("_changed", F.size("spans") > 0)
-        found = pii.mask(changed).withColumn("n_chars", F.when(F.col("_changed"), F.length("text").cast("long"))
-                                             .otherwise(F.col("n_chars")))
-    else:
-        found = pii.mask(found)
-    return found.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col("changed"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return unpacked(out, docs.columns, *kept)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

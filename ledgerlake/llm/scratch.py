@@ -21,6 +21,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *kept: str) -> DataFrame:
+    """``kept`` columns, and all others in one struct column, where their names cannot
+    clash with those that an operator adds."""
+    others = [F.col(c) for c in df.columns if c not in kept]
+    return df.select(*[c for c in kept if c in df.columns], F.struct(F.lit(0).alias("_"), *others).alias("_others"))
+
+
+def unpacked(df: DataFrame, columns: list[str], *kept: str) -> DataFrame:
+    """The columns of a packed table again, in the given order."""
+    return df.select(*[F.col(c) if c in kept else F.col("_others")[c].alias(c) for c in columns])
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count proves that it has at most ``rows``
     rows; else unchanged, so that Spark joins it by a shuffle."""
