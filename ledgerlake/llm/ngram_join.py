@@ -98,7 +98,7 @@ def _column_hashes(batch: pa.RecordBatch):
 def document_columns(docs: DataFrame, repeats: Repeats, percent: int = PERCENT) -> DataFrame:
     """Per row of docs (id, tag, text): id, tag, n, sig; and for the first of a class in a
     batch that can link at all: its prefix columns, their positions and its whole set."""
-    known = docs.sparkSession.sparkContext.broadcast(repeats)
+    shared = repeats.shared(docs.sparkSession)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.LongType()),
                            T.StructField("n", T.LongType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("cols", T.ArrayType(T.LongType())),
@@ -107,12 +107,13 @@ def document_columns(docs: DataFrame, repeats: Repeats, percent: int = PERCENT)
                        ("cols", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())), ("members", pa.binary())])
 
     def prefixes(batches):
+        known = shared()
         for batch in batches:
             seen = set()
             for lo, piece in slices(batch.column("text")):
                 sets, first = shingle_sets(piece)
                 sigs = set_hashes(sets, first)
-                maybe = known.value.maybe(sets)
+                maybe = known.maybe(sets)
                 unique = np.concatenate([[0], np.cumsum(~maybe)])
                 n = np.diff(first)
                 novel = unique[first[1:]] - unique[first[:-1]]
@@ -124,7 +125,7 @@ def document_columns(docs: DataFrame, repeats: Repeats, percent: int = PERCENT)
                     seen.add(sigs[i])
                     own = sets[first[i]:first[i + 1]]
                     rest = own[maybe[first[i]:first[i + 1]]]
-                    order = np.argsort(known.value.frequency(rest), kind="stable")  # ties: by hash
+                    order = np.argsort(known.frequency(rest), kind="stable")  # ties: by hash
                     cols[i] = rest[order[:most[i] - novel[i]]].view(np.int64)
                     at[i] = np.arange(novel[i], most[i], dtype=np.int32)[:len(cols[i])]
                     members[i] = own.astype("<u8").tobytes()

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.scratch import blocks_log2
 
@@ -48,6 +48,12 @@ class Repeats:
     def __init__(self, bits: np.ndarray, frequent: np.ndarray, counts: np.ndarray, log2: int):
         self.bits, self.frequent, self.counts, self.log2 = bits, frequent, counts, log2
 
+    def shared(self, spark: SparkSession) -> Callable[[], Repeats]:
+        """What a task calls to get the answers. Plain arrays are broadcast: a broadcast value
+        is pickled by reference, and executors need not have this package."""
+        sent = spark.sparkContext.broadcast((self.bits, self.frequent, self.counts, self.log2))
+        return lambda: Repeats(*sent.value)
+
     def maybe(self, h: np.ndarray) -> np.ndarray:
         slot = (h >> _U(64 - BITS_LOG2)).astype(np.int64)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1

@@ -84,7 +84,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST))).alias("id"), F.hash("text").alias("t"),
                         "text")
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(find_repeats(texts.select("text"), _anchor_hashes))
+    known = find_repeats(texts.select("text"), _anchor_hashes).shared(spark)
     log2 = blocks_log2(spark)
     doc_log2 = max(4, log2 - 2)
 
@@ -114,7 +114,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         yield from marks(rows[again])
 
     def candidate_windows(batches):
-        held, size = [], 0
+        held, size, repeats = [], 0, known()
         for batch in batches:
             ids, tags = batch.column("id").to_numpy(), batch.column("t").to_numpy()
             for lo, piece in slices(batch.column("text")):
@@ -123,7 +123,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 code, at = _anchors(w, h)
                 hot = np.zeros(len(h) + 1, dtype=np.int32)
                 flags = np.zeros(len(h), dtype=bool)
-                flags[at] = known.value.maybe(code[at])
+                flags[at] = repeats.maybe(code[at])
                 np.cumsum(flags, out=hot[1:])
                 if not hot[-1]:
                     continue

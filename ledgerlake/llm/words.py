@@ -117,7 +117,9 @@ class Words:
         longest = int(lens.max())
         value = table[(pos & 63) * 256 + code]
         if longest > 64:
-            value = value * (_randoms(17, longest // 64 + 1) | _U(1))[pos >> 6]
+            factor = _randoms(17, longest // 64 + 1) | _U(1)
+            factor[0] = 1  # a word's hash does not depend on the words beside it
+            value = value * factor[pos >> 6]
         return mix(np.add.reduceat(value, head) + lens.astype(np.uint64))
 
     def byte_counts(self, chosen: np.ndarray) -> np.ndarray:
