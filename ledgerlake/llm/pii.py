@@ -19,7 +19,9 @@ rule), other columns pass on.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -129,7 +131,9 @@ def further_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
         if kind == "person" and not any(c in text for c in ("Mr", "Ms", "Dr", "name is ")):
             continue
         out += [(m.start(), m.end(), kind) for m in _RE[kind].finditer(text)]
-    return [s for s in out if not any(s[0] < e and b < s[1] for b, e, _ in base)]
+    starts, furthest = [b for b, _, _ in base], list(accumulate((e for _, e, _ in base), max))
+    before = lambda s: bisect_left(starts, s[1])  # noqa: E731  base spans that begin before the end of s
+    return [s for s in out if not before(s) or furthest[before(s) - 1] <= s[0]]
 
 
 def votes(text: str, start: int, end: int, kind: str) -> tuple[int, ...]:

@@ -161,7 +161,7 @@ class PrefixCounter:
         if text.isalpha() and text.isascii():
             return self.word_prefixes(text.lower())
         if not _STEADY.fullmatch(text):
-            return [self.whole(text[:j]) for j in range(1, len(text) + 1)]
+            return self.other_chunk(text)
         out: list[int] = []
         done = 0
         for w in _SPLIT.findall(text.lower()):
@@ -180,6 +180,33 @@ class PrefixCounter:
             done = out[-1]
         return out
 
+    def other_chunk(self, text: str) -> list[int]:
+        """``plain_chunk`` for any characters. A prefix of a text in NFC is in NFC, so the
+        library's split of the whole, cut off, is the split of the prefix; texts that
+        normalising or lower-casing changes are counted prefix by prefix."""
+        low = "".join(c.lower() for c in text)
+        if len(low) == len(text) and unicodedata.is_normalized("NFC", text):
+            words = self.pretokens(text)
+            if sum(map(len, words)) == len(low.encode()):
+                out: list[int] = []
+                done = at = 0
+                for w in words:
+                    if w[0] == "'" and w[1:2].islower() and w.isascii():
+                        out += [done + self.whole(w[:j]) for j in range(1, len(w))] + [done + self.word_prefixes(w)[-1]]
+                        at += len(w)
+                    else:
+                        counts, used = self.word_prefixes(w), 0
+                        while used < len(w):
+                            used += len(low[at].encode())
+                            at += 1
+                            out.append(done + counts[used - 1])
+                    done = out[-1]
+                return out
+        if len(text) <= 64:
+            return [self.whole(text[:j]) for j in range(1, len(text) + 1)]
+        # a long run without blanks that normalising changes: the library counts its prefixes
+        return [len(self.library.encode(text[:j], add_special_tokens=False).ids) for j in range(1, len(text) + 1)]
+
     def _bytes(self, w: str) -> str:
         return w.encode().decode("latin-1").translate(_STAND_INS)
 

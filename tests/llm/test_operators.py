@@ -311,3 +311,20 @@ def test_word_hashes_depend_on_the_word_alone():
     w = Words(pa.array(texts).slice(3, 3))
     assert w.counts.tolist() == [3, 3, 3] and windows(w.hashes(), w.first, 2)[1].sum() == 6
     assert [len(p) for _, p in slices(pa.array(texts), 10)] and sum(len(p) for _, p in slices(pa.array(texts), 10)) == 6
+
+
+def test_token_prefixes_of_any_script():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, counter = Tokenizer.from_file(path), token_counts.PrefixCounter(path)
+    rng = random.Random(5)
+    ranges = [(0x4E00, 0x4E40), (0xE00, 0xE5B), (0xAC00, 0xAC30), (0x1100, 0x1112), (0x300, 0x310), (0x391, 0x3C9), (0x61, 0x7A),
+              (0x900, 0x950), (0x1F600, 0x1F620), (0x2150, 0x2190), (0x20, 0x40), (0xC0, 0x180), (0x1C, 0x20), (0x2000, 0x2030)]
+    texts = ["".join(chr(rng.randint(*rng.choice(ranges))) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    texts += ["it's we'll'r", "<|endoftext|><|endoftex", "a<|startoftext|>b", "e\u0301" * 40, "한국어" * 50]
+    for t in texts:
+        want = [len(library.encode(t[:i], add_special_tokens=False).ids) for i in range(len(t) + 1)]
+        assert counter.prefixes(t).tolist() == want, t
