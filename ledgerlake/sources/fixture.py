@@ -109,7 +109,7 @@ def adapter_config(**changes) -> Config:
     values = dict(
         as_of=_dt.datetime(2025, 10, 22), report_as_of=_dt.date(2001, 9, 1), load_batch_id=BATCHES[-1][0],
         transform_batch_id="STG_20251020_000000", validation_run_id="VAL_20251022_000000",
-        snapshot_dates=(_dt.date(2025, 10, 20), _dt.date(2025, 10, 21)), snapshot_cutoffs=(_dt.date(2000, 1, 1), None),
+        snapshot_dates=(_dt.date(2025, 8, 20), _dt.date(2025, 10, 21)), snapshot_cutoffs=(_dt.date(2000, 1, 1), None),
         version=1, version_pair=(1, 2), person="NATION_5", category="Dining", snapshot_date=_dt.date(2025, 10, 21),
         year=2000, month=6)
     return Config(**values | changes)

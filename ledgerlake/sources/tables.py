@@ -31,6 +31,17 @@ def use_root(spark: SparkSession, folder: str) -> str:
     return shared_root(spark)
 
 
+def file_marks(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, size, modification time) of the files under ``path``, from a listing."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def run_folder(spark: SparkSession) -> str:
     """A fresh folder for one run's tables under the shared root."""
     return f"{shared_root(spark)}/ledgerlake-{uuid.uuid4().hex[:12]}"

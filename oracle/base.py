@@ -253,7 +253,7 @@ def _snap(version, date, where):
 
 
 CURATED = f"""cur0 AS (
-  {_snap(1, '2025-10-20', "WHERE spending_date < DATE '2000-01-01'")}
+  {_snap(1, '2025-08-20', "WHERE spending_date < DATE '2000-01-01'")}
   UNION ALL
   {_snap(2, '2025-10-21', '')}
 ),

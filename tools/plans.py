@@ -3,6 +3,7 @@
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, ".")
 from ledgerlake.sources.fixture import adapter_config  # noqa: E402
@@ -12,16 +13,17 @@ from ledgerlake.operators import marts as M  # noqa: E402
 from ledgerlake.operators import staging as G  # noqa: E402
 from ledgerlake.plans.pipeline import Spend  # noqa: E402
 from ledgerlake.session import local_session  # noqa: E402
-from ledgerlake.sources.tables import TableStore, run_folder  # noqa: E402
+from ledgerlake.sources.tables import TableStore, run_folder, use_root  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 spark = local_session()
+use_root(spark, tempfile.mkdtemp(prefix="ledgerlake-plans-"))
 s = Spend(spark, sf, adapter_config(), TableStore(spark, run_folder(spark)))
 s.fact, s.curated, s.mss, s.ct, s.pa, s.ps
 stages = [
     ("Staging projection (over the stored source)", G.stg_transform(s.src, s.cfg)),
     ("Dimension pairs (all four dimensions, one pass)", G.dimension_pairs(s.stg)),
-    ("Fact build", G.fact_spending(s.stg, s.dims, s.cfg, s.dim_rows)),
+    ("Fact build", G.fact_spending(s.stg, s.dims, s.cfg)),
     ("Monthly summary mart", M.monthly_summary(s.latest, s.cfg)),
     ("Category trends mart", M.category_trends(s.latest, s.cfg)),
     ("Person analytics mart", M.person_analytics(s.latest, s.cfg)),
