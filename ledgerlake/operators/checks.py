@@ -26,6 +26,7 @@ LOG_COLUMNS = ["validation_run_id", "validation_timestamp", "stage", "table_name
 
 SAMPLE_IDS = 10
 
+# FIXED VALUES: check names, types and messages.
 # check name -> (type, failing-row predicate, denominator filter or None, message)
 def _row_checks():
     p, d, c, a = (F.col(x) for x in ("person_name", "spending_date", "category", "amount"))

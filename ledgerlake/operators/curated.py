@@ -390,6 +390,3 @@ def cv_verdict(cur: DataFrame, latest: DataFrame, fact: DataFrame, cfg: Config)
         (~F.bool_or("fails")).alias("validation_passed"),
         F.count("issue").alias("issue_count"),
         F.expr("listagg(issue, '; ') WITHIN GROUP (ORDER BY issue)").alias("issues"))
-
-
-# -- snapshot job reports ---------------------------------------------------------------

@@ -48,7 +48,7 @@ def _audit(cfg: Config):
     return [ts.alias("created_at"), ts.alias("updated_at")]
 
 
-def _ym(df: DataFrame):
+def _ym():
     return [F.col("spending_year").alias("year"), F.col("spending_month").alias("month")]
 
 
@@ -66,7 +66,7 @@ MSS_COLUMNS = [
 
 
 def monthly_summary(latest: DataFrame, cfg: Config) -> DataFrame:
-    base = latest.groupBy(*_ym(latest), "person_name", "category_name", "category_group",
+    base = latest.groupBy(*_ym(), "person_name", "category_name", "category_group",
                           "location_name", "location_type").agg(
         F.sum("amount_cleaned").cast(MONEY).alias("total_spending"),
         F.count(F.lit(1)).alias("transaction_count"),
@@ -107,7 +107,7 @@ CT_COLUMNS = [
 
 
 def category_trends(latest: DataFrame, cfg: Config) -> DataFrame:
-    base = latest.groupBy(*_ym(latest), "category_name", "category_group").agg(
+    base = latest.groupBy(*_ym(), "category_name", "category_group").agg(
         F.sum("amount_cleaned").cast(MONEY).alias("total_spending"),
         F.count(F.lit(1)).alias("transaction_count"),
         F.countDistinct("person_name").alias("unique_persons"),
@@ -182,7 +182,7 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
         return F.sum(F.when(grp == name, amt).otherwise(dec("0.00"))).cast(MONEY)
 
     keys = ["year", "month", "person_name"]
-    base = latest.groupBy(*_ym(latest), "person_name").agg(
+    base = latest.groupBy(*_ym(), "person_name").agg(
         F.sum(amt).cast(MONEY).alias("total_spending"),
         F.count(F.lit(1)).alias("transaction_count"),
         avg_exact("amount_cleaned").alias("avg_transaction_amount"),
@@ -202,7 +202,7 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
         F.max("snapshot_version").alias("snapshot_version_source"),
     )
     # top category per person-month: highest sum, ties to the smaller name
-    per_cat = latest.groupBy(*_ym(latest), "person_name", "category_name").agg(
+    per_cat = latest.groupBy(*_ym(), "person_name", "category_name").agg(
         F.sum(amt).cast(MONEY).alias("cat_total"))
     top = per_cat.groupBy(*keys).agg(
         F.count("category_name").alias("unique_categories_count"),
@@ -211,9 +211,9 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
                      (-F.col("t.neg")).cast(MONEY).alias("top_category_spending"))
 
     # distinct locations and methods: counted on one row per value, not as a set per person
-    seen = [latest.select(*_ym(latest), "person_name", c).distinct().groupBy(*keys).agg(F.count(c).alias(n))
+    seen = [latest.select(*_ym(), "person_name", c).distinct().groupBy(*keys).agg(F.count(c).alias(n))
             for c, n in (("location_name", "unique_locations_count"), ("payment_method_name", "unique_payment_methods_count"))]
-    median = median_by(latest.select(*_ym(latest), "person_name", "amount_cleaned"), keys, "amount_cleaned",
+    median = median_by(latest.select(*_ym(), "person_name", "amount_cleaned"), keys, "amount_cleaned",
                        "median_transaction_amount")
     df = base.join(top, keys, "left")
     for part in (*seen, median):
@@ -267,7 +267,7 @@ PS_COLUMNS = [
 def payment_summary(latest: DataFrame, cfg: Config) -> DataFrame:
     amt = F.col("amount_cleaned")
     keys = ["year", "month", "payment_method_name"]
-    base = latest.groupBy(*_ym(latest), "payment_method_name", "payment_type").agg(
+    base = latest.groupBy(*_ym(), "payment_method_name", "payment_type").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         F.countDistinct("person_name").alias("unique_persons_count"),
         F.sum(amt).cast(MONEY).alias("total_amount"),
@@ -277,7 +277,7 @@ def payment_summary(latest: DataFrame, cfg: Config) -> DataFrame:
         F.max("snapshot_version").alias("snapshot_version_source"),
     )
     # top three categories per method-month, pivoted in one aggregation
-    per_cat = latest.groupBy(*_ym(latest), "payment_method_name", "category_name").agg(
+    per_cat = latest.groupBy(*_ym(), "payment_method_name", "category_name").agg(
         F.sum(amt).cast(MONEY).alias("cat_amount"))
     rk = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("cat_amount"), F.asc("category_name")))
     ranked = per_cat.withColumn("rk", rk).filter(F.col("rk") <= 3)

@@ -59,3 +59,26 @@ def test_score(spark):
     got = [r[0] for r in df.select(X.quality_score(F.col("a"), F.col("d"), F.col("desc"), F.col("p"), F.col("l"),
                                                    F.col("c"))).collect()]
     assert got == [100, 90, 75]
+
+
+def test_every_date_form_and_unicode_blanks(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from ledgerlake.functions import clean as X
+    day, first = dt.date(2024, 5, 14), dt.date(2024, 9, 1)
+    forms = {"14-May-2024": day, "14/5/2024": day, "2024-5-14": day, "14/05/24": day, "14-05-2024": day, "14-5-24": day,
+             "2024/05/14": day, "14-May-24": day, "14 May 2024": day, "1 September 2024": first, "May 14, 2024": day,
+             "September 1, 2024": first, "20240514": day, "2024-05-14 10:00:00": day, "2024-05-14T10:00:00": day,
+             "2024-05-14 10:00": day, "14.05.2024": day, "14 May 24": day, "1-September-2024": first, "May 14 2024": day,
+             "September 1 2024": first, "14.5.24": day, "1-September-24": first, " 14/05/2024　": day,
+             "14/05/69": dt.date(1969, 5, 14), "14/05/68": dt.date(2068, 5, 14), "31/02/2024": None, "soon": None, " ": None}
+    df = spark.createDataFrame(list(forms.items()), "s string, want date")
+    got = {r.s: r.got for r in df.select("s", X.parse_date(F.col("s")).alias("got")).collect()}
+    assert got == forms
+    amounts = {"155.66 ": "155.66", " $1,200.50": "1200.50", "SGD 7": "7.00", "sgd 3.005": "3.01", " ": None}
+    df = spark.createDataFrame(list(amounts.items()), "s string, want string")
+    got = {r.s: r.got for r in df.select("s", X.parse_amount(F.col("s")).alias("got")).collect()}
+    assert got == {k: v and Decimal(v) for k, v in amounts.items()}
