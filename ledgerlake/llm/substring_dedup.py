@@ -7,8 +7,8 @@ Anchors are the hashes of 8 consecutive words at positions whose remainder modul
 13 is in the difference cover {0, 1, 3, 9}: for any two positions some shift below
 13 brings both to cover positions, so two equal windows of 20 words always share an
 anchor at the same shift. Only anchors are counted over the whole corpus (about 0.3
-per word). A repeated anchor is then extended: every 20-word window around it is
-hashed (96 bits), and the first occurrence of each window is found by a shuffle on
+per word). A repeated anchor is then extended: the 20-word windows around it are hashed,
+and those whose hash occurs once (a second bitmap) go. Of the rest (96-bit hashes) the first occurrence of each window is found by a shuffle on
 that hash. Tasks send one occurrence of a window per flush, the earliest; the
 others of the flush are known to be repeats, so a passage that a third of all
 documents share costs one row per flush, never a group of all its copies.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.repeats import by_block, find_repeats
+from ledgerlake.llm.repeats import Repeats, by_block, find_repeats
 from ledgerlake.llm.scratch import blocks_log2
 from ledgerlake.llm.words import Words, covered, slices, windows
 
@@ -57,6 +57,21 @@ def _anchor_hashes(batch: pa.RecordBatch):
         yield code[at]
 
 
+def _extend(w: Words, h: np.ndarray, anchors: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the windows that hold an anchor which may be repeated."""
+    code, at = _anchors(w, h)
+    flags = np.zeros(len(h), dtype=bool)
+    flags[at] = anchors.maybe(code[at])
+    hot = np.zeros(len(h) + 1, dtype=np.int32)
+    np.cumsum(flags, out=hot[1:])
+    if not hot[-1]:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    code, good = windows(h, w.first, WINDOW, seed=20)
+    ends = np.minimum(np.arange(len(h)) + PERIOD, len(h))
+    pick = np.flatnonzero(good & (hot[ends] > hot[:-1]))
+    return pick, code[pick]
+
+
 def _groups(*keys: np.ndarray) -> np.ndarray:
     """Flags of the rows that begin a new group in sorted columns."""
     new = np.ones(len(keys[0]), dtype=bool)
@@ -69,6 +84,16 @@ _WINDOW = np.dtype([("h", "<u8"), ("g", "<u4"), ("id", "<i8"), ("t", "<i4"), ("a
 _MARK = np.dtype([("id", "<i8"), ("t", "<i4"), ("at", "<i4")])
 
 
+def _planes(rows: np.ndarray) -> bytes:
+    """Rows as byte planes, first bytes of all rows first: equal high bytes compress."""
+    return np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), -1).T).tobytes()
+
+
+def _rows(planes: bytes, kind: np.dtype) -> np.ndarray:
+    flat = np.frombuffer(planes, np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(flat.T).reshape(-1).view(kind)
+
+
 def _sorted_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows by window, then place; flags of the first row of each window; flags of repeats)."""
     rows = rows[np.lexsort((rows["at"], rows["id"], rows["g"], rows["h"]))]
@@ -84,7 +109,14 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST))).alias("id"), F.hash("text").alias("t"),
                         "text")
     spark = docs.sparkSession
-    known = find_repeats(texts.select("text"), _anchor_hashes).shared(spark)
+    anchors = find_repeats(texts.select("text"), _anchor_hashes).shared(spark)
+
+    def window_hashes(batch: pa.RecordBatch):
+        for _, piece in slices(batch.column("text")):
+            w = Words(piece)
+            yield _extend(w, w.hashes(), anchors())[1]
+
+    known = find_repeats(texts.select("text"), window_hashes).shared(spark)
     log2 = blocks_log2(spark)
     doc_log2 = max(4, log2 - 2)
 
@@ -93,12 +125,14 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         if not len(rows):
             return
         block = (rows["id"].astype(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(64 - doc_log2)
-        order = np.argsort(block, kind="stable")
-        flat = rows[["id", "t", "at"]].astype(_MARK)[order]
+        order = np.lexsort((rows["at"], rows["t"], rows["id"], block))
+        flat = np.empty(len(rows), dtype=_MARK)
+        for name in _MARK.names:
+            flat[name] = rows[name][order]
         got = list(by_block(block[order].astype(np.int64), doc_log2))
         yield pa.RecordBatch.from_pydict({"kind": pa.array([1] * len(got), pa.int32()),
                                           "block": pa.array([b for b, _ in got], pa.int32()),
-                                          "data": pa.array([flat[s].tobytes() for _, s in got])})
+                                          "data": pa.array([_planes(flat[s]) for _, s in got])})
 
     def send(held: list[np.ndarray]):
         if not held:
@@ -110,32 +144,26 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         if got:
             yield pa.RecordBatch.from_pydict({"kind": pa.array([0] * len(got), pa.int32()),
                                               "block": pa.array([b for b, _ in got], pa.int32()),
-                                              "data": pa.array([first[s].tobytes() for _, s in got])})
+                                              "data": pa.array([_planes(first[s]) for _, s in got])})
         yield from marks(rows[again])
 
     def candidate_windows(batches):
-        held, size, repeats = [], 0, known()
+        held, size = [], 0
+        first_filter, second_filter = anchors(), known()
         for batch in batches:
             ids, tags = batch.column("id").to_numpy(), batch.column("t").to_numpy()
             for lo, piece in slices(batch.column("text")):
                 w = Words(piece)
                 h = w.hashes()
-                code, at = _anchors(w, h)
-                hot = np.zeros(len(h) + 1, dtype=np.int32)
-                flags = np.zeros(len(h), dtype=bool)
-                flags[at] = repeats.maybe(code[at])
-                np.cumsum(flags, out=hot[1:])
-                if not hot[-1]:
-                    continue
-                h1, good = windows(h, w.first, WINDOW, seed=20)
-                ends = np.minimum(np.arange(len(h)) + PERIOD, len(h))
-                pick = np.flatnonzero(good & (hot[ends] > hot[:-1]))
+                pick, h1 = _extend(w, h, first_filter)
+                again = second_filter.maybe(h1)
+                pick, h1 = pick[again], h1[again]
                 if not len(pick):
                     continue
                 h2, _ = windows(h, w.first, WINDOW, seed=21)
                 doc = w.doc[pick]
                 rows = np.empty(len(pick), dtype=_WINDOW)
-                rows["h"], rows["g"] = h1[pick], h2[pick] >> _U(32)
+                rows["h"], rows["g"] = h1, h2[pick] >> _U(32)
                 rows["id"], rows["t"] = ids[lo + doc], tags[lo + doc]
                 rows["at"] = pick - w.first[doc]
                 held.append(rows)
@@ -149,13 +177,13 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         """A window block gives the marks of repeats; a mark block passes on."""
         if table.column("kind")[0].as_py() == 1:
             return table
-        rows = np.concatenate([np.frombuffer(x.as_py(), _WINDOW) for x in table.column("data")])
+        rows = np.concatenate([_rows(x.as_py(), _WINDOW) for x in table.column("data")])
         rows, _, again = _sorted_windows(rows)
         out = list(marks(rows[again]))
         return pa.Table.from_batches(out) if out else table.slice(0, 0)
 
     def per_document(table: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x.as_py(), _MARK) for x in table.column("data")])
+        rows = np.concatenate([_rows(x.as_py(), _MARK) for x in table.column("data")])
         rows = rows[np.lexsort((rows["at"], rows["t"], rows["id"]))]
         head = np.flatnonzero(_groups(rows["id"], rows["t"]))
         ends = np.append(head[1:], len(rows))
