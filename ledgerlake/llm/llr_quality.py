@@ -6,6 +6,12 @@ the raw corpus. A document's score is the mean log ratio of its n-grams (length
 normalised); it is kept if no base rule fails and the score is not below
 ``threshold``. The rule is a fixed comparison: reruns agree.
 
+The table has more buckets than the corpus has n-grams, so a bucket holds one
+n-gram at any corpus size and the smoothing counts mean the same. It is never in
+one place: n-grams go to blocks of buckets, each block counts its own, and the
+sums of ratios per document go back. Ratios are rounded to 1 / ``SCALE``, so that
+sums do not depend on the order of the parts.
+
 Defined results: null or empty texts have no words, score 0, and fail the base
 rule on length. Without trusted documents the ratio is 0 everywhere, so only the
 base rules decide. Null or repeated doc_ids are judged row by row. Columns of
@@ -15,6 +21,7 @@ replace input columns of the same name.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -22,15 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.scratch import small
+from ledgerlake.llm.scratch import blocks_log2, small
 from ledgerlake.llm.words import WHITE, Words, _class, covered, mix, slices, windows
 
-BUCKETS_LOG2 = 16
+BUCKETS_LOG2 = 16  # at least
 THRESHOLD = -0.17
 SHRINK = 4.0  # counts added to both sides of each ratio: rare buckets say little
+SCALE = 4096
 SYMBOLS = _class(set(b"#*$%&|<>"))
-_BLOCKS = 64
+FLUSH = 4_000_000  # n-grams sent at a time
+_DOCS_LOG2 = 14  # documents sent at a time
 _BLANK = " \t\n\r\x0b\f"
+_U = np.uint64
 
 
 def _ngrams(w: Words, log2: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,56 +51,146 @@ def _ngrams(w: Words, log2: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (mix(h ^ np.uint64(1)) >> shift).astype(np.int64), (two[good] >> shift).astype(np.int64), w.doc[good]
 
 
-def ngram_counts(docs: DataFrame, labels: DataFrame, log2: int = BUCKETS_LOG2) -> tuple[np.ndarray, np.ndarray]:
-    """(raw, target) counts per bucket over all documents. Each task sums its own
-    texts; the sums of bucket blocks are added by a shuffle. The result is bounded
-    by the number of buckets."""
+def _with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, trusted, a, b): a and b tell documents apart, equal rows share them."""
     trusted = small(labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
                     .withColumn("_trusted", F.lit(True)))
-    rows = (docs.select("doc_id", "text").join(trusted, "doc_id", "left")
-            .select("text", F.coalesce("_trusted", F.lit(False)).alias("trusted")))
-    size = 1 << log2
+    return (docs.select("doc_id", "text").join(trusted, "doc_id", "left")
+            .select("text", F.coalesce("_trusted", F.lit(False)).alias("trusted"),
+                    F.xxhash64("text").alias("a"), F.xxhash64("doc_id").alias("b")))
+
 
+def ngram_counts(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(raw, target) numbers of unigrams and bigrams over all documents."""
     def count(batches):
-        raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        sums = np.zeros(4, np.int64)
         for batch in batches:
             flags = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for lo, piece in slices(batch.column(0)):
-                w = Words(piece)
-                one, two, two_doc = _ngrams(w, log2)
+                one = Words(piece).counts
+                two = np.maximum(one - 1, 0)
                 mine = flags[lo: lo + len(piece)]
-                raw += np.bincount(one, minlength=size) + np.bincount(two, minlength=size)
-                target += (np.bincount(one[mine[w.doc]], minlength=size)
-                           + np.bincount(two[mine[two_doc]], minlength=size))
-        step = size // _BLOCKS
-        yield pa.RecordBatch.from_pydict({
-            "block": pa.array(range(_BLOCKS), pa.int32()),
-            "raw": pa.array([zlib.compress(raw[i * step:(i + 1) * step].tobytes(), 1) for i in range(_BLOCKS)]),
-            "target": pa.array([zlib.compress(target[i * step:(i + 1) * step].tobytes(), 1) for i in range(_BLOCKS)])})
+                sums += [one.sum(), two.sum(), one[mine].sum(), two[mine].sum()]
+        yield pa.RecordBatch.from_pydict({n: pa.array([int(v)]) for n, v in zip("abcd", sums, strict=True)})
+
+    got = (_with_trust(docs, labels).select("text", "trusted").mapInArrow(count, "a long, b long, c long, d long")
+           .agg(*[F.coalesce(F.sum(n), F.lit(0)) for n in "abcd"]).first())
+    return np.array(got[:2], np.int64), np.array(got[2:], np.int64)
+
+
+def log_ratio(raw: np.ndarray, target: np.ndarray, share: float, shrink: float = SHRINK) -> np.ndarray:
+    """Per bucket, the log of target count over the count that the raw multinomial expects
+    (``share``: target n-grams per raw n-gram)."""
+    return np.log(target + shrink) - np.log(raw * share + shrink)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers from 0 on as compressed byte planes, as many as the largest needs."""
+    flat = np.ascontiguousarray(values, dtype="<u8")
+    width = max(1, (int(flat.max()).bit_length() + 7) // 8) if len(flat) else 1
+    return bytes([width]) + zlib.compress(flat.view(np.uint8).reshape(-1, 8).T[:width].tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+def _sendings(batches, log2: int):
+    """(documents: trusted, a, b, n; buckets; document of each) of up to FLUSH n-grams."""
+    most, held, n_docs, size = 1 << _DOCS_LOG2, [], 0, 0
+    joined = lambda: [np.concatenate(c) for c in zip(*held, strict=True)]
+    for batch in batches:
+        flags = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+        a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+        for lo, piece in slices(batch.column("text")):
+            for at in range(0, len(piece), most):
+                part = piece.slice(at, most)
+                if held and (n_docs + len(part) > most or size > FLUSH):
+                    yield joined()
+                    held, n_docs, size = [], 0, 0
+                w = Words(part)
+                one, two, two_doc = _ngrams(w, log2)
+                rows = slice(lo + at, lo + at + len(part))
+                held.append((flags[rows], a[rows], b[rows], 2 * w.counts - (w.counts > 0),
+                             np.concatenate([one, two]), np.concatenate([w.doc, two_doc]) + n_docs))
+                n_docs, size = n_docs + len(part), size + len(one) + len(two)
+    if held:
+        yield joined()
+
+
+def ngram_sums(docs: DataFrame, labels: DataFrame, share: float, log2: int) -> DataFrame:
+    """(a, b, total, n): per document the sum of its n-grams' log ratios, times SCALE, and
+    their number. Of each sending, every block of buckets gets the documents' n-grams and
+    gives back one sum per document; the home row says which documents these are."""
+    blocks = min(log2, blocks_log2(docs.sparkSession))
+
+    def send(batches):
+        for trusted, a, b, n, bucket, doc in _sendings(batches, log2):
+            order = np.argsort(~trusted, kind="stable")  # trusted documents come first
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            code = np.sort((bucket << _DOCS_LOG2) | rank[doc])
+            at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+            times = np.diff(np.r_[at, len(code)])
+            code = code[at]
+            bucket, text = code >> _DOCS_LOG2, code & ((1 << _DOCS_LOG2) - 1)
+            ends = np.searchsorted(bucket, np.arange((1 << blocks) + 1) << (log2 - blocks))
+            keys = [v[order].view(_U) for v in (a, b)]
+            batch = int.from_bytes(hashlib.blake2b(keys[0].tobytes() + keys[1].tobytes(), digest_size=7).digest(), "big")
+            rows = [(batch & ((1 << blocks) - 1), True, _pack(keys[0]), _pack(keys[1]), _pack(n[order]))]
+            for block in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
+                s = slice(ends[block], ends[block + 1])
+                local = bucket[s] - (block << (log2 - blocks))
+                rows.append((block, False, _pack(np.diff(local, prepend=0)), _pack(text[s]), _pack(times[s])))
+            block, home, x, y, z = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array(block, pa.int32()), "batch": pa.array([batch] * len(rows), pa.int64()),
+                "home": pa.array(home), "docs": pa.array([len(order)] * len(rows), pa.int32()),
+                "trusted": pa.array([int(trusted.sum())] * len(rows), pa.int32()),
+                "x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary()), "z": pa.array(z, pa.binary())})
+
+    def rate(table: pa.Table) -> pa.Table:
+        size = 1 << (log2 - blocks)
+        raw, target, rows = np.zeros(size), np.zeros(size), []
+        out = {n: [] for n in ("batch", "home", "x", "y", "z")}
+        for r in table.to_pylist():
+            if r["home"]:
+                for n, got in out.items():
+                    got.append(r[n])
+                continue
+            local, text, times = np.cumsum(_unpack(r["x"])), _unpack(r["y"]), _unpack(r["z"])
+            np.add.at(raw, local, times)
+            mine = text < r["trusted"]
+            np.add.at(target, local[mine], times[mine])
+            rows.append((r["batch"], r["docs"], local, text, times))
+        ratio = np.rint(log_ratio(raw, target, share) * SCALE)
+        for batch, n_docs, local, text, times in rows:
+            sums = np.bincount(text, ratio[local] * times, minlength=n_docs).astype(np.int64)
+            for n, v in zip(out, (batch, False, _pack((sums << 1) ^ (sums >> 63)), None, None), strict=True):
+                out[n].append(v)
+        return pa.table({"batch": pa.array(out["batch"], pa.int64()), "home": pa.array(out["home"], pa.bool_()),
+                         **{n: pa.array(out[n], pa.binary()) for n in "xyz"}})
 
     def add(table: pa.Table) -> pa.Table:
-        out = {"block": table.column("block")[:1]}
-        for name in ("raw", "target"):
-            out[name] = pa.array([sum(np.frombuffer(zlib.decompress(x.as_py()), np.int64)
-                                      for x in table.column(name)).tobytes()])
-        return pa.table(out)
-
-    schema = "block int, raw binary, target binary"
-    got = rows.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
-    raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    step = size // _BLOCKS
-    for r in got:
-        raw[r.block * step:(r.block + 1) * step] = np.frombuffer(r.raw, np.int64)
-        target[r.block * step:(r.block + 1) * step] = np.frombuffer(r.target, np.int64)
-    return raw, target
-
-
-def log_ratio(raw: np.ndarray, target: np.ndarray, shrink: float = SHRINK) -> np.ndarray:
-    """Per bucket, the log of target count over the count that the raw multinomial expects."""
-    if not target.sum():
-        return np.zeros(len(raw), np.float32)
-    expected = raw * (target.sum() / raw.sum())
-    return (np.log(target + shrink) - np.log(expected + shrink)).astype(np.float32)
+        """Equal batches share a number: their sums and n-grams add up alike."""
+        homes, total = [], 0
+        for home, x, y, z in zip(*[table.column(n).to_pylist() for n in ("home", "x", "y", "z")], strict=True):
+            got = _unpack(x)
+            if home:
+                homes.append((got, _unpack(y), _unpack(z)))
+            else:
+                total = total + ((got >> 1) ^ -(got & 1))
+        n = sum(h[2] for h in homes)
+        return pa.table({"a": homes[0][0], "b": homes[0][1], "total": np.zeros(len(n), np.int64) + total, "n": n})
+
+    parts = _with_trust(docs, labels).mapInArrow(
+        send, "block int, batch long, home boolean, docs int, trusted int, x binary, y binary, z binary")
+    return (parts.groupBy("block").applyInArrow(rate, "batch long, home boolean, x binary, y binary, z binary")
+            .groupBy("batch").applyInArrow(add, "a long, b long, total long, n long")
+            .groupBy("a", "b").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
 
 
 def repeated_words(w: Words, size: int = 5) -> np.ndarray:
@@ -130,36 +230,36 @@ def duplicate_lines(texts: list) -> list[int]:
     return out
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-                  log2: int = BUCKETS_LOG2) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     llr (double), base_failed and kept."""
-    ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(*ngram_counts(docs, labels, log2)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ", llr: double>")
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ">")
     def judge(text: pa.Array) -> pa.Array:
-        out = {n: [] for n in [*names, "llr"]}
+        out = {n: [] for n in names}
         for _, piece in slices(text):
             w = Words(piece)
             heads = np.zeros(len(w.raw) + 1, dtype=np.int64)  # code points that lie in words
             np.cumsum(w.inside & ((w.raw & 0xC0) != 0x80), out=heads[1:])
-            one, two, two_doc = _ngrams(w, log2)
-            total = (np.bincount(w.doc, ratio.value[one], minlength=w.n_docs)
-                     + np.bincount(two_doc, ratio.value[two], minlength=w.n_docs))
-            n = w.counts + np.bincount(two_doc, minlength=w.n_docs)
             out["n_words"].append(w.counts)
             out["word_chars"].append(np.diff(heads[w.bounds]))
             out["n_symbols"].append(w.byte_counts(SYMBOLS))
             out["n_dup_lines"].append(np.array(duplicate_lines(piece.to_pylist()), dtype=np.int64))
             out["n_repeat_words"].append(per_text(w, repeated_words(w)))
-            out["llr"].append(np.round(total / np.maximum(n, 1), 9))
-        arrays = [pa.array(np.concatenate(v) if v else [], pa.float64() if k == "llr" else pa.int64())
-                  for k, v in out.items()]
+        arrays = [pa.array(np.concatenate(v) if v else [], pa.int64()) for v in out.values()]
         return pa.StructArray.from_arrays(arrays, names=list(out))
 
+    raw, target = (int(v.sum()) for v in ngram_counts(docs, labels))
     j = docs.withColumn("_judged", judge(F.col("text")))
-    cols = {n: F.col(f"_judged.{n}") for n in [*names, "llr"]}
+    llr = F.lit(0.0)
+    if target:
+        log2 = max(BUCKETS_LOG2, raw.bit_length())
+        sums = ngram_sums(docs, labels, target / raw, log2).select(
+            F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("total").alias("_total"), F.col("n").alias("_n"))
+        j = (j.withColumns({"_a": F.xxhash64("text"), "_b": F.xxhash64("doc_id")}).join(sums, ["_a", "_b"], "left"))
+        llr = F.coalesce(F.round(F.col("_total") / F.nullif(SCALE * F.col("_n"), F.lit(0)), 9), llr)
+    cols = {n: F.col(f"_judged.{n}") for n in names} | {"llr": llr}
     failed = (cols["n_words"] < 10) | (100 * cols["n_repeat_words"] > 20 * cols["n_words"])
     return (j.withColumns(cols | {"base_failed": failed, "kept": ~failed & (cols["llr"] >= threshold)})
-            .drop("_judged"))
+            .drop("_judged", "_a", "_b", "_total", "_n"))

@@ -1,7 +1,7 @@
 """Operators against plain Python on the test tables and on awkward rows."""
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import plain
@@ -100,6 +100,34 @@ def test_llr_separates_labels(spark, table):
     assert rate[1] > 0.98 and rate[0] < 0.1
 
 
+def test_llr_separates_labels_in_a_larger_corpus(spark):
+    path = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    got = llr_quality.score_quality(spark.read.parquet(f"{path}/documents.parquet"), labels)
+    both = got.join(labels, "doc_id").filter("n_words >= 10")
+    share = F.avg((F.col("llr") >= llr_quality.THRESHOLD).cast("int"))
+    rate = {r.quality: r.share for r in both.groupBy("quality").agg(share.alias("share")).collect()}
+    assert rate[1] > 0.98 and rate[0] < 0.02
+
+
+def test_llr_of_exact_ngrams(table, awkward):
+    """Against counts of the n-grams themselves, no hashes; repeated and null doc_ids too."""
+    labels = table("labels")
+    good = {i for i, q in _rows(labels, "doc_id", "quality") if q == 1}
+    for docs in (table("documents"), awkward):
+        rows = [(i, t, (w := plain.words(t)) + list(zip(w, w[1:], strict=False))) for i, t in _rows(docs, "doc_id", "text")]
+        raw = Counter(g for _, _, gs in rows for g in gs)
+        target = Counter(g for i, _, gs in rows if i in good for g in gs)
+        share = target.total() / raw.total()
+        s = llr_quality.SHRINK
+        mean = lambda gs: sum(math.log((target[g] + s) / (raw[g] * share + s)) for g in gs) / max(len(gs), 1)
+        want = sorted((str(i), str(t), mean(gs)) for i, t, gs in rows)
+        got = sorted((str(i), str(t), v) for i, t, v in _rows(llr_quality.score_quality(docs, labels), "doc_id", "text", "llr"))
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        off = [abs(a[2] - b[2]) for a, b in zip(got, want, strict=True)]
+        assert sorted(off)[len(off) // 2] < 0.01 and max(off) < 0.2  # a few n-grams share a bucket
+
+
 def test_substring_dedup(docs):
     want = plain.remove_repeats(set(_rows(docs, "doc_id", "text")))
     got = substring_dedup.remove_repeats(docs).withColumn("sha", F.sha2("kept_text", 256))
