@@ -6,7 +6,8 @@ their pages. Over the host graph (links between different hosts, counted) trust
 spreads along links as a personalised PageRank from the trusted seeds, and distrust
 against them from the blocked seeds: who links to blocked hosts is distrusted. A page
 that no rule fits is blocked if its host's distrust is ``ratio`` times its trust or
-more (and not zero).
+more (and not zero). Scores are rounded to 12 significant digits, so that the order of
+sums does not show and no score is too small to count, however many pages there are.
 
 Edges are summed per host pair before any join and scores per host, so a host with a
 third of all pages is one row of either. Defined results: a null URL or one without
@@ -58,6 +59,11 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .filter("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
+def _digits(v: Column) -> Column:
+    """``v`` rounded to 12 significant digits."""
+    return F.format_string("%.11e", v).cast("double")
+
+
 def host_scores(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) after ``rounds`` rounds. seeds: host, good, bad (pages);
     both seed vectors are normalised to sum 1."""
@@ -81,7 +87,7 @@ def host_scores(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, dampin
         back = (weighted.join(state, F.col("dst") == F.col("host"))
                 .select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("w_in")).alias("d")))
         sums = ahead.union(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        mix = lambda seed, got: F.round((1 - damping) * F.col(seed) + damping * F.coalesce(got, F.lit(0.0)), 12)
+        mix = lambda seed, got: _digits((1 - damping) * F.col(seed) + damping * F.coalesce(got, F.lit(0.0)))
         state = hosts.join(sums, "host", "left").select("host", mix("t0", "t").alias("trust"), mix("d0", "d").alias("distrust"))
         if k % 4 == 3 or k + 1 == rounds:  # cut the lineage before it grows long
             state = stored(state, f"scores-{k}")

@@ -207,6 +207,16 @@ def test_trust_spreads_over_links(spark):
     assert got["fan.net"].verdict == "block" and got["mid.net"].verdict == "allow"
 
 
+def test_distrust_of_a_large_hub_is_not_lost(spark):
+    """One link among 300,001 to a hub with one of 1,000,001 blocked pages: distrust 4e-13, as above 0 as in a small graph."""
+    for blocked, links in ((10, 3), (1_000_000, 300_000)):
+        seeds = spark.createDataFrame([("example.org", 0, blocked), ("hub.com", 0, 1)], "host string, good long, bad long")
+        edges = spark.createDataFrame([("crowd.net", "hub.com", links), ("lone.net", "hub.com", 1)], "src string, dst string, n long")
+        got = {r.host: r for r in url_trust.host_scores(seeds, edges).collect()}
+        want = 0.85 * 0.15 / (blocked + 1) / (links + 1)
+        assert got["lone.net"].trust == 0 and got["lone.net"].distrust == pytest.approx(want, rel=1e-9, abs=0)
+
+
 def test_decontaminate(docs, table, spark):
     items = _rows(table("benchmark"), "item_id", "text") + [(900, "short item"), (901, None), (902, ""), (None, "one TWO three"),
                                                             (904, "passage")]
