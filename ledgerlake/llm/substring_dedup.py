@@ -95,12 +95,14 @@ def _rows(planes: bytes, kind: np.dtype) -> np.ndarray:
 
 
 def _sorted_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows by window, then place; flags of the first row of each window; flags of repeats)."""
-    rows = rows[np.lexsort((rows["at"], rows["id"], rows["g"], rows["h"]))]
+    """(rows by window, then place; flags of the first place of each window, one row per text; flags of repeats)."""
+    rows = rows[np.lexsort((rows["t"], rows["at"], rows["id"], rows["g"], rows["h"]))]
     new = _groups(rows["h"], rows["g"])
     head = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
     again = (rows["id"] != rows["id"][head]) | (rows["at"] != rows["at"][head])
-    return rows, new, again
+    first = ~again
+    first[1:] &= new[1:] | (rows["t"][1:] != rows["t"][:-1])
+    return rows, first, again
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -137,9 +139,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     def send(held: list[np.ndarray]):
         if not held:
             return
-        rows, new, again = _sorted_windows(np.concatenate(held))
-        block = (rows["h"][new] >> _U(64 - log2)).astype(np.int64)
-        first = rows[new]
+        rows, first, again = _sorted_windows(np.concatenate(held))
+        first = rows[first]  # texts that share a doc_id share its places
+        block = (first["h"] >> _U(64 - log2)).astype(np.int64)
         got = list(by_block(block, log2))
         if got:
             yield pa.RecordBatch.from_pydict({"kind": pa.array([0] * len(got), pa.int32()),

@@ -135,6 +135,17 @@ def test_substring_dedup(docs):
           [(i, *want[i, t]) for i, t in _rows(docs, "doc_id", "text")])
 
 
+def test_substring_dedup_of_texts_that_share_a_place(spark):
+    """Texts of one doc_id, and of no doc_id, begin alike; an earlier document in another task does too."""
+    header = " ".join(f"h{k}" for k in range(30))
+    late = [(i, f"{header} " + " ".join(f"{i}x{j}y{k}" for k in range(25))) for i in (None, 7) for j in range(4)]
+    early = [(1, f"{header} z"), *[(k, "short") for k in range(10, 17)]]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(late + early, 2), "doc_id long, text string")
+    want = plain.remove_repeats(late + early)
+    got = substring_dedup.remove_repeats(docs).withColumn("sha", F.sha2("kept_text", 256))
+    _same(_rows(got, "doc_id", "n_words", "n_removed", "sha"), [(i, *want[i, t]) for i, t in late + early])
+
+
 def test_cover_meets_every_shift():
     cover, v = set(substring_dedup.COVER), substring_dedup.PERIOD
     for a in range(v):
