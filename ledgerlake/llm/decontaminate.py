@@ -12,7 +12,8 @@ Words are runs of ASCII letters and digits and of all characters beyond ASCII, w
 A-Z lower-cased. Defined results: null and empty texts have no words and no hits;
 items without words have no window; a null item_id is listed as an empty string.
 Rows are judged one by one: rows that share a doc_id and a text share one result.
-The benchmark's windows are broadcast only if a count proves them few.
+The benchmark's windows are broadcast only if a count proves them few; else corpus
+words are shuffled with the words that a window around them can reach, not the text.
 """
 
 from __future__ import annotations
@@ -59,14 +60,21 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Data
     """(id columns of docs, start, n, items) for every occurrence of a window; docs has
     doc_id, tag (a hash of the text) and text."""
     windows = stored(item_windows(benchmark, size), "windows")
-    tokens = small(stored(prefix_tokens(windows, docs), "prefix-tokens"))
+    tokens = stored(prefix_tokens(windows, docs), "prefix-tokens")
+    few = small(tokens)
     spread = docs.select("doc_id", "tag", words(F.col("text")).alias("w")).select("doc_id", "tag", "w", F.explode(
         F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1))).alias("pos"))
-    met = spread.withColumn("token", F.xxhash64(F.get("w", F.col("pos")))).join(tokens, "token")
+    spread = spread.withColumn("token", F.xxhash64(F.get("w", F.col("pos")))).withColumn("first", F.lit(0))
+    if few is tokens:  # they are shuffled
+        first = F.greatest(F.col("pos") - (size - 1), F.lit(0))
+        near = F.slice("w", first + 1, F.lit(2 * size - 1))
+        spread = spread.select("doc_id", "tag", near.alias("w"), "pos", "token", first.alias("first"))
+    met = spread.join(few, "token")
     start = F.col("pos") - F.col("offset")
     n = F.size("window")
-    fits = (start >= 0) & (start + n <= F.size("w"))
-    return (met.filter(fits & (F.slice("w", start + 1, n) == F.col("window")))
+    at = start - F.col("first")  # in the words at hand, which begin at the text's word ``first``
+    fits = (at >= 0) & (at + n <= F.size("w"))
+    return (met.filter(fits & (F.slice("w", at + 1, n) == F.col("window")))
             .select("doc_id", "tag", start.alias("start"), n.alias("n"), "items"))
 
 

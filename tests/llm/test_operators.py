@@ -242,6 +242,25 @@ def test_decontaminate(docs, table, spark):
     assert clean.count() == got.filter("NOT contaminated").count()
 
 
+def test_decontaminate_by_a_shuffle(table, spark, monkeypatch):
+    """Too many windows to broadcast: same results, and words are shuffled without the whole text."""
+    monkeypatch.setattr(decontaminate, "small", lambda df: df)
+    items = _rows(table("benchmark"), "item_id", "text")
+    rows = _rows(table("documents"), "doc_id", "text")
+    rows += [(-k, " ".join(["x y"] * k + [t or ""] + ["z"] * (k % 3))) for k, (_, t) in enumerate(items[:12])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.decontaminate(docs, table("benchmark"))
+    _same([(i, n, h, tuple(x)) for i, n, h, x in _rows(got, "doc_id", "n_words", "n_hit", "items")],
+          [(i, n, h, tuple(x)) for i, n, h, x in plain.contamination(rows, items)])
+    assert got.filter("contaminated").count() > 12
+    tagged = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    hits = decontaminate.window_hits(tagged, table("benchmark"))
+    join = hits._jdf.queryExecution().optimizedPlan()
+    while join.nodeName() != "Join":
+        join = join.children().apply(0)
+    assert "slice(" in join.left().toString()
+
+
 def test_token_counts_equal_the_library(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
