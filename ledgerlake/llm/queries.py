@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, llr_quality, mixing, ngram_join, pii, quality_classifier, secret_scan, substring_dedup,
-                            token_counts, url_trust)
+from ledgerlake.llm import (collocations, conversation_repair, decontaminate, llr_quality, mixing, ngram_join, pii, quality_classifier,
+                            secret_scan, substring_dedup, token_counts, token_files, url_trust)
 from ledgerlake.llm.scratch import stored
+from ledgerlake.sources.tables import run_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,9 +96,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_listing("spans", pii.BASE), 256).alias("base_sha256"), _listing("spans").alias("spans"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audits(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """``vocabulary``: path of the vocabulary file; the public word_bpe_49k.json if none is given."""
+    if vocabulary is None:
+        import public_tokenizers
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    path = f"{run_folder(spark)}/token-files"
+    token_files.write_ids(_table(spark, sf_dir, "documents"), vocabulary, path)
+    return token_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_llr_quality, op3_substring_dedup, op4_ngram_join, op5_url_trust, op6_decontaminate,
-    op7_token_counts, op8_secret_scan, op9_quality_classifier, op10_pii)}
+    op7_token_counts, op8_secret_scan, op9_quality_classifier, op10_pii, op11_conversation_repair, op12_token_files,
+    op13_collocations)}
 _BLANK = r"[^\x20\x09-\x0D]+"
 
 def _span_sql() -> str:
@@ -167,6 +187,52 @@ def _trust_sql() -> str:
         FROM ruled LEFT JOIN {last} USING (host)"""
 
 
+def _repair_sql() -> str:
+    """Cheapest and least edits by going forward through the rows with one best path for each state; a
+    path is its cost in six digits and its edits, so that text order is the order wanted."""
+    add = lambda s, cost, edit: f"lpad((left({s}, 6)::INTEGER + ({cost}))::VARCHAR, 6, '0') || substr({s}, 7) || '{edit}'"
+    ends = f"least(s0, s3, {add('s2', 3, 'I')}, {add('s1', 6, 'II')})"
+    blank, last = r"'[^\x20\x09-\x0D]'", r"'([^\x20\x09-\x0D])[\x20\x09-\x0D]*$'"
+    kept = lambda s, cost, when: f"CASE WHEN fault < 2 AND {when} THEN {add(s, f'{cost} + 3 * fault', 'K' if not cost else 'R')} END"
+    return rf"""
+        WITH RECURSIVE keyed AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS g, conv_id, turn, coalesce(role, ' ') AS role,
+                coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        hashed AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(key, ''),
+                lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 20 AS kind FROM keyed),
+        damaged AS (SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN ''
+                WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+                FROM hashed),
+        marked AS (SELECT *, row_number() OVER w AS i, NOT regexp_matches(text, {blank}) AS blank,
+                row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, left(role, 1) AS ini,
+                lag(left(role, 1)) OVER w AS before, regexp_extract(text, {last}, 1) NOT IN ('.', '!', '?') AS cut
+                FROM damaged WINDOW w AS (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+        judged AS (SELECT *, CASE WHEN blank OR again THEN 2 WHEN cut THEN 1 ELSE 0 END AS fault FROM marked),
+        counts AS (SELECT g, max(i) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+                count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+                coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM judged GROUP BY g),
+        steps AS (SELECT g, 0::BIGINT AS i, '000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM counts
+            UNION ALL
+            SELECT g, i, {add('s0', 4, 'D')}, least({add('s1', 4, 'D')}, {kept('s0', 0, "ini = 's'")}),
+                least({add('t2', 4, 'D')}, {", ".join(kept(s, c, w) for s in ('s0', 's1', 't3') for c, w in ((0, "ini = 'u'"), (3, "ini <> 'u'")))}),
+                least({add('t3', 4, 'D')}, {", ".join(kept('t2', c, w) for c, w in ((0, "ini = 'a'"), (3, "ini <> 'a'")))})
+            FROM (SELECT g, j.i, s0, s1, fault, ini, least(s2, {add('s0', 3, 'I')}, {add('s1', 3, 'I')}, {add('s3', 3, 'I')}) AS t2,
+                  least(s3, {add('s2', 3, 'I')}, {add('s0', 6, 'II')}, {add('s1', 6, 'II')}) AS t3
+                  FROM steps JOIN judged j USING (g) WHERE j.i = steps.i + 1)),
+        ended AS (SELECT g, left(x, 6)::BIGINT AS cost, substr(x, 7) AS audit FROM (SELECT g, {ends} AS x FROM steps JOIN counts USING (g) WHERE i = n)),
+        edits AS (SELECT g, k, edit, sum((edit <> 'I')::INTEGER) OVER (PARTITION BY g ORDER BY k) AS i FROM (
+                  SELECT g, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS k FROM ended WHERE audit <> '')),
+        stay AS (SELECT e.g, k, edit, role, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, edit = 'K' AND ini = 's' AS opens
+                 FROM edits e LEFT JOIN judged j ON j.g = e.g AND j.i = e.i WHERE edit <> 'D'),
+        said AS (SELECT g, k, text, CASE WHEN edit = 'K' THEN role WHEN sum((NOT coalesce(opens, false))::INTEGER) OVER (PARTITION BY g ORDER BY k) % 2 = 1
+                 THEN 'user' ELSE 'assistant' END AS role FROM stay),
+        repaired AS (SELECT g, string_agg(role || ':' || text, chr(10) ORDER BY k) AS body FROM said GROUP BY g)
+        SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+               coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT g, conv_id FROM keyed) LEFT JOIN counts USING (g) LEFT JOIN ended USING (g) LEFT JOIN repaired USING (g)"""
+
+
 # Plain forms of the operators' results, for DuckDB.
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": rf"""
@@ -215,4 +281,23 @@ ORACLE: dict[str, str] = {
         FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op5_url_trust": _trust_sql(),
     "op8_secret_scan": _span_sql(),
+    "op11_conversation_repair": _repair_sql(),
+    "op13_collocations": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+            SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+        total AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+        f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+              FROM pieces, (SELECT unnest(range(1, 6)) AS m) s, unnest(range(1, len(w) - m + 2)) AS r(i) GROUP BY ALL HAVING count(*) >= 100),
+        kept AS (SELECT * FROM f p WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM f q WHERE q.lang = p.lang AND q.m > p.m
+                 AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ') AND 100 * q.f >= 100 * p.f)),
+        cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+                 array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest FROM kept, unnest(range(1, m)) AS r(k)),
+        scored AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n::BIGINT AS n,
+                   ((1000::HUGEINT * a * n::BIGINT) // (x.f::HUGEINT * y.f))::BIGINT AS score
+                   FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = rest
+                   JOIN total t ON t.lang = c.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000""",
 }
