@@ -14,9 +14,10 @@ serialized ids of a bounded sample (``SAMPLE_DOCS`` documents of least hash, ``S
 size, never a result. A reader finds a document by the doc_id range of the blocks (pushed to the Parquet statistics),
 the frame by its offset, and decompresses that frame only.
 
-Encoding: where the vocabulary's own pattern drops white space, a text is cut at ASCII white space and each distinct
-piece goes through the library once per worker, without added special tokens; pieces over ``LONG`` bytes are encoded
-each time, and the cache is emptied at ``CACHE`` pieces. With other vocabularies whole texts are encoded.
+Encoding: where the vocabulary splits texts into words, runs of other characters and dropped white space, after
+lower-casing, a text is cut at ASCII white space and, in a piece of letters and then stops, before the stops. Each
+distinct part goes through the library once per worker, without added special tokens; pieces over ``LONG`` bytes are
+encoded each time, and the cache is emptied at ``CACHE`` pieces. With other vocabularies whole texts are encoded.
 
 Defined results: null and empty texts are the end id alone. Null doc_ids come first; rows of one doc_id go by a hash of
 the text, all of them are kept. An empty table gives empty files. Other columns do not matter.
@@ -26,13 +27,16 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
+import re
 import sys
 import types
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,7 +54,8 @@ SAMPLE_IDS = 4096
 DICTIONARY = 64 * 1024
 LEVEL = 3
 LONG = 64
-CACHE = 1_000_000
+CACHE = 2_000_000
+_WORD = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?]*)")
 
 
 class _Pieces:
@@ -62,37 +67,50 @@ class _Pieces:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = "<u2" if id_width(self.library) == 2 else "<u4"
-        self.cut = drops_blanks(vocabulary)
+        self.cut = cuts_words(vocabulary)
         self.known: dict[bytes, bytes] = {}
 
+    def _learn(self, pieces) -> None:
+        for p, e in zip(pieces, self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, self.kind).tobytes()
+
     def encode(self, text: bytes) -> bytes:
-        pieces = text.split() if self.cut else [text]
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.library.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.kind).tobytes()
+        if not self.cut:
+            return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+        pieces, known = text.split(), self.known
+        try:
+            return b"".join(map(known.get, pieces))
+        except TypeError:  # a piece is new
+            new = {p for p in pieces if p not in known}
+        if len(known) + 2 * len(new) > CACHE:
+            known.clear()
+            new = set(pieces)
+        # letters, then stops: two matches of the pattern; letters alone are the same in lower case
+        parts = {p: (m[1].lower(), m[2]) for p in new if (m := _WORD.fullmatch(p)) and m[1].decode().isalpha()}
+        whole = new.difference(parts.keys())
+        self._learn(list(whole.union(x for pair in parts.values() for x in pair if x not in known)))
+        for p, (word, stops) in parts.items():
+            known[p] = known[word] + known[stops]
         out = b"".join(map(known.__getitem__, pieces))
         for p in new:
             if len(p) > LONG:
-                del known[p]
+                for x in (p, *parts.get(p, ())):
+                    known.pop(x, None)
         return out
 
 
-def drops_blanks(vocabulary: str) -> bool:
-    """Whether the first split of the vocabulary keeps the matches of a pattern that no white space is part of."""
-    import json
-    import regex
+def cuts_words(vocabulary: str) -> bool:
+    """Whether the vocabulary lower-cases texts in composed form and then keeps the matches of one pattern, in
+    which letters, stops and white space never go together."""
     with open(vocabulary, encoding="utf-8") as f:
-        steps = json.load(f).get("pre_tokenizer") or {}
-    first = (steps.get("pretokenizers") or [steps])[0]
+        rules = json.load(f)
+    first, normal = ((rules.get(step) or {}) for step in ("pre_tokenizer", "normalizer"))
+    first = first.get("pretokenizers", [first])[0]
     if first.get("type") != "Split" or first["behavior"] != "Removed" or not first["invert"] or "Regex" not in first["pattern"]:
         return False
-    probe = "a1. 'b\t2\n!c\x0b?\x0cd\r_é 中"
-    return not any(c in " \t\n\x0b\x0c\r" for m in regex.finditer(first["pattern"]["Regex"], probe) for c in m.group())
+    kinds = [n["type"] for n in normal.get("normalizers", [normal]) if n.get("type") != "Replace"]
+    found = regex.findall(first["pattern"]["Regex"], "a.é?\tb; \nc!:\x0bd,\x0ce\rß")
+    return kinds == ["NFC", "Lowercase"] and found == ["a", ".", "é", "?", "b", ";", "c", "!:", "d", ",", "e", "ß"]
 
 
 def id_width(tokenizer) -> int:
@@ -119,8 +137,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int = END_ID) ->
             out = [encode((t.as_py() or "").encode())[:SAMPLE_IDS * 2] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
 
-    order = F.xxhash64("doc_id", F.length("text"))
-    sample = docs.select("doc_id", "text").orderBy(order, "doc_id").limit(SAMPLE_DOCS).select("text").mapInArrow(ids, "ids binary")
+    order = F.xxhash64("doc_id")
+    most = -(1 << 63) + (1 << 64) * 2 * SAMPLE_DOCS // max(2 * SAMPLE_DOCS, docs.count())  # about twice as many pass
+    sample = (docs.select("doc_id", "text").filter(order <= F.lit(min(most, (1 << 63) - 1))).orderBy(order, "doc_id")
+              .limit(SAMPLE_DOCS).select("text").mapInArrow(ids, "ids binary"))
     samples = [bytes(r["ids"]) for r in sample.collect()]  # at most SAMPLE_DOCS * SAMPLE_IDS ids
     size = min(DICTIONARY, sum(map(len, samples)) // 8)
     try:
