@@ -40,7 +40,7 @@ LAST_MONTH_MOD, LAST_MONTH = 29, "2001-08-01"  # such a row is dated in the last
 # Load batches, in loading order: (id, loaded at); rows of the first have keys divisible by 3.
 BATCHES = [("LOAD_20251018_000000", _dt.datetime(2025, 10, 18, 12)), ("LOAD_20251020_000000", _dt.datetime(2025, 10, 20, 12))]
 FIRST_BATCH_MOD = 3
-RAW_NAME, RAW_FILES = "daily_spending.parquet", 4
+RAW_NAME = "daily_spending.parquet"
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=("orders", "customer", "nation")) -> dict:
@@ -92,13 +92,14 @@ def raw_spending(tables: dict) -> DataFrame:
     )
 
 
-def write_raw_files(rows: DataFrame, root: str) -> list[str]:
+def write_raw_files(rows: DataFrame, root: str, batches=tuple(BATCHES)) -> list[str]:
     """The raw input a deployment would receive: a folder of files per load batch, the
-    same name in each, rows in key order. Returns the folders in loading order."""
+    same name in each, rows in key order over as many files as the input has partitions.
+    Returns the folders in loading order."""
     out = []
-    for i, (batch, _) in enumerate(BATCHES):
-        path = f"{root}/raw/{batch}/{RAW_NAME}"
-        (rows.filter(F.col("batch") == i).repartitionByRange(RAW_FILES, "key").sortWithinPartitions("key", "copy")
+    for batch, _ in batches:
+        path, i = f"{root}/raw/{batch}/{RAW_NAME}", [b for b, _ in BATCHES].index(batch)
+        (rows.filter(F.col("batch") == i).repartitionByRange("key").sortWithinPartitions("key", "copy")
          .select(*RAW_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path))
         out.append(path)
     return out

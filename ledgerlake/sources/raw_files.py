@@ -1,7 +1,7 @@
 """Raw spending files -> source table rows (batch form of the loader).
 
 ``src_id`` is unique over all load batches: every batch owns a range of ids, kept as
-one row per batch in a small mark table, and inside the batch a row's id is the batch's
+one entry per batch in a ledger, and inside the batch a row's id is the batch's
 first id plus the rows of earlier files (by full path) plus its position in its own
 file. Loading a batch again gives the same ids. The mark is written before the rows, so
 a load that fails in between only leaves a reserved range behind.
@@ -40,16 +40,27 @@ def with_ids(rows: DataFrame, first_id: int | Column) -> DataFrame:
 
 
 def reserve_ids(store: TableStore, batch_id: str, rows: int) -> int:
-    """First id of the batch's range. A batch that is loaded again keeps its range, unless
-    it has grown past it; any other batch starts after the highest reserved id."""
-    marks = [r.asDict() for r in store.read(MARKS).collect()] if store.exists(MARKS) else []  # one row per batch
-    own = next((m for m in marks if m["load_batch_id"] == batch_id), None)
-    if own and rows <= own["row_count"]:
-        return own["first_id"]
-    first = max((m["first_id"] + m["row_count"] for m in marks), default=1)
-    mark = store.spark.createDataFrame([(first, rows, batch_id)], "first_id long, row_count long, load_batch_id string")
-    store.append_partition(mark, MARKS, ["load_batch_id"])
-    return first
+    """First id of the batch's range. A batch that is loaded again keeps its range, unless it has grown past
+    it; any other batch starts after the highest reserved id. Loaders that start together get ranges of
+    their own: each entry of the ledger is taken once."""
+    marks = store.ledger(MARKS)
+
+    def mark(last):
+        known = marks.entries() if last else []
+        own = next((m for m in reversed(known) if m["load_batch_id"] == batch_id), None)
+        if own and rows <= own["row_count"]:
+            return None
+        first = max((m["first_id"] + m["row_count"] for m in known), default=1)
+        return {"first_id": first, "row_count": rows, "load_batch_id": batch_id}
+
+    marks.append(mark)
+    return id_ranges(store, batch_id)[-1][0]
+
+
+def id_ranges(store: TableStore, batch_id: str) -> list[tuple[int, int]]:
+    """(first id, first id after it) of the ranges that a batch has reserved, the newest last."""
+    return [(m["first_id"], m["first_id"] + m["row_count"]) for m in store.ledger(MARKS).entries()
+            if m["load_batch_id"] == batch_id]
 
 
 def landed(rows: DataFrame, batch_id: str, loaded_at, source_file: str | None = None) -> DataFrame:
