@@ -29,13 +29,6 @@ def avg_exact(c) -> F.Column:
     return round2(F.sum(col).cast("decimal(22,2)") / F.count(col).cast("decimal(20,0)"))
 
 
-def bounded_distinct(c: str) -> F.Column:
-    """Exact COUNT(DISTINCT c) for a column whose distinct values per group are
-    bounded by a dimension's size (or 31 days): a set per group, merged from
-    partial sets, instead of the Expand that several countDistinct need."""
-    return F.size(F.collect_set(c)).cast("bigint")
-
-
 def _period_cols(df: DataFrame) -> DataFrame:
     start = F.make_date(F.col("year"), F.col("month"), F.lit(1))
     return (df.withColumn("quarter", F.quarter(start))
@@ -182,42 +175,51 @@ def person_analytics(latest: DataFrame, cfg: Config) -> DataFrame:
         return F.sum(F.when(grp == name, amt).otherwise(dec("0.00"))).cast(MONEY)
 
     keys = ["year", "month", "person_name"]
-    base = latest.groupBy(*_ym(), "person_name").agg(
-        F.sum(amt).cast(MONEY).alias("total_spending"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        avg_exact("amount_cleaned").alias("avg_transaction_amount"),
-        *[group_sum(g).alias(f"{g.lower()}_spending") for g in GROUPS],
-        F.sum(F.when((grp == "Other") | grp.isNull(), amt).otherwise(dec("0.00"))).cast(MONEY)
-         .alias("other_spending"),
-        F.sum(F.when(F.col("spending_day_of_week").between(1, 5), amt).otherwise(dec("0.00"))).cast(MONEY)
-         .alias("weekday_spending"),
-        F.sum(F.when(F.col("spending_day_of_week").isin(6, 7), amt).otherwise(dec("0.00"))).cast(MONEY)
-         .alias("weekend_spending"),
-        F.count_if(amt < 10).alias("small_transactions_count"),
-        F.count_if((amt >= 10) & (amt < 100)).alias("medium_transactions_count"),
-        F.count_if((amt >= 100) & (amt < 500)).alias("large_transactions_count"),
-        F.count_if(amt >= 500).alias("xlarge_transactions_count"),
-        bounded_distinct("spending_date").alias("days_with_spending"),
-        avg_exact("data_quality_score").alias("avg_quality_score"),
-        F.max("snapshot_version").alias("snapshot_version_source"),
+    # One pass: every row counts for its category, location, method and date; a row per value of those (never a
+    # set per person) gives the distinct counts and the top category, the rows of the categories all sums.
+    values = [("category", "category_name"), ("location", "location_name"), ("method", "payment_method_name"), ("date", "spending_date")]
+    seen = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in values]))
+    of_category = F.col("kind") == "category"
+    part = lambda c: F.sum(F.when(of_category, c))
+    by_value = latest.select("*", *_ym(), seen.alias("seen")).select("*", "seen.kind", "seen.value").groupBy(*keys, "kind", "value").agg(
+        part(amt).alias("total"),
+        F.count(F.when(of_category, 1)).alias("rows"),
+        F.count(F.when(of_category, amt)).alias("amounts"),
+        *[group_sum(g).alias(g.lower()) for g in GROUPS],
+        F.sum(F.when((grp == "Other") | grp.isNull(), amt).otherwise(dec("0.00"))).cast(MONEY).alias("other"),
+        F.sum(F.when(F.col("spending_day_of_week").between(1, 5), amt).otherwise(dec("0.00"))).cast(MONEY).alias("weekday"),
+        F.sum(F.when(F.col("spending_day_of_week").isin(6, 7), amt).otherwise(dec("0.00"))).cast(MONEY).alias("weekend"),
+        F.count_if(amt < 10).alias("small"),
+        F.count_if((amt >= 10) & (amt < 100)).alias("medium"),
+        F.count_if((amt >= 100) & (amt < 500)).alias("large"),
+        F.count_if(amt >= 500).alias("xlarge"),
+        part(F.col("data_quality_score")).alias("quality"),
+        F.count(F.when(of_category, F.col("data_quality_score"))).alias("qualities"),
+        F.max("snapshot_version").alias("version"),
+    )
+    whole = lambda c: F.sum(F.when(of_category, F.col(c)))
+    values_of = lambda kind: F.count(F.when(F.col("kind") == kind, F.col("value")))
+    top = F.min(F.when(of_category, F.struct((-F.col("total")).alias("neg"), F.col("value").alias("name"))))
+    base = by_value.groupBy(*keys).agg(
+        whole("total").cast(MONEY).alias("total_spending"),
+        whole("rows").alias("transaction_count"),
+        round2(whole("total").cast("decimal(22,2)") / whole("amounts").cast("decimal(20,0)")).alias("avg_transaction_amount"),
+        *[whole(g.lower()).cast(MONEY).alias(f"{g.lower()}_spending") for g in [*GROUPS, "Other"]],
+        whole("weekday").cast(MONEY).alias("weekday_spending"),
+        whole("weekend").cast(MONEY).alias("weekend_spending"),
+        *[whole(c).alias(f"{c}_transactions_count") for c in ("small", "medium", "large", "xlarge")],
+        values_of("date").alias("days_with_spending"),
+        round2(whole("quality").cast("decimal(22,2)") / whole("qualities").cast("decimal(20,0)")).alias("avg_quality_score"),
+        F.max("version").alias("snapshot_version_source"),
+        values_of("category").alias("unique_categories_count"),
+        values_of("location").alias("unique_locations_count"),
+        values_of("method").alias("unique_payment_methods_count"),
+        top.alias("top"),
     )
-    # top category per person-month: highest sum, ties to the smaller name
-    per_cat = latest.groupBy(*_ym(), "person_name", "category_name").agg(
-        F.sum(amt).cast(MONEY).alias("cat_total"))
-    top = per_cat.groupBy(*keys).agg(
-        F.count("category_name").alias("unique_categories_count"),
-        F.min(F.struct((-F.col("cat_total")).alias("neg"), F.col("category_name").alias("name"))).alias("t"))
-    top = top.select(*keys, "unique_categories_count", F.col("t.name").alias("top_category"),
-                     (-F.col("t.neg")).cast(MONEY).alias("top_category_spending"))
-
-    # distinct locations and methods: counted on one row per value, not as a set per person
-    seen = [latest.select(*_ym(), "person_name", c).distinct().groupBy(*keys).agg(F.count(c).alias(n))
-            for c, n in (("location_name", "unique_locations_count"), ("payment_method_name", "unique_payment_methods_count"))]
+    base = base.select("*", F.col("top.name").alias("top_category"), (-F.col("top.neg")).cast(MONEY).alias("top_category_spending")).drop("top")
     median = median_by(latest.select(*_ym(), "person_name", "amount_cleaned"), keys, "amount_cleaned",
                        "median_transaction_amount")
-    df = base.join(top, keys, "left")
-    for part in (*seen, median):
-        df = df.join(part, keys, "left")
+    df = base.join(median, keys, "left")
     df = _period_cols(df)
     t = F.col("total_spending")
     dim = days_in_month(F.col("month_start_date"))

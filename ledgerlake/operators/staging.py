@@ -98,7 +98,7 @@ def reject_counts(stg: DataFrame) -> DataFrame:
 
 
 def dimension_pairs(stg: DataFrame) -> DataFrame:
-    """First src_id of every (dimension, name, attribute) among parsed rows.
+    """First src_id of every (dimension, name, attribute) of a load batch among parsed rows.
 
     One scan of staging for all four dimensions: each row contributes up to
     four (dim, name, attr) entries through ``explode``, and one partial +
@@ -109,9 +109,9 @@ def dimension_pairs(stg: DataFrame) -> DataFrame:
         F.struct(F.lit(d).alias("dim"), F.col(name).alias("name"),
                  (F.col(attr) if attr else F.lit(None).cast("string")).alias("attr"))
         for d, (name, attr, _key) in DIM_SPECS.items()])
-    rows = parsed_rows(stg).select("src_id", F.explode(entries).alias("e"))
+    rows = parsed_rows(stg).select("src_id", "load_batch_id", F.explode(entries).alias("e"))
     return (rows.filter(F.col("e.name").isNotNull())
-            .groupBy(F.col("e.dim").alias("dim"), F.col("e.name").alias("name"), F.col("e.attr").alias("attr"))
+            .groupBy("load_batch_id", F.col("e.dim").alias("dim"), F.col("e.name").alias("name"), F.col("e.attr").alias("attr"))
             .agg(F.min("src_id").alias("first_src_id")))
 
 
@@ -119,7 +119,7 @@ def dimension(pairs: DataFrame, dim: str) -> DataFrame:
     """One row per distinct name: key = first src_id of the name, attribute =
     that of the pair whose first occurrence is latest (SCD-1 upsert order)."""
     name, attr, key = DIM_SPECS[dim]
-    p = pairs.filter(F.col("dim") == dim)
+    p = pairs.filter(F.col("dim") == dim).groupBy("name", "attr").agg(F.min("first_src_id").alias("first_src_id"))
     if attr is None:
         return p.groupBy("name").agg(F.min("first_src_id").alias(key)).select(key, F.col("name").alias(name))
     return (p.groupBy("name")
@@ -139,12 +139,12 @@ def fact_spending(stg: DataFrame, dims: dict, cfg: Config) -> DataFrame:
         "spending_day_of_week", "amount_raw", "amount_cleaned", "currency_code", "description",
         "is_amount_parsed_successfully", "is_date_parsed_successfully", "data_quality_score",
         "src_id", "transform_batch_id",
-        F.lit(cfg.as_of).cast("timestamp_ntz").alias("transformed_at"),
+        F.lit(cfg.as_of).cast("timestamp_ntz").alias("transformed_at"), "load_batch_id",
     )
 
 
 def spending_complete(fact: DataFrame, dims: dict) -> DataFrame:
-    """Denormalised fact (19 columns); attributes come from the dimensions."""
+    """Denormalised fact (19 columns, then keys and batch); attributes come from the dimensions."""
     f = fact
     for dim, (name, attr, key) in DIM_SPECS.items():
         cols = [key, name] + ([attr] if attr else [])
@@ -155,5 +155,5 @@ def spending_complete(fact: DataFrame, dims: dict) -> DataFrame:
         "amount_cleaned", "currency_code", "location_name", "location_type", "description",
         "payment_method_name", "payment_type", "data_quality_score", "src_id", "transformed_at",
         # carried for the snapshot job
-        "person_id", "category_id", "location_id", "payment_method_id",
+        "person_id", "category_id", "location_id", "payment_method_id", "load_batch_id",
     )

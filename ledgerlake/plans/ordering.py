@@ -1,8 +1,8 @@
 """Result order of the reports and views: columns, descending with a leading minus.
 
 Ties are broken by the other columns of the list. Reports that already pick a top k
-are ordered there. ``hq21_export`` and ``hq22_diff_versions`` return rows of the size of a
-snapshot; they stay unsorted, their sinks sort within partitions.
+are ordered there. Results of the size of a snapshot (``hq21_export``, ``hq22_diff_versions``)
+are sorted like the others: Spark range-partitions them by sampled bounds, so no task sorts all.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ ORDER = {
     "hq07_weekday": "spending_day_of_week", "hq12_person_category": "person_name -total_spent category_name",
     "hq13_payment_pref": "person_name -usage_count payment_method_name", "hq15_quarterly": "-spending_year -spending_quarter",
     "hq17_quality_category": "-avg_quality_score category_name",
+    "hq21_export": "-spending_date person_name",
     # staging quality report
     "dq_person_spending": "-total_spending person_name", "dq_category_spending": "-total_amount category_name",
     "dq_payment_usage": "-transactions payment_method_name", "dq_monthly_trend": "-month",
@@ -49,6 +50,8 @@ def ordered(key: str, df: DataFrame) -> DataFrame:
     if key == "budget_alerts":
         rank = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("alert_severity"))
         return df.orderBy(rank, "person_name", "spike_category")
+    if key == "hq22_diff_versions":
+        return df.orderBy("status", F.desc(F.coalesce("v1_date", "v2_date")), "spending_id")
     if key not in ORDER:
         return df
     return df.orderBy(*[F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in ORDER[key].split()])

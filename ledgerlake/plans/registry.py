@@ -35,9 +35,9 @@ JOBS["stg_reject_counts"] = lambda s: G.reject_counts(s.stg)
 JOBS["stg_transform_stats"] = lambda s: R.stg_transform_stats(s.stg)
 for _d in G.DIM_SPECS:
     JOBS[f"dim_{_d}"] = (lambda d: lambda s: s.dims[d])(_d)
-JOBS["fact_spending"] = lambda s: s.fact
+JOBS["fact_spending"] = lambda s: s.fact.drop("load_batch_id")
 JOBS["spending_complete"] = lambda s: s.complete.drop("person_id", "category_id", "location_id",
-                                                       "payment_method_id")
+                                                       "payment_method_id", "load_batch_id")
 JOBS["stg_load_stats"] = lambda s: R.stg_load_stats(s.fact, s.dims, s.src)
 JOBS["stg_top_categories"] = lambda s: R.stg_top_categories(s.complete)
 JOBS["stg_recent_sample"] = lambda s: R.stg_recent_sample(s.complete)
@@ -144,9 +144,11 @@ JOBS["ingest_raw"] = lambda s: s.src
 JOBS["ingest_reconcile"] = lambda s: N.ingest_reconcile(s.offered, s.src)
 JOBS["load_event_log"] = lambda s: s.validation_log.filter(F.col("validation_run_id") != s.cfg.validation_run_id)
 JOBS["load_sample"] = lambda s: N.load_sample(s.src, s.cfg)
-JOBS["profile_file"] = lambda s: N.profile_file(s.spark.read.parquet(s.raw_paths[-1]))
-JOBS["profile_file_sizes"] = lambda s: N.profile_file_sizes(s.spark.read.parquet(s.raw_paths[-1]))
-JOBS["profile_columns"] = lambda s: N.profile_columns(s.src)
+JOBS["profile_file"] = lambda s: N.profile_file({batch: s.spark.read.parquet(path) for path, (batch, _) in zip(s.raw_paths, s.batches)})
+JOBS["profile_file_sizes"] = lambda s: N.profile_file_sizes(s.row_groups)
+JOBS["profile_row_groups"] = lambda s: s.row_groups
+JOBS["profile_columns"] = lambda s: N.profile_columns(s.profile_states)
+JOBS["profile_distinct"] = lambda s: N.profile_distinct(s.profile_states)
 JOBS["profile_integrity"] = lambda s: N.profile_integrity(s.src)
 JOBS["profile_value_counts"] = lambda s: N.profile_value_counts(s.src)
 
@@ -242,5 +244,5 @@ JOBS["dv_verdict"] = lambda s: Q.dv_verdict(s.latest, s.mss, s.ct, s.pa, s.ps)
 # -- result order ----------------------------------------------------------------------
 from .ordering import ORDER, ordered  # noqa: E402
 
-for _key in [*ORDER, "budget_alerts"]:
+for _key in [*ORDER, "budget_alerts", "hq22_diff_versions"]:
     JOBS[_key] = (lambda k, job: lambda s: ordered(k, job(s)))(_key, JOBS[_key])

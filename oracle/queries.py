@@ -262,8 +262,8 @@ FROM src GROUP BY load_batch_id"""
 SQL["load_event_log"] = sel(_LOADLOG)
 _RAW_COLUMNS = ["person_name", "spending_date", "category", "amount", "location", "description", "payment_method"]
 SQL["profile_file"] = sel(" UNION ALL ".join(
-    f"""SELECT {i} AS ordinal, '{c}' AS column_name, 'string' AS data_type, COUNT(*) AS total_rows, {len(_RAW_COLUMNS)} AS total_columns
-FROM src WHERE load_batch_id = 'LOAD_20251020_000000'""" for i, c in enumerate(_RAW_COLUMNS, 1)))
+    f"""SELECT load_batch_id, {i} AS ordinal, '{c}' AS column_name, 'string' AS data_type, COUNT(*) AS total_rows,
+  {len(_RAW_COLUMNS)} AS total_columns FROM src GROUP BY load_batch_id""" for i, c in enumerate(_RAW_COLUMNS, 1)))
 SQL["load_sample"] = sel("""SELECT src_id, person_name, spending_date, category, amount FROM src
 WHERE load_batch_id = 'LOAD_20251020_000000' ORDER BY src_id LIMIT 5""")
 _cols = [("src_id", "bigint", True)] + [(c, "string", False) for c in

@@ -1,5 +1,6 @@
 """Partition-scoped writes: idempotent publish, prune, batch delete, CSV sink, SQL function."""
 
+import csv
 import datetime as dt
 import os
 
@@ -71,6 +72,39 @@ def test_delete_batch_and_csv_export(spark):
     assert back.count() == s2.latest.count() and len(back.columns) == len(U.EXPORT_COLUMNS)
 
 
+def test_exported_files_are_in_order(spark):
+    """Files read by name are in the order of the query; more than one task sorts."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    s = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
+    out = f"{s.store.root}/export_csv"
+    U.export_csv(s.latest, out)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    lines = []
+    files = sorted(f for f in os.listdir(out.replace("file:", "")) if f.startswith("part-"))
+    for f in files:
+        with open(f"{out.replace('file:', '')}/{f}", newline="") as h:
+            lines += [(r["spending_date"], r["person_name"]) for r in csv.DictReader(h)]
+    assert len(files) > 1 and len(lines) == s.latest.count()
+    assert lines == sorted(sorted(lines, key=lambda x: x[1]), key=lambda x: x[0], reverse=True)
+
+
+def test_versions_are_compared_without_a_shuffle(spark):
+    """Snapshots are bucketed by id: the joins and the count by id plan no exchange on it."""
+    s = Spend(spark, SF_SMALL, adapter_config(), TableStore(spark, run_folder(spark)))
+    cur = s.curated
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, key in ((U.hq22_diff_versions(cur, 1, 2), "stg_spending_id"), (U.cv_cross_version_ids(cur), "stg_spending_id"),
+                        (U.hq11_new_per_version(cur), "stg_spending_id")):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert not [x for x in plan.splitlines() if "Exchange" in x and key in x], plan
+            assert "Bucketed: true" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    files = [f for _, _, fs in os.walk(s.store.path(MT.CURATED).replace("file:", "")) for f in fs if f.startswith("part-") and f.endswith(".parquet")]
+    assert len(files) == 2 * MT.LEAST_BUCKETS  # one file per bucket and version: no task holds a month, or all
+
+
 def test_sql_trend_function(spark):
     MT.register_sql_functions(spark)
     got = [r[0] for r in spark.sql(
