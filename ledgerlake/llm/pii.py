@@ -63,10 +63,15 @@ LABELERS = ("format", "gazetteer", "context", "border", "variety")
 # End of the fixed values.
 
 _RE = {k: re.compile(p) for k, p in PATTERNS.items()}
-_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
+# The ip pattern from the first digit of a run on: no later digit of a run begins a match if the first does not.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+_SPELLED_AT = re.compile(r"\x20?[(\[]at[)\]]\x20?")
+_SPELLED_END = re.compile(r"[A-Za-z0-9-]+(?:\x20?(?:[(\[]dot[)\]]|\.)\x20?[A-Za-z]+)+")
 _DIGIT = re.compile("[0-9]")
 _WORD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
-_MAIL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_SPELLED_LOCAL = _LOCAL - {"%"}
 
 
 def luhn(digits: str) -> bool:
@@ -93,29 +98,44 @@ def _base_ok(kind: str, s: str) -> bool:
 
 
 def _emails(text: str):
-    """Matches of the email pattern; only character runs around an @ are searched."""
-    done, n = 0, len(text)
+    """(start, end) of the matches of the email pattern, in time linear in the text: an @ has one longest local part
+    before it, and if no domain follows the @, none of that part's characters begins a match."""
+    done = 0
     at = text.find("@")
     while at >= 0:
-        lo, hi = at, at + 1
-        while lo > done and text[lo - 1] in _MAIL:
+        lo = at
+        while lo > done and text[lo - 1] in _LOCAL:
             lo -= 1
-        while hi < n and text[hi] in _MAIL:
-            hi += 1
-        yield from _RE["email"].finditer(text, lo, hi)
-        done = hi
-        at = text.find("@", hi)
+        domain = _DOMAIN.match(text, at + 1) if lo < at else None
+        if domain:
+            yield lo, domain.end()
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
+def _spelled(text: str):
+    """(start, end) of the matches of the spelled_email pattern, alike: one longest local part before each "(at)"."""
+    done = 0
+    for at in _SPELLED_AT.finditer(text):
+        lo = at.start()
+        while lo > done and text[lo - 1] in _SPELLED_LOCAL:
+            lo -= 1
+        end = _SPELLED_END.match(text, at.end()) if done <= lo < at.start() else None
+        if end:
+            yield lo, end.end()
+            done = end.end()
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base kinds, by start, then kind as listed."""
     out = []
     if "@" in text:
-        out += [(m.start(), m.end(), "email") for m in _emails(text)]
+        out += [(lo, hi, "email") for lo, hi in _emails(text)]
     if _DIGIT.search(text):
         for kind in ("ip", "card", "phone"):
             if kind != "phone" or "+" in text:
-                out += [(m.start(), m.end(), kind) for m in _RE[kind].finditer(text) if _base_ok(kind, m.group())]
+                found = _IP if kind == "ip" else _RE[kind]
+                out += [(m.start(), m.end(), kind) for m in found.finditer(text) if _base_ok(kind, m.group())]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -130,7 +150,7 @@ def further_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
             continue
         if kind == "person" and not any(c in text for c in ("Mr", "Ms", "Dr", "name is ")):
             continue
-        out += [(m.start(), m.end(), kind) for m in _RE[kind].finditer(text)]
+        out += [(*s, kind) for s in (_spelled(text) if kind == "spelled_email" else (m.span() for m in _RE[kind].finditer(text)))]
     starts, furthest = [b for b, _, _ in base], list(accumulate((e for _, e, _ in base), max))
     before = lambda s: bisect_left(starts, s[1])  # noqa: E731  base spans that begin before the end of s
     return [s for s in out if not before(s) or furthest[before(s) - 1] <= s[0]]
