@@ -38,7 +38,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, CAP = 1.5, 2.0
 BLOCK = 64  # words in a block
 SHARD = 1024  # slots in an output shard, on average
-GROUP = 1024  # shards in a group of the two-step draw
+GROUP = 64  # shards in a group of the two-step draw: 65,536 slots are made by one task at a time
+MOST_TASKS = 100_000
 BUCKETS = 4096  # per source, for the prefix sums
 SEED = 20
 
@@ -161,7 +162,9 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD, seed
 
     drawn = sources.select("key", "source_size", "target").mapInPandas(
         of_groups, "key string, source_size long, target double, group long, first long, n long")
-    filled = drawn.repartition("key", "group").mapInPandas(
+    # a number of its own: by their few bytes the rows would all be dealt to one task
+    units = min(MOST_TASKS, max(1, groups * sources.count()))
+    filled = drawn.repartition(units, "key", "group").mapInPandas(
         of_shards, "key string, shard long, slot long, pass long, block long, take long")
     return filled.hint("merge")  # its size is guessed from the few rows it grows from: never broadcast it
 
@@ -173,16 +176,22 @@ def sized_documents(docs: DataFrame) -> DataFrame:
                              "key": F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))})
 
 
-def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
+def pieces(placed: DataFrame, block: int = BLOCK, words: str | None = None) -> DataFrame:
     """The parts of documents that lie in each block: block, offset (words of the block
     before the part), from_word (words of the document before it), n; documents without
-    words have one row without a block."""
-    last = F.col("start") + F.col("size") - 1
-    spread = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(
-        F.floor(F.col("start") / block), F.floor(last / block)))))
-    begin = F.greatest(F.col("start"), F.col("block") * block)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    return spread.withColumns({"offset": begin - F.col("block") * block, "from_word": begin - F.col("start"), "n": end - begin})
+    words have one row without a block. words: an array column, which is replaced by
+    text, the words of the part: each row carries its own words only."""
+    first = F.floor(F.col("start") / block)
+
+    def part(b):
+        begin = F.greatest(F.col("start"), b * block)
+        from_word, n = begin - F.col("start"), F.least(F.col("start") + F.col("size"), (b + 1) * block) - begin
+        own = [] if words is None else [F.array_join(F.slice(words, (from_word + 1).cast("int"), n.cast("int")), " ").alias("text")]
+        return F.struct(b.alias("block"), (begin - b * block).alias("offset"), from_word.alias("from_word"), n.alias("n"), *own)
+
+    parts = F.transform(F.sequence(first, F.floor((F.col("start") + F.col("size") - 1) / block)), part)
+    kept = [c for c in placed.columns if words is None or c not in (words, "text")]
+    return placed.select(*kept, F.explode_outer(F.when(F.col("size") > 0, parts)).alias("_part")).select(*kept, "_part.*")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> DataFrame:
@@ -194,10 +203,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     sized = sized_documents(docs.select(others.alias("_others"), "doc_id", "source", "text"))
     targets = source_targets(sized.select("key", "source", "size"), weights, share, cap)
     placed = stream_positions(sized)
-    # the words become a column before the explode, so a text is split once
+    # a text is split once and cut into its parts before the explode
     placed = placed.withColumn("_words", F.filter(F.split("text", BLANKS), lambda w: w != "")).drop("text")
-    parts = pieces(placed, block).filter("block IS NOT NULL").withColumn("text", F.array_join(
-        F.slice("_words", (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")), " ")).drop("_words")
+    parts = pieces(placed, block, "_words").filter("block IS NOT NULL")
     met = parts.join(slots(targets, block), ["key", "block"])
     taken = F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.col("offset")))
     out = met.withColumn("taken", taken).filter("taken > 0")
