@@ -83,13 +83,45 @@ def test_llr_quality_base_and_verdict(docs, table):
 
 
 def test_llr_counts_are_whole(table):
-    docs = table("documents")
-    raw, target = llr_quality.ngram_counts(docs, table("labels"))
-    n = [len(plain.words(t)) for (t,) in _rows(docs, "text")]
+    """Every n-gram of every distinct text counts once, whatever the number of its copies."""
+    docs, labels = table("documents"), table("labels")
+    texts = llr_quality.distinct_texts(docs.unionByName(docs), labels)
+    raw, target, heavy = llr_quality.ngram_counts(texts)
+    want = {t for (t,) in _rows(docs, "text")} - {None}
+    assert texts.count() == len(want) < docs.count()
+    n = [len(plain.words(t)) for t in want]
     assert raw.sum() == sum(n) + sum(max(0, k - 1) for k in n)
-    good = {i for i, q in _rows(table("labels"), "doc_id", "quality") if q == 1}
-    n = [len(plain.words(t)) for i, t in _rows(docs, "doc_id", "text") if i in good]
+    good = {i for i, q in _rows(labels, "doc_id", "quality") if q == 1}
+    n = [len(plain.words(t)) for t in {t for i, t in _rows(docs, "doc_id", "text") if i in good} - {None}]
     assert target.sum() == sum(n) + sum(max(0, k - 1) for k in n)
+    counts = Counter(g for t in want for w in [plain.words(t)] for g in w + list(zip(w, w[1:], strict=False)))
+    assert 0 < len(heavy) <= llr_quality.HEAVY
+    known, of_target = llr_quality.heavy_counts(texts, heavy)
+    assert sorted(known, reverse=True)[:50] == [c for _, c in counts.most_common(50)] and (of_target <= known).all()
+
+
+def _kept_of_hidden(spark, docs, labels):
+    """Shares kept of the good and bad documents whose labels were hidden, the base rules aside."""
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = llr_quality.score_quality(docs, labels.filter(~hidden)).join(labels.filter(hidden), "doc_id").filter("n_words >= 10")
+    share = F.avg((F.col("llr") >= llr_quality.THRESHOLD).cast("int"))
+    return {r.quality: r.share for r in got.groupBy("quality").agg(share.alias("share")).collect()}
+
+
+@pytest.mark.parametrize("copies", [1, 4, 10])
+def test_llr_of_hidden_labels_does_not_follow_repetition(spark, copies):
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    times = docs.withColumn("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), lambda k: F.col("doc_id") + k * 10_000_000)))
+    kept = _kept_of_hidden(spark, times, spark.read.parquet(f"{path}/labels.parquet"))
+    assert kept[1] >= 0.95 and kept[0] <= 0.1
+
+
+def test_llr_of_a_corpus_of_good_documents(spark):
+    path = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{path}/labels.parquet").filter("quality = 1")
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
+    assert _kept_of_hidden(spark, docs, labels)[1] >= 0.95
 
 
 def test_llr_separates_labels(spark, table):
@@ -111,15 +143,15 @@ def test_llr_separates_labels_in_a_larger_corpus(spark):
 
 
 def test_llr_of_exact_ngrams(table, awkward):
-    """Against counts of the n-grams themselves, no hashes; repeated and null doc_ids too."""
+    """Against counts of the n-grams of the distinct texts themselves, no hashes; repeated and null doc_ids too."""
     labels = table("labels")
     good = {i for i, q in _rows(labels, "doc_id", "quality") if q == 1}
     for docs in (table("documents"), awkward):
         rows = [(i, t, (w := plain.words(t)) + list(zip(w, w[1:], strict=False))) for i, t in _rows(docs, "doc_id", "text")]
-        raw = Counter(g for _, _, gs in rows for g in gs)
-        target = Counter(g for i, _, gs in rows if i in good for g in gs)
+        raw = Counter(g for gs in {t: gs for _, t, gs in rows}.values() for g in gs)  # a text counts once
+        target = Counter(g for gs in {t: gs for i, t, gs in rows if i in good}.values() for g in gs)
         share = target.total() / raw.total()
-        s = llr_quality.SHRINK
+        s = llr_quality.smoothing(share)
         mean = lambda gs: sum(math.log((target[g] + s) / (raw[g] * share + s)) for g in gs) / max(len(gs), 1)
         want = sorted((str(i), str(t), mean(gs)) for i, t, gs in rows)
         got = sorted((str(i), str(t), v) for i, t, v in _rows(llr_quality.score_quality(docs, labels), "doc_id", "text", "llr"))
