@@ -32,6 +32,7 @@ import os
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -66,13 +67,13 @@ class _Pieces:
         self.library = Tokenizer.from_file(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind = "<u2" if id_width(self.library) == 2 else "<u4"
+        self.kind, self.code = ("<u2", "H") if id_width(self.library) == 2 else ("<u4", "I")
         self.cut = cuts_words(vocabulary)
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, pieces) -> None:
         for p, e in zip(pieces, self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, self.kind).tobytes()
+            self.known[p] = array(self.code, e.ids).tobytes()
 
     def encode(self, text: bytes) -> bytes:
         if not self.cut:

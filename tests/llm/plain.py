@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 BLANK = " \t\n\r\x0b\f"
@@ -130,3 +131,92 @@ def listed(spans):
 
 def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
+
+
+# -- conversations -------------------------------------------------------------
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) after damage, as conversations {conv_id: [(turn, role, text)]} in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(key.encode()) % 20
+        held = out.setdefault(conv, [])
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        held += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest())
+    return {c: sorted(rs, key=order) for c, rs in out.items()}
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha) of one conversation in order."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        solid = text.strip(BLANK)
+        faults.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    best = {"": (0, "", [])}  # what was said last -> cheapest, then least (cost, audit, messages)
+
+    def offer(to, state, cost, audit, said):
+        if state not in to or (cost, audit) < to[state][:2]:
+            to[state] = (cost, audit, said)
+
+    def with_inserts(states):
+        states = dict(states)
+        for _ in range(3):
+            for state, (cost, audit, said) in list(states.items()):
+                due = "a" if state == "u" else "u"
+                offer(states, due, cost + 3, audit + "I", said + [({"u": "user", "a": "assistant"}[due], "")])
+        return states
+
+    for (_, role, text), fault in zip(rows, faults):
+        to = {}
+        for state, (cost, audit, said) in with_inserts(best).items():
+            offer(to, state, cost + 4, audit + "D", said)
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 3 * (fault == "truncated")
+            due = "a" if state == "u" else "u"
+            if role[:1] == due or role[:1] == "s" and state == "":
+                offer(to, role[0], cost + more, audit + "K", said + [(role, text)])
+            offer(to, due, cost + 3 + more, audit + "R", said + [({"u": "user", "a": "assistant"}[due], text)])
+        best = to
+    ended = with_inserts(best)
+    cost, audit, said = min(ended[s] for s in ("", "a") if s in ended)
+    pairs = [a[1][:1] + b[1][:1] for a, b in zip(rows, rows[1:])]
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults.count("blank"), faults.count("duplicate"),
+            faults.count("truncated"), sum(p not in ("su", "ua", "au") for p in pairs), cost, audit,
+            hashlib.sha256("\n".join(f"{r}:{t}" for r, t in said).encode()).hexdigest())
+
+
+# -- phrases --------------------------------------------------------------------
+
+def phrases(rows, least, top, longest=5):
+    """[(lang, rank, phrase, a, l, r, n, score)] of rows (lang, text)."""
+    counts, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(rb"[.,;:!?\x0a-\x0d]", (text or "").encode().translate(_LOWER)):
+            w = [x for x in re.split(rb"[ \t]+", piece) if x]
+            total[lang] += len(w)
+            for m in range(1, longest + 1):
+                for i in range(len(w) - m + 1):
+                    counts[lang, tuple(w[i:i + m])] += 1
+    often = {k: f for k, f in counts.items() if f >= least and len(k[1]) > 1}
+    out = {}
+    for (lang, p), a in often.items():
+        inside = lambda q: any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+        if any(x == lang and len(q) > len(p) and f >= a and inside(q) for (x, q), f in often.items()):
+            continue
+        cuts = [(1000 * a * total[lang] // (counts[lang, p[:k]] * counts[lang, p[k:]]), k) for k in range(1, len(p))]
+        score, k = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, b" ".join(p), counts[lang, p[:k]], counts[lang, p[k:]]))
+    return sorted((lang, i, p.decode(), -a, left, right, total[lang], -s) for lang, found in out.items()
+                  for i, (s, a, p, left, right) in enumerate(sorted(found)[:top], 1))
