@@ -49,7 +49,7 @@ OWN = 14.0  # ... and at least this many times the share of the target
 HEAVY = 8192  # n-grams whose ratios are broadcast
 SCALE = 4096
 SYMBOLS = _class(set(b"#*$%&|<>"))
-FLUSH = 4_000_000  # n-grams sent at a time
+FLUSH = 2_000_000  # n-grams sent at a time
 _DOCS_LOG2 = 14  # documents sent at a time
 _BLANK = " \t\n\r\x0b\f"
 _U = np.uint64
@@ -171,8 +171,9 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.int64)
 
 
-def _sendings(batches):
-    """(documents: trusted, a, b, n; hashes of n-grams; document of each) of up to FLUSH n-grams."""
+def _sendings(batches, heavy: np.ndarray, known: np.ndarray):
+    """(documents: trusted, a, b, n, sum of the ratios of their frequent n-grams; hashes of the other n-grams;
+    document of each) of up to FLUSH n-grams."""
     most, held, n_docs, size = 1 << _DOCS_LOG2, [], 0, 0
     joined = lambda: [np.concatenate(c) for c in zip(*held, strict=True)]
     for batch in batches:
@@ -186,8 +187,11 @@ def _sendings(batches):
                     held, n_docs, size = [], 0, 0
                 w = Words(part)
                 h, doc = _ngrams(w)
+                place, hit = _places(heavy, h)
+                own = np.bincount(doc[hit], known[place[hit]], minlength=len(part)).astype(np.int64)
+                h, doc = h[~hit], doc[~hit]
                 rows = slice(lo + at, lo + at + len(part))
-                held.append((flags[rows], a[rows], b[rows], 2 * w.counts - (w.counts > 0), h, doc + n_docs))
+                held.append((flags[rows], a[rows], b[rows], 2 * w.counts - (w.counts > 0), own, h, (doc + n_docs).astype(np.int32)))
                 n_docs, size = n_docs + len(part), size + len(h)
     if held:
         yield joined()
@@ -201,10 +205,8 @@ def ngram_sums(texts: DataFrame, share: float, log2: int, heavy: np.ndarray, kno
     blocks = min(log2, blocks_log2(texts.sparkSession))
 
     def send(batches):
-        for trusted, a, b, n, h, doc in _sendings(batches):
-            at, hit = _places(heavy, h)
-            own = np.bincount(doc[hit], known[at[hit]], minlength=len(n)).astype(np.int64)
-            bucket, doc = (h[~hit] >> np.uint64(64 - log2)).astype(np.int64), doc[~hit]
+        for trusted, a, b, n, own, h, doc in _sendings(batches, heavy, known):
+            bucket = (h >> np.uint64(64 - log2)).astype(np.int64)
             order = np.argsort(~trusted, kind="stable")  # trusted documents come first
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
