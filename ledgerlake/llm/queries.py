@@ -120,57 +120,69 @@ QUERIES = {f.__name__: f for f in (
     op13_collocations)}
 _BLANK = r"[^\x20\x09-\x0D]+"
 
+# Fixed values of the SQL forms, written out here and not taken from the operators.
+_SECRETS = (  # kind, pattern, group measured, least length; letters of either case: the other engine folds beyond ASCII
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 0),
+    ("github", r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
+    ("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
+)
+_URL_RULES = (("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+              ("com", "/de/", "block"), ("org", "/", "allow"))  # the longest first
+_LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
+# End of the fixed values.
+
+
 def _span_sql() -> str:
     """The secret rules in DuckDB: matches are marked, and places add up between the marks."""
-    either = "".join  # explicit letters of either case: the other engine folds beyond ASCII
-    word = lambda w: either(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
-    keys = "|".join([*map(word, ("password", "passwd", "secret", "token")), word("api") + "_?" + word("key")])
     parts = []
-    for i, r in enumerate(secret_scan.RULES):
-        pattern = r.pattern.replace("(?i:password|passwd|secret|token|api_?key)", f"(?:{keys})").replace("'", "''")
-        size = f"length(regexp_extract(part, '{pattern}', {r.group}))"
+    for i, (kind, pattern, group, least) in enumerate(_SECRETS):
+        pattern = pattern.replace("'", "''")
+        size = f"length(regexp_extract(part, '{pattern}', {group}))"
         parts.append(f"""
-            SELECT doc_id, {i} AS o, '{r.kind}' AS kind, pos, pos + length(part) AS fin FROM (
+            SELECT doc_id, {i} AS o, '{kind}' AS kind, pos, pos + length(part) AS fin FROM (
                 SELECT doc_id, part, k, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
                 FROM (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS k FROM (
                       SELECT doc_id, string_split(regexp_replace(replace(coalesce(text, ''), chr(1), chr(2)),
                              '({pattern})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents)))
-            WHERE k % 2 = 0 AND {size} >= {r.least}""")
-    base = ", ".join(f"'{r.kind}'" for r in secret_scan.BASE)
-    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)
+            WHERE k % 2 = 0 AND {size} >= {least}""")
     listed = "string_agg(kind || ':' || pos || ':' || fin, ',' ORDER BY pos, o)"
-    zero = ", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in secret_scan.BASE)
     return f"""WITH spans AS ({" UNION ALL ".join(parts)}),
-        found AS (SELECT doc_id, {counts}, {listed} FILTER (kind IN ({base})) AS base, {listed} AS listed
+        found AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                  count(*) FILTER (kind = 'hex') AS n_hex, {listed} FILTER (kind IN ('assign', 'access', 'hex')) AS base, {listed} AS listed
                   FROM spans GROUP BY doc_id)
-        SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(listed, '') AS spans
+        SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+               coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(listed, '') AS spans
         FROM documents LEFT JOIN found USING (doc_id)"""
 
 
 def _trust_sql() -> str:
-    """The propagation with its rounds written out."""
-    cases = sorted(url_trust.RULES, key=lambda r: -len(r[0] + r[1]))
+    """The propagation with its 8 rounds written out, rounded to 12 significant digits after each."""
     fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
-    pick = lambda of: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{of(h, p, v)}'" for h, p, v in cases) + " END"
-    link = url_trust.LINK.replace("'", "''")
+    pick = lambda of: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{of(h, p, v)}'" for h, p, v in _URL_RULES) + " END"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+    digits = "format('{{:.11e}}', {})::DOUBLE".format
+    link = _LINK.replace("'", "''")
     steps, last = [], "s0"
-    damp, rest = url_trust.DAMPING, 1 - url_trust.DAMPING
-    for k in range(1, url_trust.ROUNDS + 1):
-        steps.append(f"""s{k} AS (SELECT h.host, round({rest!r} * h.t0 + {damp!r} * coalesce(x.t, 0), 12) AS t,
-                round({rest!r} * h.d0 + {damp!r} * coalesce(x.d, 0), 12) AS d
+    for k in range(1, 9):
+        t, d = (digits(f"(0.15 * h.{c}0 + 0.85 * coalesce(x.{c}, 0))::DOUBLE") for c in "td")
+        steps.append(f"""s{k} AS (SELECT h.host, {t} AS t, {d} AS d
             FROM s0 h LEFT JOIN (SELECT host, sum(t) AS t, sum(d) AS d FROM (
                 SELECT dst AS host, s.t * w_out AS t, 0.0 AS d FROM weighted JOIN {last} s ON src = s.host
                 UNION ALL SELECT src, 0.0, s.d * w_in FROM weighted JOIN {last} s ON dst = s.host) GROUP BY host) x
             ON x.host = h.host)""")
         last = f"s{k}"
-    return f"""WITH named AS (SELECT page_id, html,
-            translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{url_trust.UPPER}', '{url_trust.LOWER}') AS host,
+    return f"""WITH named AS (SELECT page_id, html, {lower("regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)")} AS host,
             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
         ruled AS (SELECT *, {pick(lambda h, p, v: h + p)} AS rule, {pick(lambda h, p, v: v)} AS fixed FROM named),
         edges AS (SELECT src, dst, count(*) AS n FROM (
-            SELECT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)),
-                   '{url_trust.UPPER}', '{url_trust.LOWER}') AS dst FROM named)
+            SELECT host AS src, {lower(f"unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1))")} AS dst FROM named)
             WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
         weighted AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w_out,
                      n / sum(n) OVER (PARTITION BY dst) AS w_in FROM edges),
@@ -183,7 +195,7 @@ def _trust_sql() -> str:
                FROM hosts LEFT JOIN seeds USING (host))),
         {", ".join(steps)}
         SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN coalesce(d, 0) > 0
-               AND coalesce(d, 0) >= {url_trust.RATIO} * coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
+               AND coalesce(d, 0) >= 2 * coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
         FROM ruled LEFT JOIN {last} USING (host)"""
 
 

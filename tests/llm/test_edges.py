@@ -84,6 +84,22 @@ def test_sql_forms(spark, name):
     assert sorted(map(str, map(tuple, a.select(*cols).collect()))) == sorted(map(str, b.fetchall()))
 
 
+def test_trust_over_links_equals_the_sql_form(spark, tmp_path):
+    """Pages that link hosts, one of them blocked: the rounds, their rounding and the verdicts of both engines."""
+    to = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
+    rows = [(k, f"http://h{k}.net/", to(*[f"h{(k * 7 + j) % 40}.net" for j in range(k % 5)])) for k in range(40)]
+    rows += [(100, "http://good.org/", to("h1.net", "h2.net")), (101, "http://bad.com/de/", to("h3.net")), (102, "http://fan.net/", to("bad.com", "h5.net")),
+             (103, "http://h6.net/", to("bad.com")), (104, "http://sub.example.org/es/", to("h7.net")), (105, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(map(str, con.execute(queries.ORACLE["op5_url_trust"]).fetchall()))
+    got = queries.op5_url_trust(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(str, map(tuple, got))) == want
+    assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
+
+
 def test_queries_return_all_documents(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name, q in queries.QUERIES.items():
