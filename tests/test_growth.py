@@ -37,3 +37,9 @@ def test_a_day_without_a_date_has_no_name(spark):
     df = spark.createDataFrame([("2024-02-29",), (None,)], "s string")
     day = X.date_parts(F.col("s").cast("date"))["spending_day_of_week"]
     assert [r.d for r in df.select(day.alias("d")).collect()] == ["Thursday", None]
+
+
+def test_raw_texts_are_made_after_sorting(spark):
+    p = _optimized(fixture.raw_spending(fixture.load_tables(spark, SF_SMALL)))
+    dealt = p.index("RepartitionByExpression")
+    assert "date_format" in p[:dealt] and "date_format" not in p[dealt:]
