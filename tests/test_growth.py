@@ -1,13 +1,15 @@
 """Steps of the chain whose cost per row counts on large tables."""
 
+import os
 import re
+import tempfile
 
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import clean as X
 from ledgerlake.operators import staging as G
 from ledgerlake.sources import fixture
-from ledgerlake.sources.raw_files import RAW_SCHEMA
+from ledgerlake.sources.raw_files import RAW_SCHEMA, file_position, with_ids
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -43,3 +45,18 @@ def test_raw_texts_are_made_after_sorting(spark):
     p = _optimized(fixture.raw_spending(fixture.load_tables(spark, SF_SMALL)))
     dealt = p.index("RepartitionByExpression")
     assert "date_format" in p[:dealt] and "date_format" not in p[dealt:]
+
+
+def test_ids_leave_rows_where_they_are_read(spark):
+    path = f"{tempfile.mkdtemp(prefix='ledgerlake-')}/raw"
+    rows = [("p", "2024-01-01", "Food", str(i), None, None, None) for i in range(40)]
+    spark.createDataFrame(rows, RAW_SCHEMA).repartition(4).write.parquet(path)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = with_ids(file_position(spark.read.schema(RAW_SCHEMA).parquet(path)), 7)
+        assert "SortMergeJoin" not in _plan(out)
+        assert sorted(r.src_id for r in out.collect()) == list(range(7, 47))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 4
