@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import clean as X
+from ledgerlake.operators import marts as M
 from ledgerlake.operators import staging as G
 from ledgerlake.sources import fixture
 from ledgerlake.sources.raw_files import RAW_SCHEMA, file_position, with_ids
@@ -60,3 +61,14 @@ def test_ids_leave_rows_where_they_are_read(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 4
+
+
+def test_person_sums_are_made_once_per_row(spark):
+    latest = spark.createDataFrame([], "spending_year int, spending_month int, spending_date date, spending_day_of_week int, person_name string, "
+                                       "category_name string, category_group string, location_name string, payment_method_name string, "
+                                       "amount_cleaned decimal(12,2), data_quality_score int, snapshot_version int").repartition(2)
+    lines = M.person_analytics(latest, fixture.adapter_config())._jdf.queryExecution().analyzed().toString().split("\n")
+    exploded = [i for i, line in enumerate(lines) if re.search(r"\bGenerate explode", line)]
+    assert len(exploded) == 1
+    above = lines[exploded[0] - 2]
+    assert "Project [" in above and "amount_cleaned" not in above and "amount_cleaned" not in lines[exploded[0] - 1]
