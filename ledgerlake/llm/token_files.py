@@ -15,9 +15,11 @@ size, never a result. A reader finds a document by the doc_id range of the block
 the frame by its offset, and decompresses that frame only.
 
 Encoding: where the vocabulary splits texts into words, runs of other characters and dropped white space, after
-lower-casing, a text is cut at ASCII white space and, in a piece of letters and then stops, before the stops. Each
-distinct part goes through the library once per worker, without added special tokens; pieces over ``LONG`` bytes are
-encoded each time, and the cache is emptied at ``CACHE`` pieces. With other vocabularies whole texts are encoded.
+lower-casing, a text is cut at ASCII white space and, in a piece of letters and then symbols, before the symbols. Each
+distinct part goes through the library once per worker, without added special tokens, words many at a time where the
+tokens tell their ends; parts over ``LONG`` bytes are encoded each time, and the cache is emptied at ``CACHE`` parts.
+A slice of texts is cut in Arrow, looked up once per distinct part and put together in NumPy. With other vocabularies
+whole texts are encoded.
 
 Defined results: null and empty texts are the end id alone. Null doc_ids come first; rows of one doc_id go by a hash of
 the text, all of them are kept. An empty table gives empty files. Other columns do not matter.
@@ -46,6 +48,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerlake.llm.scratch import stored
+from ledgerlake.llm.words import slices
 
 END_ID = 2
 BLOCK_IDS = 1_000_000
@@ -56,11 +59,15 @@ DICTIONARY = 64 * 1024
 LEVEL = 3
 LONG = 64
 CACHE = 2_000_000
-_WORD = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?]*)")
+SLICE_BYTES = 4_000_000  # texts are encoded this many bytes at a time; one longer text is encoded alone
+RUN = 64  # new words that are given to the library as one text
+RUNS = 64  # such texts at a time
+#: ASCII symbols but for the apostrophe (contractions) and the sign that special strings begin with.
+SYMBOLS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 class _Pieces:
-    """The library with a cache: white-space-free piece -> its ids, serialized."""
+    """The library with a cache: part of a white-space-free piece -> its ids, serialized."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -69,40 +76,99 @@ class _Pieces:
         self.library.no_padding()
         self.kind, self.code = ("<u2", "H") if id_width(self.library) == 2 else ("<u4", "I")
         self.cut = cuts_words(vocabulary)
+        self.closing = closing_ids(vocabulary) if self.cut else None
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces) -> None:
-        for p, e in zip(pieces, self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)):
-            self.known[p] = array(self.code, e.ids).tobytes()
+    def _learn(self, parts: list[bytes]) -> None:
+        for lo in range(0, len(parts), RUN * RUNS):
+            some = parts[lo:lo + RUN * RUNS]
+            for p, e in zip(some, self.library.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+                self.known[p] = array(self.code, e.ids).tobytes()
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Letters only: many go through the library as one text, a word ends with each token that closes one."""
+        if self.closing is None:
+            return self._learn(words)
+        known, width, runs = self.known, array(self.code).itemsize, [words[i:i + RUN] for i in range(0, len(words), RUN)]
+        for lo in range(0, len(runs), RUNS):
+            some = runs[lo:lo + RUNS]
+            for run, e in zip(some, self.library.encode_batch_fast([b" ".join(r).decode() for r in some], add_special_tokens=False)):
+                ids = np.array(e.ids, self.kind)
+                ends = np.flatnonzero(self.closing[ids]) + 1
+                if len(ends) != len(run):  # the library cuts one of them
+                    self._learn(run)
+                    continue
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(run, (ends * width).tolist()):
+                    known[word] = raw[at:end]
+                    at = end
+
+    def _parts(self, parts: list[bytes], words: np.ndarray) -> list[bytes]:
+        """The ids of distinct parts; ``words``: which are letters only."""
+        known = self.known
+        out = [known.get(p) for p in parts]
+        if None in out:
+            new = [i for i, ids in enumerate(out) if ids is None]
+            if len(known) + len(new) > CACHE:
+                known.clear()
+                new = range(len(parts))
+            self._learn_words([parts[i] for i in new if words[i]])
+            self._learn([parts[i] for i in new if not words[i]])
+            out = [known[p] for p in parts]
+            for i in new:
+                if len(parts[i]) > LONG:
+                    del known[parts[i]]
+        return out
 
-    def encode(self, text: bytes) -> bytes:
+    def encode_all(self, texts: pa.Array):
+        """The serialized ids of each text (strings without nulls), in order."""
         if not self.cut:
-            return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-        pieces, known = text.split(), self.known
-        try:
-            return b"".join(map(known.get, pieces))
-        except TypeError:  # a piece is new
-            new = {p for p in pieces if p not in known}
-        if len(known) + 2 * len(new) > CACHE:
-            known.clear()
-            new = set(pieces)
-        # letters, then stops: two matches of the pattern; letters alone are the same in lower case
-        parts = {p: (m[1].lower(), m[2]) for p in new if (m := _WORD.fullmatch(p)) and m[1].decode().isalpha()}
-        whole = new.difference(parts.keys())
-        self._learn(list(whole.union(x for pair in parts.values() for x in pair if x not in known)))
-        for p, (word, stops) in parts.items():
-            known[p] = known[word] + known[stops]
-        out = b"".join(map(known.__getitem__, pieces))
-        for p in new:
-            if len(p) > LONG:
-                for x in (p, *parts.get(p, ())):
-                    known.pop(x, None)
-        return out
+            for t in texts:
+                yield np.array(self.library.encode(t.as_py(), add_special_tokens=False).ids, self.kind).tobytes()
+            return
+        for _, some in slices(texts, SLICE_BYTES):
+            split = pc.ascii_split_whitespace(some)
+            pieces = split.values.dictionary_encode()
+            # letters, then symbols: two matches of the pattern; letters alone are the same in lower case
+            whole = pieces.dictionary
+            word = pc.ascii_rtrim(whole, SYMBOLS)
+            cut = pc.utf8_is_alpha(word)
+            rest = pc.replace_substring_regex(whole, f"^[^{re.escape(SYMBOLS)}]*", "")
+            heads = pc.if_else(cut, pc.ascii_lower(word), whole)
+            tails = pc.if_else(cut, rest, pa.scalar("", whole.type))
+            parts = pa.concat_arrays([heads, tails]).cast(pa.binary()).dictionary_encode()
+            code = parts.indices.to_numpy()
+            words = np.zeros(len(parts.dictionary), bool)
+            words[code[:len(whole)]] = cut.to_numpy(zero_copy_only=False)
+            found = self._parts(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), words)
+            ids, ends = np.frombuffer(b"".join(found), self.kind), _ends([len(f) // array(self.code).itemsize for f in found])
+            ids, ends = _gather(ids, ends, code.reshape(2, -1).T.ravel())
+            ids, ends = _gather(ids, ends[::2], pieces.indices.to_numpy())
+            ends = ends[split.offsets.to_numpy()].tolist()
+            for lo, hi in zip(ends, ends[1:]):
+                yield ids[lo:hi].tobytes()
+
+    def encode(self, text: bytes) -> bytes:
+        return next(self.encode_all(pa.array([text.decode()], pa.string())))
+
+
+def _ends(sizes) -> np.ndarray:
+    """0 and the running sums."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _gather(values: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen runs of ``values`` one after the other, and their ends; run i is ``values[ends[i]:ends[i + 1]]``."""
+    sizes = np.diff(ends)[chosen]
+    out = _ends(sizes)
+    at = np.repeat(ends[chosen] - out[:-1], sizes)
+    at += np.arange(len(at))
+    return values[at], out
 
 
 def cuts_words(vocabulary: str) -> bool:
     """Whether the vocabulary lower-cases texts in composed form and then keeps the matches of one pattern, in
-    which letters, stops and white space never go together."""
+    which letters, symbols and white space never go together, and no special string spans such a cut."""
     with open(vocabulary, encoding="utf-8") as f:
         rules = json.load(f)
     first, normal = ((rules.get(step) or {}) for step in ("pre_tokenizer", "normalizer"))
@@ -110,22 +176,44 @@ def cuts_words(vocabulary: str) -> bool:
     if first.get("type") != "Split" or first["behavior"] != "Removed" or not first["invert"] or "Regex" not in first["pattern"]:
         return False
     kinds = [n["type"] for n in normal.get("normalizers", [normal]) if n.get("type") != "Replace"]
-    found = regex.findall(first["pattern"]["Regex"], "a.é?\tb; \nc!:\x0bd,\x0ce\rß")
-    return kinds == ["NFC", "Lowercase"] and found == ["a", ".", "é", "?", "b", ";", "c", "!:", "d", ",", "e", "ß"]
+    pattern = first["pattern"]["Regex"]
+    found = regex.findall(pattern, "a.é?\tb; \nc!:\x0bd,\x0ce\rß")
+    return (kinds == ["NFC", "Lowercase"] and found == ["a", ".", "é", "?", "b", ";", "c", "!:", "d", ",", "e", "ß"]
+            and all(regex.findall(pattern, f"é{s}") == ["é", s] for s in SYMBOLS)
+            and all(re.fullmatch(r"\S*<\S*", t["content"]) for t in rules.get("added_tokens") or []))
+
+
+def closing_ids(vocabulary: str) -> np.ndarray | None:
+    """Of each id, whether it ends a match of the pattern; None where tokens do not tell, or bytes are missing."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    with open(vocabulary, encoding="utf-8") as f:
+        rules = json.load(f)
+    mark, tokens = rules["model"].get("end_of_word_suffix"), rules["model"]["vocab"]
+    bytewise = rules["pre_tokenizer"].get("pretokenizers", [{}])[-1].get("type") == "ByteLevel"
+    if not mark or not bytewise or any(c not in tokens or c + mark not in tokens for c in ByteLevel.alphabet()):
+        return None
+    out = np.zeros(max([*tokens.values(), *(t["id"] for t in rules.get("added_tokens") or [])]) + 1, bool)
+    out[[i for t, i in tokens.items() if t.endswith(mark)]] = True
+    return out
 
 
 def id_width(tokenizer) -> int:
     return 2 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-def _encoder(vocabulary: str, end_id: int):
-    """bytes of a text -> its serialized ids with the end id. A worker process keeps its cache from task to task, in a
-    module of its own: this package comes anew with every task."""
+def _pieces(vocabulary: str) -> _Pieces:
+    """A worker process keeps its cache from task to task, in a module of its own: this package comes anew with every
+    task."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
     kept = sys.modules.setdefault("token_files_cache", types.ModuleType("token_files_cache")).__dict__
     if vocabulary not in kept:
         kept[vocabulary] = _Pieces(vocabulary)
-    pieces = kept[vocabulary]
+    return kept[vocabulary]
+
+
+def _encoder(vocabulary: str, end_id: int):
+    """bytes of a text -> its serialized ids with the end id."""
+    pieces = _pieces(vocabulary)
     end = np.array([end_id], pieces.kind).tobytes()
     return lambda text: pieces.encode(text) + end
 
@@ -166,12 +254,13 @@ def _frames(docs: DataFrame, vocabulary: str, dictionary: bytes, end_id: int) ->
                            T.StructField("frame", T.BinaryType())])
 
     def pack(batches):
-        encode, compress = _encoder(vocabulary, end_id), _compressor(dictionary)
+        pieces, compress = _pieces(vocabulary), _compressor(dictionary)
+        end = np.array([end_id], pieces.kind).tobytes()
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             lo, size, lengths, frames = 0, 0, [], []
-            for i, t in enumerate(texts):
-                ids = encode(t.as_buffer().to_pybytes())
+            for i, ids in enumerate(pieces.encode_all(texts)):
+                ids += end
                 lengths.append(len(ids))
                 frames.append(compress(ids))
                 size += len(frames[-1])

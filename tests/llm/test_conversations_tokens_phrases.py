@@ -1,11 +1,13 @@
 """Conversation repair, token files and collocations against plain Python and the tokenizer's own library."""
 
+import json
 import random
 import zlib
 
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +183,60 @@ def test_pieces_are_cut_only_where_the_vocabulary_drops_blanks():
         assert np.frombuffer(encode(text.encode()), "<u2")[:-1].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_words_go_through_the_library_many_at_a_time():
+    """Each word once for all of its forms, in a few long texts; before, each piece was a text of its own."""
+    class Counted:
+        def __init__(self, library):
+            self.library, self.texts = library, 0
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += len(texts)
+            return self.library.encode_batch_fast(texts, **kw)
+
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcdeéñß") for _ in range(rng.randint(3, 9))) for _ in range(2000)})
+    form = lambda w: rng.choice([w, "".join(c.upper() if c < "z" else c for c in w)]) + rng.choice(["", "", ".", "!!", "***", "-", ")]"])
+    texts = [" ".join(form(w) for w in rng.sample(words, len(words))) for _ in range(3)]
+    pieces = T._Pieces(VOCABULARY)
+    library = pieces.library
+    pieces.library = Counted(library)
+    got = [np.frombuffer(x, "<u2").tolist() for x in pieces.encode_all(pa.array(texts))]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert pieces.library.texts < len(words) / T.RUN + 20 and len(pieces.known) < len(words) + 20
+
+
+def test_slices_of_texts_give_what_the_library_gives(monkeypatch):
+    """Words that the library cuts among others, symbols, special strings, empty texts; small slices and caches."""
+    rng, library = random.Random(5), _library()
+    odd = ["it's", "'say***", "a<b", "x<|endoftext|>***", "<|ENDOFTEXT|>", "İstanbul", "ΣΑΣ", "\u0958\u0915", "H\u0331", "e\u0301.", "१२३", "a\x1cb",
+           "word.'", "word\u2019s", "***", "a" * 100 + "!!", "ǅ(", "\u1100\u1161", "中文。", "x_y_", "5%", "A/", "\U0002ebf0"]
+    plain = ["".join(rng.choice("abcdeE") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    texts = ["", " ", *(rng.choice(" \n") + rng.choice([" ", "\t ", "\x0b", "\x85"]).join(
+        rng.choice(odd if rng.random() < 0.2 else plain) + rng.choice(["", "", ",", "$$", "~`"]) for _ in range(rng.randint(0, 60))) for _ in range(200)), ""]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for size, cache in ((1 << 20, 1 << 20), (1 << 20, 50), (300, 400), (1, 1)):
+        monkeypatch.setattr(T, "SLICE_BYTES", size)
+        monkeypatch.setattr(T, "CACHE", cache)
+        pieces = T._Pieces(VOCABULARY)
+        got = [np.frombuffer(x, "<u2").tolist() for x in pieces.encode_all(pa.array(["cut off", *texts]).slice(1))]
+        assert got == want
+        assert not any(len(p) > T.LONG for p in pieces.known)
+
+
+def test_special_strings_that_a_cut_could_break(tmp_path):
+    """Other vocabularies: special strings of letters or with blanks."""
+    for content in ("foo", "<my string>", "d."):
+        with open(VOCABULARY, encoding="utf-8") as f:
+            rules = json.load(f)
+        rules["added_tokens"].append({**rules["added_tokens"][0], "id": 49408, "content": content})
+        path = str(tmp_path / f"{len(content)}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(rules, f)
+        text = f"Food and.. {content} fooD. a{content}b"
+        pieces = T._Pieces(path)
+        assert np.frombuffer(pieces.encode(text.encode()), "<u2").tolist() == pieces.library.encode(text, add_special_tokens=False).ids
+
+
 # -- phrases --------------------------------------------------------------------------
 
 def _phrases(spark, rows, **kw):
